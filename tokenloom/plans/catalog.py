@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tokenloom.plans import corpus
+from tokenloom.plans import corpus, subwords, tokens
 
-MODULES = [corpus]
+MODULES = [corpus, tokens, subwords]
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
