@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ SEP = "\x1f"
 OUTSIDE = "\x1e"
 FETCHED_PAIRS = 512
 WORDS_PER_PARTITION = 20_000
-ROUNDS_PER_CUT = 12
+MERGES_PER_CUT = 16
 
 
 def symbol_string(word: Column) -> Column:
@@ -28,7 +31,11 @@ def symbols(wrapped: Column) -> Column:
 
 def apply_merge(wrapped: Column, left: str, right: str) -> Column:
     """Every `left right` joined, from left to right."""
-    return F.replace(wrapped, F.lit(f"{SEP}{left}{SEP}{SEP}{right}{SEP}"), F.lit(f"{SEP}{left}{right}{SEP}"))
+    return F.replace(wrapped, F.lit(pair_pattern(left, right)), F.lit(f"{SEP}{left}{right}{SEP}"))
+
+
+def pair_pattern(left: str, right: str) -> str:
+    return f"{SEP}{left}{SEP}{SEP}{right}{SEP}"
 
 
 def pair_counts(state: DataFrame) -> DataFrame:
@@ -64,31 +71,51 @@ def accepted_pairs(top: list, wanted: int) -> list[tuple[str, str, int]]:
     return safe[:wanted]
 
 
+def pair_changes(state: DataFrame, batch: list[tuple[str, str, int]]) -> DataFrame:
+    """How the merges of `batch` change the pair counts; only words that hold one of the pairs are parsed."""
+    word = F.col("word")
+    touched = state.where(reduce(or_, [F.contains(word, F.lit(pair_pattern(l, r))) for l, r, _ in batch]))
+    before = F.struct(word.alias("word"), (-F.col("cnt")).alias("cnt"))
+    after = F.struct(merged_word(word, batch).alias("word"), F.col("cnt").alias("cnt"))
+    return pair_counts(touched.select(F.inline(F.array(before, after))))
+
+
+def merged_word(word: Column, batch: list[tuple[str, str, int]]) -> Column:
+    for left, right, _ in batch:
+        word = apply_merge(word, left, right)
+    return word
+
+
 def learn_merges(words: DataFrame, merges: int) -> list[tuple[str, str, int]]:
     """The first `merges` merges `(left, right, count)` over distinct `word` rows with `cnt`.
 
-    Ties go to the smaller (left, right). The driver sees at most `FETCHED_PAIRS` rows per
-    round; the words stay distributed and are written out every few rounds.
+    Ties go to the smaller (left, right). Words and pair counts stay distributed; the driver
+    sees at most `FETCHED_PAIRS` rows per round. A round scans the words for the merged pairs
+    and parses only those that hold one. The counts are written out every round, the words
+    once `MERGES_PER_CUT` merges wait to be applied.
     """
     spark = words.sparkSession
     state = cut_lineage(words.select(symbol_string(F.col("word")).alias("word"), "cnt"))
     limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
     state = cut_lineage(state.repartition(max(1, min(limit, state.count() // WORDS_PER_PARTITION + 1)), "word"))
+    counts = cut_lineage(pair_counts(state))
     learned: list[tuple[str, str, int]] = []
-    rounds = 0
+    pending: list[tuple[str, str, int]] = []
     while len(learned) < merges:
-        top = pair_counts(state).orderBy(F.desc("cnt"), "left", "right").limit(FETCHED_PAIRS).collect()
+        top = counts.orderBy(F.desc("cnt"), "left", "right").limit(FETCHED_PAIRS).collect()
         if not top:
             break
         batch = accepted_pairs([tuple(r) for r in top], merges - len(learned))
-        word = F.col("word")
-        for left, right, _ in batch:
-            word = apply_merge(word, left, right)
-        state = state.withColumn("word", word)
         learned.extend(batch)
-        rounds += 1
-        if rounds % ROUNDS_PER_CUT == 0:
-            state = cut_lineage(state)
+        if len(learned) == merges:
+            break
+        current = state.select(merged_word(F.col("word"), pending).alias("word"), "cnt")
+        changed = counts.unionByName(pair_changes(current, batch)).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
+        counts = cut_lineage(changed.where(F.col("cnt") > 0))
+        pending.extend(batch)
+        if len(pending) >= MERGES_PER_CUT:
+            state = cut_lineage(state.select(merged_word(F.col("word"), pending).alias("word"), "cnt"))
+            pending = []
     return learned
 
 
