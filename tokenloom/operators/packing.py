@@ -16,11 +16,12 @@ def stream_offsets(encoded: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame
     return hashed_prefix_sum(encoded, "split", "order_key", "doc_id", F.col("len"), "stream_start", digits)
 
 
-def pack_chunks(offsets: DataFrame, block: int) -> DataFrame:
+def pack_chunks(offsets: DataFrame, block: int, run: int = 1) -> DataFrame:
     """The stream cut into `(split, chunk_id, tokens)` rows of `block` tokens, the last one shorter.
 
     A document is sliced at chunk borders, so one row per (document, chunk) overlap is
-    shuffled. A chunk gathers at most `block` pieces, as every piece holds a token.
+    shuffled. A chunk gathers at most `block` pieces, as every piece holds a token. With
+    `run`, that many consecutive chunks meet in one partition, in order, ready for a file.
     """
     end = F.col("stream_start") + F.col("len")
     size = F.lit(block).cast("long")
@@ -36,8 +37,16 @@ def pack_chunks(offsets: DataFrame, block: int) -> DataFrame:
     pieces = offsets.where(F.col("len") > 0).select(
         "split", F.inline(F.transform(F.sequence(first_chunk, last_chunk), piece))
     )
-    gathered = pieces.groupBy("split", "chunk_id").agg(F.sort_array(F.collect_list(F.struct("first", "piece"))).alias("p"))
-    return gathered.select("split", "chunk_id", F.flatten(F.transform("p", lambda s: s["piece"])).alias("tokens"))
+    keys = ["split", "chunk_id"]
+    if run > 1:
+        # The grouping keys contain the shuffle keys, so the grouping adds no second shuffle.
+        pieces = pieces.withColumn("run", F.expr(f"chunk_id div {run}"))
+        partitions = int(offsets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pieces = pieces.repartition(partitions, "split", "run")
+        keys = ["split", "run", "chunk_id"]
+    gathered = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("first", "piece"))).alias("p"))
+    chunks = gathered.select("split", "chunk_id", F.flatten(F.transform("p", lambda s: s["piece"])).alias("tokens"))
+    return chunks.sortWithinPartitions("split", "chunk_id") if run > 1 else chunks
 
 
 def stream_lengths(encoded: DataFrame) -> dict[str, int]:

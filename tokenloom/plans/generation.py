@@ -46,7 +46,7 @@ class Corpus:
 def corpus(spark: SparkSession, sf: str) -> Corpus:
     """Documents and conversation turns encoded with the alphabet of both."""
     docs = clean(documents_with(spark, sf, "lang"))
-    turns = spread(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id")
+    turns = spread(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
     turns = turns.withColumn("text", T.strip(F.col("text")))
     vocab = collect_ids(char_vocab(docs.select("text").unionByName(turns.select("text"))))
     encoded = encode_documents(random_split(docs, VAL_FRACTION), char_ids(F.col("text"), vocab), len(vocab))

@@ -19,11 +19,13 @@ BLOCK = 256
 BATCH = 4
 ACCUMULATION = 4
 RANKS = 2
+# Half a megabyte of 16-bit ids at this block; a large corpus takes 1 << 18, which is 128 MB.
+CHUNKS_PER_FILE = 1 << 10
 
 
-def chunks_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def chunks_of(spark: SparkSession, sf: str, run: int = 1) -> tuple[DataFrame, DataFrame]:
     encoded, _, _ = char_tokens(spark, sf)
-    return packing.pack_chunks(packing.stream_offsets(encoded), BLOCK), encoded
+    return packing.pack_chunks(packing.stream_offsets(encoded), BLOCK, run), encoded
 
 
 def summary(chunks: DataFrame) -> DataFrame:
@@ -38,7 +40,7 @@ def packed_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_store(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
-    write_tokens(chunks_of(spark, sf)[0], path, BLOCK)
+    write_tokens(chunks_of(spark, sf, CHUNKS_PER_FILE)[0], path, BLOCK)
     return summary(read_tokens(spark, path))
 
 

@@ -32,9 +32,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *key: str) -> DataFrame:
     """Shuffle a scan with fewer splits than two per core by its unique `key`; leave larger scans as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < 2 * cores:
-        return df.repartition(cores, key)
+        return df.repartition(cores, *key)
     return df

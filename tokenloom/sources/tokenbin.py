@@ -156,14 +156,16 @@ class TokenBin(DataSource):
 
 
 def write_tokens(chunks: DataFrame, path: str, block: int, files: int | None = None) -> None:
-    """Chunks to flat files, about `files` of them, each a run of the stream."""
-    spark = chunks.sparkSession
-    spark.dataSource.register(TokenBin)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = chunks.select("split", "chunk_id", "tokens").repartitionByRange(files, "split", "chunk_id")
-    ordered.sortWithinPartitions("split", "chunk_id").write.format("tokenbin").mode("append").option(
-        "block", block
-    ).save(path)
+    """Chunks to flat files, one per run of consecutive chunks of a partition.
+
+    Chunks packed with a `run` are written as they lie. Others need `files`, about how many
+    ranges of the stream to shuffle them into first.
+    """
+    chunks.sparkSession.dataSource.register(TokenBin)
+    rows = chunks.select("split", "chunk_id", "tokens")
+    if files:
+        rows = rows.repartitionByRange(files, "split", "chunk_id").sortWithinPartitions("split", "chunk_id")
+    rows.write.format("tokenbin").mode("append").option("block", block).save(path)
 
 
 def read_tokens(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
