@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +11,13 @@ from tokenloom.session import cut_lineage
 
 # Wraps every symbol of a word: `<a><b>` is SEP a SEP SEP b SEP. Words hold no white space, so it is free.
 SEP = "\x1f"
+# Parts a list of such strings inside a plan.
+LIST_SEP = "\x1d"
 # Stands for characters outside the alphabet, where a word is cut.
 OUTSIDE = "\x1e"
 FETCHED_PAIRS = 512
 WORDS_PER_PARTITION = 20_000
-MERGES_PER_CUT = 16
+MERGES_PER_CUT = 8
 
 
 def symbol_string(word: Column) -> Column:
@@ -26,12 +25,9 @@ def symbol_string(word: Column) -> Column:
 
 
 def symbols(wrapped: Column) -> Column:
-    return F.split(F.substring(wrapped, F.lit(2), F.length(wrapped) - 2), SEP + SEP)
-
-
-def apply_merge(wrapped: Column, left: str, right: str) -> Column:
-    """Every `left right` joined, from left to right."""
-    return F.replace(wrapped, F.lit(pair_pattern(left, right)), F.lit(f"{SEP}{left}{right}{SEP}"))
+    # Splitting at one plain character needs no regular expression.
+    inner = F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+    return F.split(F.replace(inner, F.lit(SEP + SEP), F.lit(SEP)), SEP)
 
 
 def pair_pattern(left: str, right: str) -> str:
@@ -40,7 +36,7 @@ def pair_pattern(left: str, right: str) -> str:
 
 def pair_counts(state: DataFrame) -> DataFrame:
     """Weighted count of every adjacent symbol pair."""
-    listed = state.select("cnt", symbols(F.col("word")).alias("s")).where(F.size("s") > 1)
+    listed = state.where(F.contains("word", F.lit(SEP + SEP))).select("cnt", symbols(F.col("word")).alias("s"))
     rest = F.size("s") - 1
     pairs = F.arrays_zip(
         F.slice("s", F.lit(1), rest).alias("left"), F.slice("s", F.lit(2), rest).alias("right")
@@ -71,21 +67,32 @@ def accepted_pairs(top: list, wanted: int) -> list[tuple[str, str, int]]:
     return safe[:wanted]
 
 
+def text_array(values: list[str]) -> Column:
+    return F.split(F.lit(LIST_SEP.join(values)), LIST_SEP)
+
+
+def merged_word(word: Column, batch: list[tuple[str, str, int]]) -> Column:
+    """Every pair of `batch` joined, one after the other, from left to right.
+
+    The pairs are data of one expression, so rounds share their plan and its compiled code.
+    """
+    if not batch:
+        return word
+    pairs = text_array([pair_pattern(left, right) for left, right, _ in batch])
+    joined = text_array([f"{SEP}{left}{right}{SEP}" for left, right, _ in batch])
+    merges = F.arrays_zip(pairs.alias("pair"), joined.alias("joined"))
+    return F.aggregate(merges, word, lambda w, m: F.replace(w, m["pair"], m["joined"]))
+
+
 def pair_changes(state: DataFrame, batch: list[tuple[str, str, int]]) -> DataFrame:
     """How the merges of `batch` change the pair counts; only words that hold one of the pairs are parsed."""
     word = F.col("word")
-    touched = state.where(reduce(or_, [F.contains(word, F.lit(pair_pattern(l, r))) for l, r, _ in batch]))
+    touched = state.where(F.exists(text_array([pair_pattern(l, r) for l, r, _ in batch]), lambda p: F.contains(word, p)))
     before = F.struct(word.alias("word"), (-F.col("cnt")).alias("cnt"))
     after = F.struct(merged_word(word, batch).alias("word"), F.col("cnt").alias("cnt"))
     return pair_counts(touched.select(F.inline(F.array(before, after))))
 
 
-def merged_word(word: Column, batch: list[tuple[str, str, int]]) -> Column:
-    for left, right, _ in batch:
-        word = apply_merge(word, left, right)
-    return word
-
-
 def learn_merges(words: DataFrame, merges: int) -> list[tuple[str, str, int]]:
     """The first `merges` merges `(left, right, count)` over distinct `word` rows with `cnt`.
 

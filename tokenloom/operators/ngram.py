@@ -93,8 +93,9 @@ def loss_matrix(model: NgramModel) -> list[float]:
 def document_losses(encoded: DataFrame, model: NgramModel, eos_id: int, *keep: str) -> DataFrame:
     """Mean loss of every non-empty document.
 
-    For a small vocabulary the loss matrix travels with the plan and documents are scored in
-    place, without a shuffle. Otherwise pairs are counted per document and joined.
+    For a small vocabulary the loss matrix travels with the plan: every pair is looked up where
+    it stands and a task folds its documents before the shuffle. Otherwise pairs are counted
+    per document and joined.
     """
     filled = encoded.where(F.size("ids") > 0)
     if model.vocab_size > DENSE_VOCAB:
@@ -102,12 +103,9 @@ def document_losses(encoded: DataFrame, model: NgramModel, eos_id: int, *keep: s
         mean = F.sum(-F.log("p") * F.col("cnt")) / F.sum("cnt")
         return scored.groupBy("doc_id", *keep).agg(mean.alias("loss"))
     matrix = constant_array(loss_matrix(model), "double")
-    cells = F.transform(
-        next_token_pairs(F.col("ids"), eos_id),
-        lambda pair: F.get(matrix, pair["prev"] * model.vocab_size + pair["next"]),
-    )
-    total = F.aggregate(cells, F.lit(0.0), lambda acc, loss: acc + loss)
-    return filled.select("doc_id", *keep, (total / F.size("ids")).alias("loss"))
+    pairs = filled.select("doc_id", *keep, F.inline(next_token_pairs(F.col("ids"), eos_id)))
+    loss = F.get(matrix, F.col("prev") * model.vocab_size + F.col("next"))
+    return pairs.groupBy("doc_id", *keep).agg(F.avg(loss).alias("loss"))
 
 
 # Lower ends of the loss bands, from 0 up.

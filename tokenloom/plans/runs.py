@@ -38,7 +38,7 @@ def logged_loss(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mfu_ema(spark: SparkSession, sf: str) -> DataFrame:
-    averaged = runs.running_mfu(steps(spark, sf), "user_id", runs.mfu(F.col("value"), **MODEL), LOG_INTERVAL)
+    averaged = runs.running_mfu(steps(spark, sf), "user_id", runs.mfu(F.col("value") + 0.01, **MODEL), LOG_INTERVAL)
     return averaged.withColumn("running_mfu", F.round("running_mfu", 9))
 
 
@@ -121,7 +121,7 @@ ORACLE = {
         SELECT user_id, (step - 1) // {ACCUMULATION} AS iter, round(arg_max(value, step), 6) AS loss
         FROM steps WHERE ((step - 1) // {ACCUMULATION}) % {LOG_INTERVAL} = 0 GROUP BY 1, 2""",
     "mfu_ema": f"""WITH {STEPS}, logged AS (
-            SELECT user_id, step - 1 AS iter, {FLOPS}.0::DOUBLE * 100 / value / 312e12::DOUBLE AS mfu
+            SELECT user_id, step - 1 AS iter, {FLOPS}.0::DOUBLE * 100 / (value + 0.01::DOUBLE) / 312e12::DOUBLE AS mfu
             FROM steps WHERE (step - 1) % {LOG_INTERVAL} = 0),
         settled AS (
             SELECT *, list(mfu) OVER (PARTITION BY user_id ORDER BY iter) AS seen FROM logged WHERE iter >= 5)

@@ -13,7 +13,7 @@ from tokenloom.plans.tables import VAL_FRACTION, documents, documents_with
 from tokenloom.plans.tokens import BLOCK, summary
 from tokenloom.session import cut_lineage, scratch_path
 
-MERGES = 48
+MERGES = 32
 VOCAB_SIZE = 384
 
 

@@ -62,22 +62,30 @@ class TokenWriter(DataSourceArrowWriter):
         shards: list[Shard] = []
         stream, expected = None, None
         for batch in iterator:
-            splits = batch.column("split").to_pylist()
-            chunk_ids = batch.column("chunk_id").to_pylist()
+            if batch.num_rows == 0:
+                continue
+            chunk_ids = batch.column("chunk_id").to_numpy()
+            splits = batch.column("split").to_numpy(zero_copy_only=False)
             tokens = batch.column("tokens")
-            for i, (split, chunk) in enumerate(zip(splits, chunk_ids)):
-                values = tokens[i].values.to_numpy()
-                if values.size and (values.min() < 0 or values.max() > 0xFFFF):
-                    raise ValueError("token id does not fit 16 bits")
+            ends = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
+            values = tokens.flatten().to_numpy()
+            if values.size and (values.min() < 0 or values.max() > 0xFFFF):
+                raise ValueError("token id does not fit 16 bits")
+            data = values.astype("<u2")
+            # A file goes on while full chunks of a split follow one another.
+            follows = (splits[1:] == splits[:-1]) & (np.diff(chunk_ids) == 1) & (np.diff(ends)[:-1] == self.block)
+            starts = np.flatnonzero(np.concatenate([[True], ~follows]))
+            for first, last in zip(starts, [*starts[1:], batch.num_rows]):
+                split, chunk = splits[first], int(chunk_ids[first])
                 if (split, chunk) != expected:
                     if stream:
                         stream.close()
                     shards.append(Shard(split, chunk, 0, f"{split}-{chunk:012d}-{attempt}.bin"))
                     stream = fs.open_output_stream(f"{folder}/{shards[-1].file}")
-                stream.write(values.astype("<u2").tobytes())
-                shards[-1].tokens += values.size
-                # Only a full chunk can be followed in the same file.
-                expected = (split, chunk + 1) if values.size == self.block else None
+                stream.write(data[ends[first] : ends[last]].tobytes())
+                shards[-1].tokens += int(ends[last] - ends[first])
+                full = ends[last] - ends[last - 1] == self.block
+                expected = (split, int(chunk_ids[last - 1]) + 1) if full else None
         if stream:
             stream.close()
         return Written(shards)
