@@ -97,13 +97,12 @@ def document_losses(encoded: DataFrame, model: NgramModel, eos_id: int, *keep: s
     it stands and a task folds its documents before the shuffle. Otherwise pairs are counted
     per document and joined.
     """
-    filled = encoded.where(F.size("ids") > 0)
     if model.vocab_size > DENSE_VOCAB:
-        scored = with_probability(pair_counts(filled, eos_id, "doc_id", *keep), model, "doc_id")
+        scored = with_probability(pair_counts(encoded, eos_id, "doc_id", *keep), model, "doc_id")
         mean = F.sum(-F.log("p") * F.col("cnt")) / F.sum("cnt")
         return scored.groupBy("doc_id", *keep).agg(mean.alias("loss"))
     matrix = constant_array(loss_matrix(model), "double")
-    pairs = filled.select("doc_id", *keep, F.inline(next_token_pairs(F.col("ids"), eos_id)))
+    pairs = encoded.select("doc_id", *keep, F.inline(next_token_pairs(F.col("ids"), eos_id)))
     loss = F.get(matrix, F.col("prev") * model.vocab_size + F.col("next"))
     return pairs.groupBy("doc_id", *keep).agg(F.avg(loss).alias("loss"))
 
