@@ -47,22 +47,33 @@ def test_merges_equal_one_at_a_time_learning(spark, words):
     assert bpe.learn_merges(frame, 8) == one_at_a_time(words, 8)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(6))
 def test_merges_of_random_words(spark, monkeypatch, seed):
     monkeypatch.setattr(bpe, "MERGES_PER_CUT", 4)
-    monkeypatch.setattr(bpe, "FETCHED_PAIRS", 5)
+    monkeypatch.setattr(bpe, "FETCHED_PAIRS", 3 + seed * 2)
     rng = random.Random(seed)
     words = {"".join(rng.choices("abcd", k=rng.randint(1, 9))): rng.randint(1, 30) for _ in range(60)}
     frame = spark.createDataFrame(list(words.items()), "word string, cnt long")
     assert bpe.learn_merges(frame, 14) == one_at_a_time(words, 14)
 
 
-def test_accepted_pairs_stop_at_conflicts_and_at_the_end_of_the_list(monkeypatch):
-    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 8), ("b", "e", 7), ("f", "g", 6)], 9) == [("a", "b", 9), ("c", "d", 8)]
-    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 7), ("b", "e", 7)], 9) == [("a", "b", 9)]
-    assert bpe.accepted_pairs([("a", "a", 9), ("c", "d", 8)], 9) == [("a", "a", 9)]
-    monkeypatch.setattr(bpe, "FETCHED_PAIRS", 2)
-    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 8)], 9) == [("a", "b", 9)]
+def test_accepted_pairs_stop_at_conflicts_and_at_the_floor():
+    top = [("a", "b", 9), ("c", "d", 8), ("b", "e", 7), ("f", "g", 6)]
+    assert bpe.accepted_pairs(top, 0, 9) == top[:2]
+    assert bpe.accepted_pairs(top, 0, 1) == top[:1]
+    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 7), ("b", "e", 7)], 0, 9) == [("a", "b", 9)]
+    assert bpe.accepted_pairs([("a", "a", 9), ("c", "d", 8)], 0, 9) == [("a", "a", 9)]
+    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 8)], 8, 9) == [("a", "b", 9)]
+
+
+def test_frontier_is_stale_when_an_older_spelling_gains():
+    rows = [("a", "b", 9), ("c", "d", 7), ("x", "y", 3)]
+    fresh = bpe.Frontier(rows, complete=False)
+    fresh.apply([("a", "b", 9)], [("a", "b", -9), ("x", "ab", 5), ("c", "d", -1)], set())
+    assert not fresh.stale and fresh.counts == {("x", "ab"): 5, ("c", "d"): 6}
+    older = bpe.Frontier(rows, complete=False)
+    older.apply([("a", "b", 9)], [("a", "b", -9), ("x", "ab", 5)], {"ab"})
+    assert older.stale
 
 
 @pytest.fixture(scope="module")

@@ -15,10 +15,13 @@ SEP = "\x1f"
 LIST_SEP = "\x1d"
 # Stands for characters outside the alphabet, where a word is cut.
 OUTSIDE = "\x1e"
-FETCHED_PAIRS = 512
+FETCHED_PAIRS = 4096
 WORDS_PER_PARTITION = 20_000
 MERGES_PER_CUT = 8
 
+# (left, right, count)
+Merge = tuple[str, str, int]
+
 
 def symbol_string(word: Column) -> Column:
     return F.concat(F.lit(SEP), F.array_join(T.characters(word), SEP + SEP), F.lit(SEP))
@@ -44,34 +47,65 @@ def pair_counts(state: DataFrame) -> DataFrame:
     return listed.select("cnt", F.inline(pairs)).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
 
 
-def accepted_pairs(top: list, wanted: int) -> list[tuple[str, str, int]]:
+def accepted_pairs(top: list[Merge], floor: int, wanted: int) -> list[Merge]:
     """The leading pairs of a descending list that one-at-a-time merging would also take next, in order.
 
     A merge only lowers counts of pairs that share a symbol with it, and a new pair occurs at
     most as often as one of those. So pairs disjoint from all before them keep their place
-    while their count is above that of the first pair that is not disjoint.
+    while their count is above that of the first pair that is not disjoint, and above `floor`,
+    which no unlisted pair exceeds.
     """
-    taken: list[tuple[str, str, int]] = []
+    taken: list[Merge] = []
     used: set[str] = set()
-    stop = None
+    stop = floor
     for left, right, count in top:
         if left == right or left in used or right in used:
             stop = count
             break
         taken.append((left, right, count))
         used.update((left, right))
-    if stop is None:
-        # The list ended before a conflict; unseen pairs may be as frequent as its last one.
-        stop = top[-1][2] if len(top) == FETCHED_PAIRS else 0
-    safe = [t for t in taken if t[2] > stop] or [tuple(top[0])]
+    safe = [t for t in taken if t[2] > stop] or top[:1]
     return safe[:wanted]
 
 
+class Frontier:
+    """Exact counts of all pairs above a floor, kept up to date with the changes of each round.
+
+    Only pairs with a new symbol gain, so a listed pair stays exact and an unlisted one stays
+    at or below the floor. The exception is a symbol spelled like an older one, whose pairs may
+    have been unlisted: then the list is `stale`.
+    """
+
+    def __init__(self, rows: list[Merge], complete: bool):
+        self.floor = 0 if complete or not rows else rows[-1][2]
+        self.counts = {(left, right): count for left, right, count in rows if count > self.floor}
+        self.stale = not self.counts and not complete
+
+    def leading(self) -> list[Merge]:
+        return sorted(((l, r, c) for (l, r), c in self.counts.items()), key=lambda m: (-m[2], m[0], m[1]))
+
+    def apply(self, batch: list[Merge], changes: list[Merge], known: set[str]) -> None:
+        for left, right, change in changes:
+            pair = (left, right)
+            if change > 0 and pair not in self.counts and self.floor and not ({left, right} & self.fresh(batch, known)):
+                self.stale = True
+            count = self.counts.get(pair, 0) + change
+            if count > self.floor:
+                self.counts[pair] = count
+            else:
+                self.counts.pop(pair, None)
+        self.stale = self.stale or (not self.counts and self.floor > 0)
+
+    @staticmethod
+    def fresh(batch: list[Merge], known: set[str]) -> set[str]:
+        return {left + right for left, right, _ in batch} - known
+
+
 def text_array(values: list[str]) -> Column:
     return F.split(F.lit(LIST_SEP.join(values)), LIST_SEP)
 
 
-def merged_word(word: Column, batch: list[tuple[str, str, int]]) -> Column:
+def merged_word(word: Column, batch: list[Merge]) -> Column:
     """Every pair of `batch` joined, one after the other, from left to right.
 
     The pairs are data of one expression, so rounds share their plan and its compiled code.
@@ -84,7 +118,7 @@ def merged_word(word: Column, batch: list[tuple[str, str, int]]) -> Column:
     return F.aggregate(merges, word, lambda w, m: F.replace(w, m["pair"], m["joined"]))
 
 
-def pair_changes(state: DataFrame, batch: list[tuple[str, str, int]]) -> DataFrame:
+def pair_changes(state: DataFrame, batch: list[Merge]) -> DataFrame:
     """How the merges of `batch` change the pair counts; only words that hold one of the pairs are parsed."""
     word = F.col("word")
     touched = state.where(F.exists(text_array([pair_pattern(l, r) for l, r, _ in batch]), lambda p: F.contains(word, p)))
@@ -93,32 +127,42 @@ def pair_changes(state: DataFrame, batch: list[tuple[str, str, int]]) -> DataFra
     return pair_counts(touched.select(F.inline(F.array(before, after))))
 
 
-def learn_merges(words: DataFrame, merges: int) -> list[tuple[str, str, int]]:
+def learn_merges(words: DataFrame, merges: int) -> list[Merge]:
     """The first `merges` merges `(left, right, count)` over distinct `word` rows with `cnt`.
 
-    Ties go to the smaller (left, right). Words and pair counts stay distributed; the driver
-    sees at most `FETCHED_PAIRS` rows per round. A round scans the words for the merged pairs
-    and parses only those that hold one. The counts are written out every round, the words
-    once `MERGES_PER_CUT` merges wait to be applied.
+    Ties go to the smaller (left, right). The words stay distributed. A round scans them for the
+    merged pairs, parses those that hold one, and returns how the counts next to the merged
+    pairs change: at most four per symbol and merge. All pairs are counted again only when the
+    `FETCHED_PAIRS` most frequent ones are used up.
     """
     spark = words.sparkSession
     state = cut_lineage(words.select(symbol_string(F.col("word")).alias("word"), "cnt"))
     limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
     state = cut_lineage(state.repartition(max(1, min(limit, state.count() // WORDS_PER_PARTITION + 1)), "word"))
-    counts = cut_lineage(pair_counts(state))
-    learned: list[tuple[str, str, int]] = []
-    pending: list[tuple[str, str, int]] = []
+    learned: list[Merge] = []
+    pending: list[Merge] = []
+    spelled: set[str] = set()
+    frontier = None
     while len(learned) < merges:
-        top = counts.orderBy(F.desc("cnt"), "left", "right").limit(FETCHED_PAIRS).collect()
+        current = state.select(merged_word(F.col("word"), pending).alias("word"), "cnt")
+        if frontier is None or frontier.stale:
+            ordered = pair_counts(current).orderBy(F.desc("cnt"), "left", "right")
+            rows = [tuple(r) for r in ordered.limit(FETCHED_PAIRS).collect()]
+            frontier = Frontier(rows, len(rows) < FETCHED_PAIRS)
+            if frontier.stale:
+                # All fetched pairs are equally frequent; only the first is sure to come next.
+                frontier.counts = {rows[0][:2]: rows[0][2]}
+        top = frontier.leading()
         if not top:
             break
-        batch = accepted_pairs([tuple(r) for r in top], merges - len(learned))
+        batch = accepted_pairs(top, frontier.floor, merges - len(learned))
         learned.extend(batch)
         if len(learned) == merges:
             break
-        current = state.select(merged_word(F.col("word"), pending).alias("word"), "cnt")
-        changed = counts.unionByName(pair_changes(current, batch)).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
-        counts = cut_lineage(changed.where(F.col("cnt") > 0))
+        if not frontier.stale:
+            changes = pair_changes(current, batch).where(F.col("cnt") != 0).collect()
+            frontier.apply(batch, [tuple(r) for r in changes], spelled)
+        spelled.update(left + right for left, right, _ in batch)
         pending.extend(batch)
         if len(pending) >= MERGES_PER_CUT:
             state = cut_lineage(state.select(merged_word(F.col("word"), pending).alias("word"), "cnt"))
