@@ -121,3 +121,9 @@ def test_row_numbers_with_a_hot_run(spark):
 
 def test_bucket_digits_stay_within_the_broadcast_bound():
     assert bucket_digits(10) == 3 and bucket_digits(10**12) == 4
+
+
+def test_shuffled_documents_lie_in_key_order(spark):
+    labelled = splits.random_split(spark.range(300).withColumnRenamed("id", "doc_id"), 0.1)
+    rows = [(r.split, r.order_key) for r in splits.shuffled(labelled).collect()]
+    assert rows == sorted(rows) and len(rows) == 300

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.operators import encode, profile, vocab
-from tokenloom.sources.documents import clean, read_corpus_lines, sentences, write_corpus_text
+from tokenloom.sources.documents import clean, read_corpus_lines, read_documents, read_whole_text, sentences, write_corpus_text
 
 JOINER = "‍"
 
@@ -65,3 +65,11 @@ def test_split_stats_of_nothing(spark):
     empty = spark.createDataFrame([("val", 1, 0)], "split string, doc_id long, len int")
     row = profile.split_token_stats(empty).first()
     assert (row.num_rows, row.total_tokens, row.avg_tokens) == (1, 0, 0.0)
+
+
+def test_whole_files_and_json_documents(spark, docs, tmp_path):
+    (tmp_path / "prompt.txt").write_text("a\nb\n")
+    row = read_whole_text(spark, f"{tmp_path}/prompt.txt").first()
+    assert row.text == "a\nb\n" and row.doc_id.endswith("prompt.txt")
+    docs("x", None).write.json(f"{tmp_path}/docs")
+    assert column(read_documents(spark, f"{tmp_path}/docs", "json")) == ["x", None]

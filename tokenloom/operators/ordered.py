@@ -19,7 +19,7 @@ from tokenloom.session import cut_lineage
 # Hexadecimal digits of an md5 key that name its bucket, and the most buckets that gives.
 BUCKET_DIGITS = 3
 MAX_BUCKET_DIGITS = 4
-ROWS_PER_BUCKET = 500_000
+ROWS_PER_BUCKET = 20_000
 
 
 def bucket_digits(rows: int) -> int:

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.keys import key_integer, order_key
-from tokenloom.operators.ordered import BUCKET_DIGITS, hashed_prefix_sum
+from tokenloom.operators.ordered import bucket_digits, hashed_prefix_sum
 
 WINDOW_SEED = 1337
 
 
-def stream_offsets(encoded: DataFrame, digits: int = BUCKET_DIGITS) -> DataFrame:
+def stream_offsets(encoded: DataFrame) -> DataFrame:
     """Adds `stream_start`, the position of each document in the token stream of its split."""
+    digits = bucket_digits(encoded.count())
     return hashed_prefix_sum(encoded, "split", "order_key", "doc_id", F.col("len"), "stream_start", digits)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.functions.arrays import digest, joined
-from tokenloom.operators import profile, splits, vocab
+from tokenloom.operators import packing, profile, splits, vocab
 from tokenloom.operators.encode import (
     END_OF_TEXT,
     char_ids,
@@ -16,7 +16,7 @@ from tokenloom.operators.encode import (
     decode_chars,
     encode_documents,
 )
-from tokenloom.operators.ordered import bucket_digits, hashed_prefix_sum, ranged_prefix_sum
+from tokenloom.operators.ordered import ranged_prefix_sum
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.tables import VAL_FRACTION, char_tokens, documents, documents_with
 from tokenloom.session import scratch_path
@@ -147,10 +147,7 @@ def split_token_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_offsets(spark: SparkSession, sf: str) -> DataFrame:
     encoded, _, _ = char_tokens(spark, sf)
-    slim = encoded.select("split", "order_key", "doc_id", "len")
-    offsets = hashed_prefix_sum(
-        slim, "split", "order_key", "doc_id", F.col("len"), "stream_start", bucket_digits(slim.count())
-    )
+    offsets = packing.stream_offsets(encoded.select("split", "order_key", "doc_id", "len"))
     return offsets.select("split", "doc_id", "len", "stream_start")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,9 +86,7 @@ def eval_loss(spark: SparkSession, sf: str) -> DataFrame:
     lengths = chunks.groupBy("split").agg(F.sum(F.size("tokens")).cast("long").alias("n")).limit(10).collect()
     plan = packing.batch_plan(spark, EVAL_ITERS, EVAL_BATCH)
     drawn = [packing.draw_offsets(plan, r["split"], r["n"], BLOCK) for r in lengths if r["n"] > BLOCK]
-    windows = drawn[0]
-    for other in drawn[1:]:
-        windows = windows.unionByName(other)
+    windows = reduce(DataFrame.unionByName, drawn)
     cut = packing.cut_windows(windows, chunks, BLOCK, "iter", "slot")
     losses = ngram.window_losses(cut, model, "split", "iter")
     return losses.groupBy("split").agg(F.count(F.lit(1)).alias("batches"), F.round(F.avg("loss"), 9).alias("loss"))

@@ -47,9 +47,10 @@ class ByteRange(InputPartition):
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    return pafs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+    """File system and inner path of a URI; a plain path and `file:/...` are local."""
+    if "://" in path:
+        return pafs.FileSystem.from_uri(path)
+    return pafs.LocalFileSystem(), path.removeprefix("file:")
 
 
 class TokenWriter(DataSourceArrowWriter):
