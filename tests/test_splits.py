@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tokenloom.operators import splits
+from tokenloom.operators import ordered, splits
 from tokenloom.operators.ordered import (
     bucket_digits,
     hashed_prefix_sum,
@@ -94,7 +94,8 @@ def test_hashed_prefix_sum_is_gap_free(spark):
             total += r.doc_id
 
 
-def test_ranged_prefix_sum_over_sparse_ids(spark):
+def test_ranged_prefix_sum_over_sparse_ids(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_PART", 20)
     rows = spark.range(200).select((F.col("id") * F.col("id") * 10**12).alias("doc_id"), F.col("id").alias("w"))
     got = ranged_prefix_sum(rows, ["doc_id"], F.col("w"), "before").orderBy("doc_id").collect()
     total = 0
@@ -103,13 +104,16 @@ def test_ranged_prefix_sum_over_sparse_ids(spark):
         total += r.w
 
 
-def test_row_numbers_with_a_hot_run(spark):
+def test_row_numbers_with_a_hot_run(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_PART", 100)
     # One run and one time hold most rows.
     rows = spark.range(3000).select(
         F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id") % 50).alias("run"),
         F.when(F.col("id") % 3 < 2, 5).otherwise(F.col("id")).alias("ts"),
         F.col("id").alias("event_id"),
     )
+    cut = ordered.ranged(rows, ["run", "ts", "event_id"]).groupBy("_part").count().collect()
+    assert len(cut) > 4 and max(r["count"] for r in cut) < 1500
     got = row_numbers(rows, "run", ["ts", "event_id"], "n").collect()
     runs = {}
     for r in got:

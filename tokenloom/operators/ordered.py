@@ -20,6 +20,8 @@ from tokenloom.session import cut_lineage
 BUCKET_DIGITS = 3
 MAX_BUCKET_DIGITS = 4
 ROWS_PER_BUCKET = 20_000
+# Rows below which a range of an order is not cut further.
+ROWS_PER_PART = 20_000
 
 
 def bucket_digits(rows: int) -> int:
@@ -57,8 +59,9 @@ def ranged(df: DataFrame, order: Sequence[str], parts: int | None = None) -> Dat
     many runs as its share of the rows asks for. The sampled cuts differ between runs of a
     plan, therefore the rows are written once and read from there.
     """
-    spark = df.sparkSession
-    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:
+        most = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = min(most, df.count() // ROWS_PER_PART + 1)
     return cut_lineage(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
 
 
