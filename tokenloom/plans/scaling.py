@@ -33,13 +33,13 @@ def sizing_sweep(spark: SparkSession, sf: str) -> DataFrame:
     rounded = ["palm_ratio", "relative_ratio", "memory_ratio", "training_days"]
     return sized.select(
         *[c for c in sized.columns if c not in rounded],
-        *[F.round(c, 6).alias(c) for c in rounded],
+        *[F.round(c, 10).alias(c) for c in rounded],
         (F.col("params") < SIZE_LIMIT).alias("small"),
     )
 
 
 def sizing_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    return scaling.breakdown(configs(spark, sf), "p_partkey").withColumn("pct", F.round("pct", 6))
+    return scaling.breakdown(configs(spark, sf), "p_partkey").withColumn("pct", F.round("pct", 9))
 
 
 def loss_surface(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,16 +142,16 @@ ORACLE = {
                d * t + d * v + 12 * l * d * d AS params_decayed, (2 * l + 1) * d AS params_not_decayed,
                {FORWARD} AS flops_forward, 2 * {FORWARD} AS flops_backward, flops_total,
                (6 * (params - d * t) + 12 * l * d * t) * t AS flops_palm, 12 * params AS checkpoint_bytes,
-               round((6 * (params - d * t) + 12 * l * d * t) * t / flops_total, 6) AS palm_ratio,
-               round(frel / (6.0::DOUBLE * rel * t), 6) AS relative_ratio,
-               round(12 * params / 40e9::DOUBLE, 6) AS memory_ratio,
-               round(6.0::DOUBLE * params * 300e9::DOUBLE / (312e12::DOUBLE * 8 * 0.3::DOUBLE) / 86400, 6) AS training_days,
+               round((6 * (params - d * t) + 12 * l * d * t) * t / flops_total, 10) AS palm_ratio,
+               round(frel / (6.0::DOUBLE * rel * t), 10) AS relative_ratio,
+               round(12 * params / 40e9::DOUBLE, 10) AS memory_ratio,
+               round(6.0::DOUBLE * params * 300e9::DOUBLE / (312e12::DOUBLE * 8 * 0.3::DOUBLE) / 86400, 10) AS training_days,
                params < {SIZE_LIMIT} AS small
         FROM p""",
     "sizing_breakdown": f"WITH {CONFIGS} "
     + " UNION ALL ".join(
         f"SELECT p_partkey, '{measure}' AS measure, '{name}' AS component, ({amount})::BIGINT AS amount, "
-        f"round(({amount}) / ({total}) * 100, 6) AS pct FROM configs"
+        f"round(({amount}) / ({total}) * 100, 9) AS pct FROM configs"
         for measure, parts, total in (("params", PARAMS, TOTAL), ("flops", FLOPS, FORWARD))
         for name, amount in parts
     ),
