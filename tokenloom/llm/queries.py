@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tokenloom.llm import secrets, shards
+from tokenloom.llm import decontam, forest, secrets, shards
 
 SHARDS = 16
 
@@ -15,10 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.manifest(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -64,8 +72,10 @@ SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard,
 FROM sharded"""
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_secret_scan": op3_secret_scan,
     "op7_sharding": op7_sharding,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 ORACLE = {
     "op7_sharding": OP7_SQL,
