@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tokenloom.llm import decontam, forest, secrets, shards
+from tokenloom.llm import decontam, forest, repeats, secrets, shards
 
 SHARDS = 16
 
@@ -27,6 +27,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.kept_digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.manifest(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -74,6 +78,7 @@ FROM sharded"""
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_secret_scan": op3_secret_scan,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_sharding": op7_sharding,
     "op8_jaccard_join": op8_jaccard_join,
 }

@@ -150,6 +150,23 @@ def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
+def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the values from `start` to `end`, exclusive; neither may fall from one span to the next."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        base = int(start[at])
+        stop = max(at + 1, int(np.searchsorted(end, base + HASH_BLOCK, "right")))
+        s, e = start[at:stop] - base, end[at:stop] - base
+        size = int(e[-1])
+        direct, inverse = _WORDS.get(max(size, HASH_BLOCK))
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum(values[base : base + size] * direct[:size], out=sums[1:])
+        out[at:stop] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64)
+        at = stop
+    return mix(out)
+
+
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of `width` values; one for each value that begins a whole run."""
     n = len(values) - width + 1
@@ -165,9 +182,3 @@ def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
         count = len(part) - width + 1
         out[at : at + count] = (sums[width:] - sums[:-width]) * inverse[:count]
     return mix(out + np.uint64(width))
-
-
-def whole_windows(words: Words, width: int) -> np.ndarray:
-    """For every window of `window_hashes`: whether it lies inside one text."""
-    n = len(words.row) - width + 1
-    return words.row[:n] == words.row[width - 1 :] if n > 0 else np.zeros(0, bool)
