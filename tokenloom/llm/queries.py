@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tokenloom.llm import decontam, forest, repeats, secrets, shards
+from tokenloom.llm import decontam, forest, quality, repeats, secrets, shards
 
 SHARDS = 16
 
@@ -19,6 +19,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    score = quality.scored(docs.select("doc_id", "text"), model)
+    return score.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"),
+    )
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -77,6 +89,7 @@ FROM sharded"""
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
     "op3_secret_scan": op3_secret_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_sharding": op7_sharding,
