@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tokenloom.llm import decontam, forest, quality, repeats, secrets, shards
+from tokenloom.llm import decontam, embeddings, extract, forest, quality, repeats, secrets, shards
 
 SHARDS = 16
 
@@ -43,6 +43,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.kept_digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.manifest(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -92,6 +100,8 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_secret_scan": op3_secret_scan,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_embedding_neardup": op6_embedding_neardup,
     "op7_sharding": op7_sharding,
     "op8_jaccard_join": op8_jaccard_join,
 }
