@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tokenloom.llm import decontam, embeddings, extract, forest, quality, repeats, secrets, shards
+from tokenloom.llm import decontam, embeddings, extract, forest, mixing, quality, repeats, secrets, shards
 
 SHARDS = 16
 
@@ -64,6 +64,23 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The domains that sources are dealt to by their number, and the weights of domains and languages.
+DOMAINS = ["web", "books", "news", "forums"]
+MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "forums": 1}, {"en": 6, "de": 2, "fr": 2, "es": 1}, {}]
+MIX_SHARE = 0.5
+
+
+def domain_of(source: Column) -> Column:
+    number = F.regexp_extract(source, "([0-9]{1,9})$", 1)
+    return F.when(number != "", F.element_at(F.array(*map(F.lit, DOMAINS)), F.pmod(number.cast("int"), F.lit(len(DOMAINS))) + 1))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE, keep=["doc_id"])
+    return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
 # CRC-32 folds one nibble at a time over the table of its polynomial.
 CRC_TABLE = """steps(i, k, c) AS (
     SELECT range, 0, range::BIGINT FROM range(16)
@@ -95,6 +112,60 @@ SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard,
        NULL::INT AS grown_shard
 FROM sharded"""
 
+
+
+def weights_sql(column: str, weights: dict[str, int]) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.items())
+    return f"CASE {column} {cases} ELSE 1 END" if cases else "1"
+
+
+def filled_sql(name: str, nodes: str, keys: list[str], level: str) -> str:
+    """Budgets of the children of every parent, as in `mixing`: those that run short first, then by weight."""
+    parent = ", ".join(keys) if keys else "1"
+    order = f"(PARTITION BY {parent} ORDER BY capacity / weight, {level} ROWS BETWEEN"
+    group = ", ".join([*keys, level])
+    return f"""{name}_ranked AS (
+    SELECT *, coalesce(sum(capacity) OVER {order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS spent,
+           sum(weight) OVER {order} CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS weights
+    FROM ({nodes})),
+{name}_short AS (
+    SELECT *, capacity::HUGEINT * weights <= weight * (given - spent) AND spent <= given AS short FROM {name}_ranked),
+{name} AS (
+    SELECT {group}, held, capacity, CASE WHEN short THEN capacity ELSE least(capacity,
+        (weight * (given - coalesce(sum(capacity) FILTER (short) OVER (PARTITION BY {parent}), 0)::HUGEINT))
+        // greatest(sum(weight) FILTER (NOT short) OVER (PARTITION BY {parent}), 1)::HUGEINT) END::BIGINT AS budget
+    FROM {name}_short)"""
+
+
+def level_sql(keys: list[str], level: str, weights: dict[str, int], parents: str) -> str:
+    group = ", ".join([*keys, level])
+    nodes = f"SELECT {group}, sum(held)::BIGINT AS held, sum(capacity)::BIGINT AS capacity FROM leaves GROUP BY {group}"
+    given = f"JOIN (SELECT {', '.join(keys)}, budget AS given FROM {parents}) USING ({', '.join(keys)})" if keys else f", {parents}"
+    return f"SELECT n.*, given, {weights_sql('n.' + level, weights)} AS weight FROM ({nodes}) n {given}"
+
+
+OP9_SQL = f"""WITH rows AS (
+    SELECT doc_id, coalesce(CASE WHEN regexp_matches(source, '[0-9]$') THEN
+               {DOMAINS}[(regexp_extract(source, '([0-9]{{1,9}})$', 1)::INT % {len(DOMAINS)}) + 1] END, '{mixing.NONE}') AS domain,
+           coalesce(lang, '{mixing.NONE}') AS lang, coalesce(source, '{mixing.NONE}') AS source,
+           greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), {mixing.LEAST})::BIGINT AS tokens
+    FROM documents),
+leaves AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS held, sum(tokens)::BIGINT * {mixing.EPOCHS} AS capacity
+           FROM rows GROUP BY ALL),
+top AS (SELECT least(sum(capacity), floor(sum(held)::DOUBLE * {MIX_SHARE}))::BIGINT AS given FROM leaves),
+{filled_sql("domains", level_sql([], "domain", MIX_WEIGHTS[0], "top"), [], "domain")},
+{filled_sql("langs", level_sql(["domain"], "lang", MIX_WEIGHTS[1], "domains"), ["domain"], "lang")},
+{filled_sql("sources", level_sql(["domain", "lang"], "source", MIX_WEIGHTS[2], "langs"), ["domain", "lang"], "source")},
+keyed AS (
+    SELECT r.*, budget // held AS whole, budget % held AS rest,
+           md5('{mixing.SEED}:' || (budget // held) || ':' || coalesce(doc_id::VARCHAR, '{mixing.NONE}')) AS k
+    FROM rows r JOIN sources USING (domain, lang, source)),
+taken AS (
+    SELECT *, whole + CASE WHEN sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, doc_id, tokens
+                                                 ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS times
+    FROM keyed)
+SELECT doc_id, domain, lang, source, tokens, unnest(range(times))::INT AS epoch FROM taken"""
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -104,7 +175,9 @@ QUERIES = {
     "op6_embedding_neardup": op6_embedding_neardup,
     "op7_sharding": op7_sharding,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_source_mixing": op9_source_mixing,
 }
 ORACLE = {
     "op7_sharding": OP7_SQL,
+    "op9_source_mixing": OP9_SQL,
 }
