@@ -1,6 +1,75 @@
-"""The corpus pipeline: stages over `documents`, each written and read again."""
+"""The corpus pipeline: quality, near duplicates, benchmark passages, source mix, shards.
+
+Every stage reads the documents that the one before it has written. Each of them calls one operator
+of `tokenloom.llm`, whose docstring says what it does with nulls, empty texts, ties and repeated rows.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tokenloom.llm import decontam, forest, mixing, quality, shards
+from tokenloom.llm.storage import written
+
+SHARDS = 16
+# The domains that sources are dealt to by their number, and the weights of domains and languages.
+DOMAINS = ["web", "books", "news", "forums"]
+MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "forums": 1}, {"en": 6, "de": 2, "fr": 2, "es": 1}, {}]
+MIX_SHARE = 0.5
+PLACED = ["shard", "slot", "size"]
+
+
+def domain_of(source):
+    """The domain of a source, by the number at the end of its name; null without one."""
+    number = F.regexp_extract(source, "([0-9]{1,9})$", 1)
+    names = F.array(*map(F.lit, DOMAINS))
+    return F.when(number != "", F.element_at(names, F.pmod(number.cast("int"), F.lit(len(DOMAINS))) + 1))
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates: five words a shingle, similarity 0.8 or more."""
+    return forest.drop_near_duplicates(docs)
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage near an item of the benchmark."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Half of the tokens, by the weights of domain, language and source; a short leaf's documents may repeat."""
+    return mixing.mix(docs, domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE).select("row.*")
+
+
+def sharded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard of nearly equal bytes, their place in it and their size."""
+    named = docs.drop(*PLACED)
+    return shards.assign_shards(named, SHARDS).select("row.*", *PLACED)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good_documents),
+    ("near_duplicates", distinct_documents),
+    ("decontamination", clean_documents),
+    ("mixing", mixed_documents),
+    ("sharding", sharded_documents),
+]
+
+# A classifier, near duplicates and edit distances are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; every stage's documents are written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tokenloom.llm import decontam, embeddings, extract, forest, mixing, quality, repeats, secrets, shards
-
-SHARDS = 16
+from corpus_pipeline import DOMAINS, MIX_SHARE, MIX_WEIGHTS, SHARDS
+from tokenloom.llm import decontam, embeddings, extract, forest, language, mixing, quality, repeats, secrets, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,23 +63,16 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The domains that sources are dealt to by their number, and the weights of domains and languages.
-DOMAINS = ["web", "books", "news", "forums"]
-MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "forums": 1}, {"en": 6, "de": 2, "fr": 2, "es": 1}, {}]
-MIX_SHARE = 0.5
-
-
-def domain_of(source: Column) -> Column:
-    number = F.regexp_extract(source, "([0-9]{1,9})$", 1)
-    return F.when(number != "", F.element_at(F.array(*map(F.lit, DOMAINS)), F.pmod(number.cast("int"), F.lit(len(DOMAINS))) + 1))
-
-
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs, domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE, keep=["doc_id"])
+    mixed = mixing.mix(docs, corpus_pipeline.domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE, keep=["doc_id"])
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 # CRC-32 folds one nibble at a time over the table of its polynomial.
 CRC_TABLE = """steps(i, k, c) AS (
     SELECT range, 0, range::BIGINT FROM range(16)
@@ -176,8 +168,12 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
+    "op10_language": op10_language,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op7_sharding": OP7_SQL,
     "op9_source_mixing": OP9_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
