@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tokenloom.operators import scaling
 from tokenloom.plans.tables import table
 
 SIZE_LIMIT = 20_000_000
+RANKED = 10
 
 
 def configs(spark: SparkSession, sf: str) -> DataFrame:
-    """A model configuration per part."""
+    """A model configuration per part, and the published presets with keys below 0."""
     key = F.col("p_partkey")
     block = (F.lit(256) * (1 + key % 4)).cast("int")
     width = (F.lit(64) * (1 + F.expr("p_partkey div 48") % 25)).cast("int")
     vocab = F.get(F.array(F.lit(65), F.lit(16000), F.lit(50257), F.lit(50304)), F.col("p_size") % 4)
-    return table(spark, sf, "part").select(
+    drawn = table(spark, sf, "part").select(
         "p_partkey",
+        F.lit("").alias("preset"),
         (1 + key % 48).cast("int").alias("n_layer"),
         (1 + F.col("p_size") % 25).cast("int").alias("n_head"),
         width.alias("n_embd"),
@@ -26,6 +29,9 @@ def configs(spark: SparkSession, sf: str) -> DataFrame:
         vocab.alias("vocab_size"),
         (width * 4).alias("ffw_size"),
     )
+    listed = enumerate(scaling.PRESETS.items(), 1)
+    presets = [(-i, name, layers, heads, d, 1024, 50257, 4 * d) for i, (name, (layers, heads, d)) in listed]
+    return drawn.unionAll(spark.createDataFrame(presets, drawn.schema))
 
 
 def sizing_sweep(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,12 +40,19 @@ def sizing_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return sized.select(
         *[c for c in sized.columns if c not in rounded],
         *[F.round(c, 10).alias(c) for c in rounded],
-        (F.col("params") < SIZE_LIMIT).alias("small"),
     )
 
 
+def sizing_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """The largest models below the size limit, a rank per number of layers so that no rank spans the whole table."""
+    small = scaling.sizing(configs(spark, sf)).where(F.col("params") < SIZE_LIMIT)
+    by_size = Window.partitionBy("n_layer").orderBy(F.desc("params"), "p_partkey")
+    ranked = small.withColumn("rank", F.row_number().over(by_size)).where(F.col("rank") <= RANKED)
+    return ranked.select("n_layer", "rank", "p_partkey", "n_head", "n_embd", "block_size", "vocab_size", "params")
+
+
 def sizing_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    return scaling.breakdown(configs(spark, sf), "p_partkey").withColumn("pct", F.round("pct", 9))
+    return scaling.breakdown(configs(spark, sf), "p_partkey", "preset").withColumn("pct", F.round("pct", 9))
 
 
 def loss_surface(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,6 +107,7 @@ def loglog_fit(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "sizing_sweep": sizing_sweep,
+    "sizing_ranked": sizing_ranked,
     "sizing_breakdown": sizing_breakdown,
     "loss_surface": loss_surface,
     "compute_optimal": compute_optimal,
@@ -101,10 +115,16 @@ QUERIES = {
     "loglog_fit": loglog_fit,
 }
 
-CONFIGS = """configs AS (
-    SELECT p_partkey, 1 + p_partkey % 48 AS l, 1 + p_size % 25 AS h, 64 * (1 + (p_partkey // 48) % 25) AS d,
-           256 * (1 + p_partkey % 4) AS t, ([65, 16000, 50257, 50304])[p_size % 4 + 1] AS v
-    FROM part WHERE (64 * (1 + (p_partkey // 48) % 25)) % (1 + p_size % 25) = 0)"""
+PRESET_ROWS = ", ".join(
+    f"({-i}, '{n}', {l}, {h}, {d}, 1024, 50257)" for i, (n, (l, h, d)) in enumerate(scaling.PRESETS.items(), 1)
+)
+CONFIGS = f"""configs AS (
+    SELECT * FROM (
+        SELECT p_partkey, '' AS preset, 1 + p_partkey % 48 AS l, 1 + p_size % 25 AS h,
+               64 * (1 + (p_partkey // 48) % 25) AS d, 256 * (1 + p_partkey % 4) AS t,
+               ([65, 16000, 50257, 50304])[p_size % 4 + 1] AS v FROM part
+        UNION ALL VALUES {PRESET_ROWS})
+    WHERE d % h = 0)"""
 LOSS = "(406.4::DOUBLE / pow({n}, 0.34::DOUBLE) + 410.7::DOUBLE / pow({d}, 0.28::DOUBLE) + 1.69::DOUBLE)"
 OPTIMAL = f"""sizes AS (SELECT i, pow(10.0::DOUBLE, 7 + i / 256.0::DOUBLE) AS n FROM range(1792) t(i)),
     budgets AS (SELECT b, pow(10.0::DOUBLE, 17 + b / 256.0::DOUBLE) AS c FROM range(2304) t(b)),
@@ -113,20 +133,19 @@ OPTIMAL = f"""sizes AS (SELECT i, pow(10.0::DOUBLE, 7 + i / 256.0::DOUBLE) AS n
     best AS MATERIALIZED (
         SELECT b, arg_min(n, loss) AS n, arg_min(d, loss) AS d, min(loss) AS loss FROM losses GROUP BY b)"""
 
+LAYERS = "l * (12 * d * d + 2 * d)"
 PARAMS = [
-    ("embedding/position", "d * t"), ("embedding/token", "d * v"), ("embedding", "d * t + d * v"),
-    ("attention/ln", "d"), ("attention/kqv", "3 * d * d"), ("attention/proj", "d * d"), ("attention", "4 * d * d + d"),
-    ("mlp/ln", "d"), ("mlp/ffw", "4 * d * d"), ("mlp/proj", "4 * d * d"), ("mlp", "8 * d * d + d"),
-    ("block", "12 * d * d + 2 * d"), ("transformer", "l * (12 * d * d + 2 * d)"), ("ln_f", "d"), ("dense", "0"),
-    ("total", "d * t + d * v + l * (12 * d * d + 2 * d) + d"),
+    ("place_table", "d * t"), ("token_table", "d * v"), ("tables", "d * t + d * v"),
+    ("first_scale", "l * d"), ("read_heads", "l * 3 * d * d"), ("join_heads", "l * d * d"), ("second_scale", "l * d"),
+    ("widen", "l * 4 * d * d"), ("narrow", "l * 4 * d * d"), ("layers", LAYERS), ("last_scale", "d"), ("end", "d"),
+    ("total", f"d * t + d * v + {LAYERS} + d"),
 ]
-FORWARD = "(l * (24 * t * d * d + 4 * t * t * d) + 2 * t * d * v)"
+LAYER_FLOPS = "l * (24 * t * d * d + 4 * t * t * d)"
+FORWARD = f"({LAYER_FLOPS} + 2 * t * d * v)"
 FLOPS = [
-    ("attention/kqv", "6 * t * d * d"), ("attention/scores", "2 * t * t * d"), ("attention/reduce", "2 * t * t * d"),
-    ("attention/proj", "2 * t * d * d"), ("attention", "8 * t * d * d + 4 * t * t * d"), ("mlp/ffw1", "8 * t * d * d"),
-    ("mlp/ffw2", "8 * t * d * d"), ("mlp", "16 * t * d * d"), ("block", "24 * t * d * d + 4 * t * t * d"),
-    ("transformer", "l * (24 * t * d * d + 4 * t * t * d)"), ("dense", "2 * t * d * v"),
-    ("forward_total", FORWARD), ("backward_total", f"2 * {FORWARD}"), ("total", f"3 * {FORWARD}"),
+    ("token_table", "2 * t * d * v"), ("read_heads", "l * 6 * t * d * d"), ("join_heads", "l * 2 * t * d * d"),
+    ("widen", "l * 8 * t * d * d"), ("narrow", "l * 8 * t * d * d"), ("token_pairs", "l * 4 * t * t * d"),
+    ("layers", LAYER_FLOPS), ("total", FORWARD),
 ]
 TOTAL = PARAMS[-1][1]
 
@@ -136,8 +155,8 @@ ORACLE = {
                    l * (4 * d * d + 4 * d + d * d + 2 * d + 8 * d * d + 5 * d + 4 * d) + 2 * d + d * v AS rel,
                    3 * l * (6 * t * d * d + 2 * t * t * d + 3 * h * t * t + 2 * t * t * d + 2 * t * d * d + 16 * t * d * d) AS frel
             FROM configs)
-        SELECT p_partkey, l::INTEGER AS n_layer, h::INTEGER AS n_head, d::INTEGER AS n_embd, t::INTEGER AS block_size,
-               v AS vocab_size, (4 * d)::INTEGER AS ffw_size, params, params - d * t AS params_no_position,
+        SELECT p_partkey, preset, l::INTEGER AS n_layer, h::INTEGER AS n_head, d::INTEGER AS n_embd, t::INTEGER AS block_size,
+               v::INTEGER AS vocab_size, (4 * d)::INTEGER AS ffw_size, params, params - d * t AS params_no_position,
                l * (12 * d * d + 13 * d) + 2 * d + d * v AS params_biased, rel AS params_relative, frel AS flops_relative,
                d * t + d * v + 12 * l * d * d AS params_decayed, (2 * l + 1) * d AS params_not_decayed,
                {FORWARD} AS flops_forward, 2 * {FORWARD} AS flops_backward, flops_total,
@@ -145,12 +164,16 @@ ORACLE = {
                round((6 * (params - d * t) + 12 * l * d * t) * t / flops_total, 10) AS palm_ratio,
                round(frel / (6.0::DOUBLE * rel * t), 10) AS relative_ratio,
                round(12 * params / 40e9::DOUBLE, 10) AS memory_ratio,
-               round(6.0::DOUBLE * params * 300e9::DOUBLE / (312e12::DOUBLE * 8 * 0.3::DOUBLE) / 86400, 10) AS training_days,
-               params < {SIZE_LIMIT} AS small
+               round(6.0::DOUBLE * params * 300e9::DOUBLE / (312e12::DOUBLE * 8 * 0.3::DOUBLE) / 86400, 10) AS training_days
         FROM p""",
+    "sizing_ranked": f"""WITH {CONFIGS}, ranked AS (
+            SELECT *, {TOTAL} AS params, row_number() OVER (PARTITION BY l ORDER BY {TOTAL} DESC, p_partkey) AS rank
+            FROM configs WHERE {TOTAL} < {SIZE_LIMIT})
+        SELECT l::INTEGER AS n_layer, rank::INTEGER AS rank, p_partkey, h::INTEGER AS n_head, d::INTEGER AS n_embd,
+               t::INTEGER AS block_size, v::INTEGER AS vocab_size, params FROM ranked WHERE rank <= {RANKED}""",
     "sizing_breakdown": f"WITH {CONFIGS} "
     + " UNION ALL ".join(
-        f"SELECT p_partkey, '{measure}' AS measure, '{name}' AS component, ({amount})::BIGINT AS amount, "
+        f"SELECT p_partkey, preset, '{measure}' AS measure, '{name}' AS component, ({amount})::BIGINT AS amount, "
         f"round(({amount}) / ({total}) * 100, 9) AS pct FROM configs"
         for measure, parts, total in (("params", PARAMS, TOTAL), ("flops", FLOPS, FORWARD))
         for name, amount in parts
