@@ -227,7 +227,8 @@ def near_vectors(
     found = firsts.join(counted, "class", "left").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     ids = found.groupBy("root").agg(F.min("first").alias("component_id"))
     per_class = found.join(ids, "root").select("class", "component_id", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
-    linked = rows.where("`class` is not null").select("id", "class").join(per_class, "class").select("id", "n_links", "component_id")
+    # Written, so that the join with a hot class reads two plain shuffles, whose large partitions Spark splits.
+    linked = rows.where("`class` is not null").select("id", "class").join(written(per_class, "per-class"), "class").select("id", "n_links", "component_id")
     alone = rows.where("`class` is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionAll(alone).select(
         F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")

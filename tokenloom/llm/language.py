@@ -174,11 +174,13 @@ def identify(docs: DataFrame, pages: DataFrame, model: TextModel | None = None)
 
     own = F.array(*[F.when(F.col("guess") == i, 1.0).otherwise(0.0) for i in range(size)])
     zeros = F.array(*[F.lit(0.0)] * size)
-    by_host = _counts(rows, ["place", "host"], size, "host_counts")
-    by_domain = _counts(rows.where("domain is not null"), ["domain"], size, "domain_counts")
+    # Written, so that a join with a hot host reads two plain shuffles, whose large partitions Spark splits.
+    by_host = written(_counts(rows, ["place", "host"], size, "host_counts"), "hosts")
+    by_domain = written(_counts(rows.where("domain is not null"), ["domain"], size, "domain_counts"), "domains")
     placed = rows.join(by_host, ["place", "host"], "left").join(by_domain, "domain", "left")
     for witness in ("declared", "suffix"):
-        placed = placed.join(_counts(rows.where(f"{witness} is not null"), [witness], size, f"{witness}_counts"), witness, "left")
+        counts = _counts(rows.where(f"{witness} is not null"), [witness], size, f"{witness}_counts")
+        placed = placed.join(written(counts, witness), witness, "left")
     totals = F.array(*[F.lit(float(v)) for v in overall])
 
     def less_own(counts: str) -> Column:
