@@ -49,7 +49,11 @@ def test_runs_of_chunks_meet_in_one_partition_without_a_second_shuffle(encoded,
     def shuffles(frame):
         return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
-    assert shuffles(runs) == shuffles(plain)
+    # Offsets alone take one shuffle of the documents; whole chunks are gathered where they lie.
+    assert shuffles(packing.stream_offsets(encoded)) == 1
+    border = "Exchange hashpartitioning(split#"
+    lines = [x for x in plain._jdf.queryExecution().executedPlan().toString().split("\n") if border in x and "chunk_id" in x]
+    assert len({x.split(", [plan_id")[0].lstrip(" +-:*") for x in lines}) == 1
 
 
 @pytest.mark.parametrize("partitions", [1, 7, 32])
@@ -133,3 +137,18 @@ def test_metadata(spark, docs, tmp_path):
     assert (stored.first().eos_id, stored.first().stoi) == (3, None)
     assert meta.model_vocab_size(stored).first().vocab_size == 16000
     assert meta.model_vocab_size(stored.where("false")).first().vocab_size == 50304
+
+
+def test_borders_are_met_again_whatever_the_buckets(encoded, streams):
+    offsets = packing.stream_offsets(encoded)
+    assert rebuilt(packing.pack_chunks(offsets, BLOCK)) == rebuilt(packing.pack_chunks(offsets.drop(packing.BUCKET), BLOCK))
+    assert rebuilt(packing.pack_chunks(offsets, 3)) == rebuilt(packing.pack_chunks(offsets.drop(packing.BUCKET), 3))
+
+
+def test_too_many_splits_and_short_ones_are_errors(spark):
+    many = spark.range(packing.MOST_SPLITS + 1).select(F.col("id").cast("string").alias("split"), F.lit(1).alias("len"))
+    with pytest.raises(ValueError):
+        packing.stream_lengths(many)
+    assert len(packing.stream_lengths(many.limit(11))) == 11
+    with pytest.raises(ValueError):
+        packing.draw_offsets(packing.batch_plan(spark, 1, 1), "val", 8, 8)

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -159,3 +160,67 @@ def test_pieces(docs, model):
     encoded = encode.encode_subwords(docs("the é"), model)
     pieces = encoded.select(encode.pieces_of(F.col("ids"), model).alias("p")).first().p
     assert pieces == ["▁the", "▁", "<0xC3>", "<0xA9>", "</s>"]
+
+
+def merged_by_passes(unit, ranks):
+    parts = list(unit)
+    while len(parts) > 1:
+        best = min(zip(parts, parts[1:]), key=lambda pair: ranks.get(pair, len(ranks)))
+        if best not in ranks:
+            break
+        joined, i = [], 0
+        while i < len(parts):
+            if tuple(parts[i : i + 2]) == best:
+                joined.append(best[0] + best[1])
+                i += 2
+            else:
+                joined.append(parts[i])
+                i += 1
+        parts = joined
+    return parts
+
+
+def random_ranks(rng, letters, merges, longest=12):
+    symbols, ranks = list(letters), {}
+    for _ in range(merges):
+        pair = rng.choice(symbols), rng.choice(symbols)
+        if pair not in ranks and len(pair[0] + pair[1]) <= longest:
+            ranks[pair] = len(ranks)
+            symbols.append(pair[0] + pair[1])
+    return ranks
+
+
+def test_merges_of_a_unit_equal_passes_over_it():
+    rng = random.Random(1)
+    for _ in range(3000):
+        ranks = random_ranks(rng, "abc", rng.randint(0, 12))
+        unit = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 25)))
+        assert encode.merge_unit(unit, ranks) == merged_by_passes(unit, ranks)
+
+
+def test_a_long_unit_is_merged_at_once():
+    rng = random.Random(2)
+    ranks = random_ranks(rng, "abcdefghij", 4000)
+    unit = "".join(rng.choice("abcdefghij") for _ in range(100_000))
+    begin = time.perf_counter()
+    assert "".join(encode.merge_unit(unit, ranks)) == unit
+    assert time.perf_counter() - begin < 1
+
+
+def test_a_longer_stored_model_is_an_error(spark, tmp_path, monkeypatch):
+    model = vocab.Subwords([("a", "b"), ("ab", "c")], ["a", "b", "c"])
+    vocab.write_subwords(spark, model, f"{tmp_path}/m")
+    assert vocab.read_subwords(spark, f"{tmp_path}/m") == model
+    monkeypatch.setattr(vocab, "ID_LIMIT", 4)
+    with pytest.raises(ValueError):
+        vocab.read_subwords(spark, f"{tmp_path}/m")
+
+
+def test_documents_without_end_marks_and_with_composed_characters(spark, docs):
+    model = vocab.Subwords([("▁", "f")], ["▁", "f", "i", "A"])
+    frame = docs("ﬁ Ａ", "", "fi A")
+    plain = {r.doc_id: r.ids for r in encode.encode_subwords(frame, model, eos_id=None, compose=True).collect()}
+    assert plain[0] == plain[2] and plain[1] == []
+    closed = {r.doc_id: r.ids for r in encode.encode_subwords(frame, model, compose=True).collect()}
+    assert closed == {i: [*ids, vocab.EOS_ID] if ids else [] for i, ids in plain.items()}
+    assert {r.doc_id: r.ids for r in encode.encode_subwords(frame, model, eos_id=None).collect()}[0] != plain[0]

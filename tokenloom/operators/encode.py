@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,70 +64,103 @@ def char_ids_or_bytes(text: Column, ids: dict[str, int]) -> Column:
     return F.flatten(F.transform(T.characters(text), encoded))
 
 
-def encode_documents(docs: DataFrame, ids: Column, eos_id: int, keep_empty: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, ids: Column, eos_id: int | None, keep_empty: bool = False) -> DataFrame:
     """`ids` and `len` of every document, with the end-of-text id appended; `text` is dropped.
 
-    An empty document gives no ids at all, or only the end-of-text id with `keep_empty`.
+    An empty document gives no ids at all, or only the end-of-text id with `keep_empty`. Without
+    an `eos_id` no document is closed: the ids are those of the text alone.
     """
-    closed = F.array_append(ids, F.lit(eos_id).cast("int"))
-    if not keep_empty:
+    closed = ids if eos_id is None else F.array_append(ids, F.lit(eos_id).cast("int"))
+    if not keep_empty and eos_id is not None:
         closed = F.when(F.col("text") != "", closed).otherwise(F.array().cast("array<int>"))
     kept = [c for c in docs.columns if c != "text"]
     return docs.select(*kept, closed.alias("ids")).withColumn("len", F.size("ids"))
 
 
+def nfkc(text: Column) -> Column:
+    """Compatibility composition of a text, which Spark has no function for."""
+
+    @F.arrow_udf("string")
+    def compose(texts: pa.Array) -> pa.Array:
+        return pc.utf8_normalize(texts, "NFKC")
+
+    return compose(text)
+
+
 def merge_unit(unit: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Symbols of a unit after all merges, lowest rank first."""
-    parts = list(unit)
-    while len(parts) > 1:
-        best = min(zip(parts, parts[1:]), key=lambda pair: ranks.get(pair, len(ranks)))
-        if best not in ranks:
-            break
-        joined, i = [], 0
-        while i < len(parts):
-            if tuple(parts[i : i + 2]) == best:
-                joined.append(best[0] + best[1])
-                i += 2
-            else:
-                joined.append(parts[i])
-                i += 1
-        parts = joined
-    return parts
+    """Symbols of a unit after all merges: the lowest rank first, its places from left to right.
+
+    Symbols form a linked list and ranked pairs a heap, so a unit of n characters takes O(n log n).
+    """
+    parts: list[str | None] = list(unit)
+    after = list(range(1, len(parts) + 1))
+    before = list(range(-1, len(parts) - 1))
+    heap = [(ranks[pair], i) for i, pair in enumerate(zip(parts, parts[1:])) if pair in ranks]
+    heapify(heap)
+    while heap:
+        rank = heap[0][0]
+        places = []
+        while heap and heap[0][0] == rank:
+            places.append(heappop(heap)[1])
+        fresh = []
+        for i in places:
+            j = after[i]
+            if parts[i] is None or j >= len(parts) or ranks.get((parts[i], parts[j])) != rank:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            after[i] = after[j]
+            if after[i] < len(parts):
+                before[after[i]] = i
+            fresh.append(i)
+        # The pairs around this rank's merges count once all of its places are merged.
+        for i in fresh:
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < len(parts) and (parts[left], parts[right]) in ranks:
+                    heappush(heap, (ranks[parts[left], parts[right]], left))
+    return [p for p in parts if p is not None]
 
 
 def subword_encoder(model: Subwords):
     """Arrow function from space-separated units to ids.
 
-    Units are cut and normalized in the JVM. A task meets each distinct unit once; the rest
-    are dictionary hits, so no text is shuffled.
+    Units are cut and normalized in the JVM. A batch is dictionary-encoded as a whole: Python sees
+    each distinct unit of a batch, merges each distinct unit of a task once, and the id lists are gathered by array.
     """
     ranks = {pair: i for i, pair in reversed(list(enumerate(model.merges)))}
     ids = model.piece_ids()
 
-    def unit_ids(unit: str) -> array:
-        out = array("i")
+    def unit_ids(unit: str) -> np.ndarray:
+        out: list[int] = []
         for piece in merge_unit(unit, ranks):
             if piece in ids:
                 out.append(ids[piece])
             else:
                 out.extend(BYTE_BASE + b for b in piece.encode())
-        return out
+        return np.array(out, np.int32)
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, array] = {"": array("i")}
+        known: dict[str, np.ndarray] = {}
         for batch in batches:
-            values, ends = array("i"), [0]
-            for text in batch.to_pylist():
-                for unit in (text or "").split(" "):
-                    if unit not in known:
-                        if len(known) > UNIT_CACHE:
-                            known = {"": array("i")}
-                        known[unit] = unit_ids(unit)
-                    values.extend(known[unit])
-                ends.append(len(values))
-            flat = np.frombuffer(values, dtype=np.int32) if values else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            listed = pc.split_pattern(batch.fill_null(""), " ")
+            words = listed.flatten().dictionary_encode()
+            units = words.dictionary.to_pylist()
+            if len(known) + len(units) > UNIT_CACHE:
+                known = {}
+            for unit in units:
+                if unit not in known:
+                    known[unit] = unit_ids(unit)
+            lists = [known[u] for u in units]
+            sizes = np.array([len(v) for v in lists], np.int64)
+            firsts = np.cumsum(sizes) - sizes
+            flat = np.concatenate([*lists, np.zeros(0, np.int32)])
+            # Every word's ids, one after the other, by position in the distinct units' ids.
+            index = words.indices.to_numpy()
+            lengths = sizes[index]
+            ends = np.cumsum(lengths)
+            place = np.repeat(firsts[index] - (ends - lengths), lengths) + np.arange(lengths.sum())
+            borders = np.append(0, ends)[listed.offsets.to_numpy() - listed.offsets[0].as_py()]
+            yield pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(flat[place], pa.int32()))
 
     return encode
 
@@ -135,13 +169,19 @@ def subword_encoder(model: Subwords):
 UNIT_CACHE = 500_000
 
 
-def encode_subwords(docs: DataFrame, model: Subwords, eos_id: int = EOS_ID) -> DataFrame:
-    """Documents of subword ids: strip, encode, close with the end-of-text id."""
-    cut = docs.withColumn("text", T.units(F.col("text")))
+def encode_subwords(docs: DataFrame, model: Subwords, eos_id: int | None = EOS_ID, compose: bool = False) -> DataFrame:
+    """Documents of subword ids: strip, encode, close with the end-of-text id unless that is None.
+
+    `compose` folds compatible characters first (NFKC).
+    """
+    body = nfkc(F.coalesce("text", F.lit(""))) if compose else F.col("text")
+    cut = docs.withColumn("text", T.units(body))
     encode = subword_encoder(model)
     kept = [c for c in docs.columns if c != "text"]
     encoded = cut.select(*kept, encode(F.col("text")).alias("ids"))
-    closed = F.when(F.size("ids") > 0, F.array_append("ids", F.lit(eos_id))).otherwise(F.col("ids"))
+    closed = F.col("ids")
+    if eos_id is not None:
+        closed = F.when(F.size("ids") > 0, F.array_append("ids", F.lit(eos_id))).otherwise(closed)
     return encoded.withColumn("ids", closed).withColumn("len", F.size("ids"))
 
 

@@ -6,7 +6,7 @@ totals of the runs before it are added. Only the run totals meet in one window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +17,12 @@ from tokenloom.functions.lookup import constant_array, count_at_most
 from tokenloom.session import cut_lineage
 
 # Hexadecimal digits of an md5 key that name its bucket, and the most buckets that gives.
+BUCKET = "order_bucket"
 BUCKET_DIGITS = 3
 MAX_BUCKET_DIGITS = 4
 ROWS_PER_BUCKET = 20_000
+# Most bucket totals that are sent to every task.
+BROADCAST_TOTALS = 1 << 20
 # Rows below which a range of an order is not cut further.
 ROWS_PER_PART = 20_000
 
@@ -30,12 +33,14 @@ def bucket_digits(rows: int) -> int:
 
 
 def hashed_prefix_sum(
-    df: DataFrame, group: str, key: str, tie: str, weight: Column, name: str, digits: int = BUCKET_DIGITS
+    df: DataFrame, group: str, key: str, tie: str, weight: Column, name: str, digits: int = BUCKET_DIGITS, keep_bucket: bool = False
 ) -> DataFrame:
     """Sum of `weight` over the rows before this one in (`key`, `tie`) order, per `group`.
 
     `key` is an md5 key, so its leading digits cut the order into even buckets. Only bucket
-    totals (at most 16^digits per group) are broadcast.
+    totals (at most 16^digits per group) are broadcast; beyond `BROADCAST_TOTALS` of them they are joined by key.
+    With `keep_bucket` the rows keep their `BUCKET` and stay partitioned by group and bucket.
+    A bucket is one task's window, so a group of more than about 10^12 rows asks for more digits than there are.
     """
     if digits > MAX_BUCKET_DIGITS:
         raise ValueError("too many buckets to broadcast")
@@ -43,11 +48,13 @@ def hashed_prefix_sum(
     totals = weighted.groupBy(group, "_bucket").agg(F.sum("_weight").alias("_total"))
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(group, "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
+    bases = cut_lineage(bases)
     inside = Window.partitionBy(group, "_bucket").orderBy(key, tie).rowsBetween(Window.unboundedPreceding, -1)
     return (
         weighted.withColumn("_local", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-        .join(F.broadcast(bases), [group, "_bucket"])
+        .join(F.broadcast(bases) if bases.count() <= BROADCAST_TOTALS else bases, [group, "_bucket"])
         .withColumn(name, F.col("_base") + F.col("_local"))
+        .withColumnRenamed("_bucket", BUCKET if keep_bucket else "_bucket")
         .drop("_bucket", "_weight", "_total", "_base", "_local")
     )
 
@@ -114,10 +121,18 @@ class Cut:
         return condition
 
 
-def hashed_cut(df: DataFrame, key: str, tie: str, rank: int) -> Cut | None:
-    """The row of rank `rank` (from 1) in (`key`, `tie`) order, if there is one; `key` is an md5 key."""
+def hashed_cut(df: DataFrame, key: str, tie: str, rank: int | Callable[[int], int]) -> Cut | None:
+    """The row of rank `rank` (from 1) in (`key`, `tie`) order, if there is one; `key` is an md5 key.
+
+    `rank` may depend on the number of rows, which the bucket totals hold.
+    """
     slim = df.select(key, tie).withColumn("_bucket", F.substring(key, 1, MAX_BUCKET_DIGITS))
     totals = slim.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_total"))
+    if callable(rank):
+        totals = cut_lineage(totals)
+        rank = rank(totals.agg(F.coalesce(F.sum("_total"), F.lit(0)).alias("n")).first()["n"])
+    if rank < 1:
+        return None
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     hit = (
         totals.withColumn("_through", F.sum("_total").over(running))

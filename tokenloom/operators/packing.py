@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.keys import key_integer, order_key
-from tokenloom.operators.ordered import bucket_digits, hashed_prefix_sum
+from tokenloom.operators.ordered import BUCKET, bucket_digits, hashed_prefix_sum
 
 WINDOW_SEED = 1337
+MOST_SPLITS = 1000
 
 
 def stream_offsets(encoded: DataFrame) -> DataFrame:
-    """Adds `stream_start`, the position of each document in the token stream of its split."""
+    """Adds `stream_start`, the position of each document in the token stream of its split, and its bucket."""
     digits = bucket_digits(encoded.count())
-    return hashed_prefix_sum(encoded, "split", "order_key", "doc_id", F.col("len"), "stream_start", digits)
+    return hashed_prefix_sum(encoded, "split", "order_key", "doc_id", F.col("len"), "stream_start", digits, keep_bucket=True)
 
 
 def pack_chunks(offsets: DataFrame, block: int, run: int = 1) -> DataFrame:
     """The stream cut into `(split, chunk_id, tokens)` rows of `block` tokens, the last one shorter.
 
-    A document is sliced at chunk borders, so one row per (document, chunk) overlap is
-    shuffled. A chunk gathers at most `block` pieces, as every piece holds a token. With
+    A document is sliced at chunk borders. A chunk gathers at most `block` pieces, as every piece
+    holds a token. Rows that still lie by the bucket of their order are gathered where they are;
+    only chunks that cross a bucket's border are shuffled, so the tokens move once. With
     `run`, that many consecutive chunks meet in one partition, in order, ready for a file.
     """
     end = F.col("stream_start") + F.col("len")
@@ -36,8 +38,15 @@ def pack_chunks(offsets: DataFrame, block: int, run: int = 1) -> DataFrame:
     first_chunk = F.expr(f"stream_start div {block}")
     last_chunk = F.expr(f"(stream_start + len - 1) div {block}")
     pieces = offsets.where(F.col("len") > 0).select(
-        "split", F.inline(F.transform(F.sequence(first_chunk, last_chunk), piece))
+        "split", *[c for c in offsets.columns if c == BUCKET], F.inline(F.transform(F.sequence(first_chunk, last_chunk), piece))
     )
+    if BUCKET in pieces.columns and run == 1:
+        near = pieces.groupBy("split", BUCKET, "chunk_id").agg(F.sort_array(F.collect_list(F.struct("first", "piece"))).alias("p"))
+        joined = near.select("split", "chunk_id", "p", F.flatten(F.transform("p", lambda s: s["piece"])).alias("tokens"))
+        whole = joined.where(F.size("tokens") == block).select("split", "chunk_id", "tokens")
+        border = joined.where(F.size("tokens") < block).select("split", "chunk_id", F.explode("p").alias("part"))
+        met = border.groupBy("split", "chunk_id").agg(F.sort_array(F.collect_list("part")).alias("p"))
+        return whole.unionAll(met.select("split", "chunk_id", F.flatten(F.transform("p", lambda s: s["piece"])).alias("tokens")))
     keys = ["split", "chunk_id"]
     if run > 1:
         # The grouping keys contain the shuffle keys, so the grouping adds no second shuffle.
@@ -50,9 +59,13 @@ def pack_chunks(offsets: DataFrame, block: int, run: int = 1) -> DataFrame:
     return chunks.sortWithinPartitions("split", "chunk_id") if run > 1 else chunks
 
 
-def stream_lengths(encoded: DataFrame) -> dict[str, int]:
-    """Tokens per split; there are only a few splits."""
-    rows = encoded.groupBy("split").agg(F.sum(F.col("len").cast("long")).alias("n")).limit(1000).collect()
+def stream_lengths(encoded: DataFrame, length: Column | None = None) -> dict[str, int]:
+    """Tokens per split. Splits are named one by one in later plans, so more than `MOST_SPLITS` raise."""
+    length = F.col("len") if length is None else length
+    sums = encoded.groupBy("split").agg(F.sum(length.cast("long")).alias("n"))
+    rows = sums.limit(MOST_SPLITS + 1).collect()
+    if len(rows) > MOST_SPLITS:
+        raise ValueError(f"more than {MOST_SPLITS} splits")
     return {r["split"]: r["n"] for r in rows}
 
 

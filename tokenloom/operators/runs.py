@@ -1,7 +1,7 @@
 """Analysis of training runs: schedule, logged loss, utilization, checkpoints and timing.
 
-A run may hold any share of all rows. Its rows are numbered by `ordered.row_numbers`, cut
-into blocks of consecutive numbers, and only one row per block meets the rest of its run.
+A run may hold any share of all rows. Its rows are numbered once by `ordered.row_numbers` and
+written, as the functions here read them several times; then they are cut into blocks of consecutive numbers, and only one row per block meets the rest of its run.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.keys import order_key
 from tokenloom.operators.ordered import bucket_digits, hashed_cut, hashed_prefix_sum, weighted_cut
+from tokenloom.session import cut_lineage
 
 SPLIT_SEED = 2357
 
@@ -16,14 +17,12 @@ SPLIT_SEED = 2357
 def random_split(docs: DataFrame, val_fraction: float, seed: int = SPLIT_SEED, key: str = "doc_id") -> DataFrame:
     """Adds `order_key` and `split`; `val` holds the ceil(fraction * n) smallest keys.
 
-    Two small aggregates over the ids find the cut key; labelling is then a plain projection.
+    One small aggregate over the ids and one look into a bucket find the cut key; labelling is then a plain projection.
     """
     keyed = docs.withColumn("order_key", order_key(seed, F.col(key)))
-    rows = docs.count()
-    val_rows = math.ceil(val_fraction * rows)
-    if val_rows == 0:
+    cut = hashed_cut(keyed, "order_key", key, lambda rows: math.ceil(val_fraction * rows))
+    if cut is None:
         return keyed.withColumn("split", F.lit("train"))
-    cut = hashed_cut(keyed, "order_key", key, val_rows)
     in_val = cut.up_to(F.col("order_key"), F.col(key))
     return keyed.withColumn("split", F.when(in_val, "val").otherwise("train"))
 
@@ -36,10 +35,10 @@ def shuffled(split_docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def sequential_split(docs: DataFrame, train_fraction: float = 0.9, key: str = "doc_id") -> DataFrame:
     """First int(fraction * n) characters of the concatenation to `train`, the rest to `val`.
 
-    Only the ids and lengths are shuffled. The documents pass one projection, in which the
-    document that holds the boundary is cut in two.
+    Ids and lengths are written once, and only they are shuffled. The documents pass one
+    projection, in which the document that holds the boundary is cut in two.
     """
-    lengths = docs.select(key, F.char_length(F.coalesce("text", F.lit(""))).alias("n"))
+    lengths = cut_lineage(docs.select(key, F.char_length(F.coalesce("text", F.lit(""))).alias("n")))
     total = lengths.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0)).alias("t")).first()["t"]
     boundary = int(train_fraction * total)
     cut = weighted_cut(lengths, key, F.col("n"), boundary)

@@ -114,8 +114,10 @@ def write_subwords(spark: SparkSession, model: Subwords, path: str) -> None:
 
 
 def read_subwords(spark: SparkSession, path: str) -> Subwords:
-    """The model from its tables, which hold fewer rows than there are 16-bit ids."""
-    merges = spark.read.parquet(f"{path}/merges").orderBy("rank").limit(ID_LIMIT).collect()
-    pieces = spark.read.parquet(f"{path}/vocab").where("kind = 'char'").orderBy("id").limit(ID_LIMIT).collect()
+    """The model from its tables, which must hold fewer rows than there are 16-bit ids."""
+    merges = spark.read.parquet(f"{path}/merges").orderBy("rank").limit(ID_LIMIT + 1).collect()
+    pieces = spark.read.parquet(f"{path}/vocab").where("kind = 'char'").orderBy("id").limit(ID_LIMIT + 1).collect()
+    if len(merges) + len(pieces) > ID_LIMIT:
+        raise ValueError("the stored model does not fit 16-bit ids")
     learned = [r["left"] + r["right"] for r in merges]
     return Subwords([(r["left"], r["right"]) for r in merges], [r["piece"] for r in pieces if r["piece"] not in learned])

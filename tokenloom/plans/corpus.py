@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tokenloom.functions import text as T
 from tokenloom.functions.arrays import digest, joined
@@ -60,6 +61,20 @@ def random_split(spark: SparkSession, sf: str) -> DataFrame:
     return splits.random_split(documents(spark, sf).select("doc_id"), VAL_FRACTION)
 
 
+def shuffled_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Position of every document in the shuffled order, written in that order and read file by file."""
+    path = scratch_path(spark, "shuffled")
+    splits.shuffled(random_split(spark, sf)).write.parquet(path)
+    stored = spark.read.parquet(path).select("split", "doc_id", "order_key", F.input_file_name().alias("file"))
+    place = Window.partitionBy("split", "file").orderBy("order_key", "doc_id")
+    # The files follow each other in the order of their names.
+    sizes = stored.groupBy("split", "file").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("split").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("split", "file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = stored.withColumn("local", F.row_number().over(place)).join(before, ["split", "file"])
+    return numbered.select("split", "doc_id", (F.col("before") + F.col("local") - 1).alias("position"))
+
+
 def split_counts(spark: SparkSession, sf: str) -> DataFrame:
     return random_split(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("num_rows"))
 
@@ -159,6 +174,7 @@ QUERIES = {
     "sentences": sentence_rows,
     "sentence_sample": sentence_sample,
     "random_split": random_split,
+    "shuffled_order": shuffled_order,
     "split_counts": split_counts,
     "sequential_split": sequential_split,
     "shards": shards,
@@ -186,6 +202,8 @@ COVERAGE = """coverage AS (
     FROM (SELECT c, count(*) AS cnt FROM chars GROUP BY c))"""
 
 ORACLE = {
+    "shuffled_order": f"""WITH {S.SPLITS}
+        SELECT split, doc_id, row_number() OVER (PARTITION BY split ORDER BY k, doc_id) - 1 AS position FROM splits""",
     "corpus_clean": f"WITH {S.CLEAN} SELECT doc_id, t AS text FROM clean WHERE t <> ''",
     "corpus_profile": f"""WITH {S.CLEAN}
         SELECT count(*) AS num_rows, count(*) FILTER (t <> '') AS docs_written,

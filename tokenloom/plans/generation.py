@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from tokenloom.functions import text as T
 from tokenloom.functions.arrays import crop_context, digest, joined, truncate_at
 from tokenloom.operators import ngram, packing, sampling
-from tokenloom.operators.encode import char_ids, decode_chars, encode_documents
+from tokenloom.operators.encode import char_ids, decode_chars, encode_documents, encode_subwords
 from tokenloom.operators.splits import random_split
-from tokenloom.operators.vocab import char_vocab, collect_ids
+from tokenloom.operators.vocab import EOS_ID, char_vocab, collect_ids
 from tokenloom.plans import sqlparts as S
+from tokenloom.plans import subwords
 from tokenloom.plans.tables import VAL_FRACTION, documents_with, table
-from tokenloom.session import spread
+from tokenloom.session import cut_lineage
 from tokenloom.sources.documents import clean
 
-BLOCK = 256
+BLOCK = 64
 CONTEXT = 64
 EVAL_ITERS = 200
 EVAL_BATCH = 4
@@ -27,6 +28,8 @@ TOP_K = 10
 TEMPERATURE = 0.8
 SAMPLES = 2
 STEPS = 12
+# Ids of a document that make a prompt.
+PROMPT = 8
 
 
 @dataclass(frozen=True)
@@ -34,27 +37,30 @@ class Corpus:
     encoded: DataFrame
     prompts: DataFrame
     vocab: dict[str, int]
-
-    @property
-    def eos(self) -> int:
-        return len(self.vocab)
-
-    @property
-    def size(self) -> int:
-        return len(self.vocab) + 1
+    eos: int
+    size: int
 
 
 def corpus(spark: SparkSession, sf: str) -> Corpus:
     """Documents and conversation turns encoded with the alphabet of both."""
     docs = clean(documents_with(spark, sf, "lang"))
-    turns = spread(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     turns = turns.withColumn("text", T.strip(F.col("text")))
     vocab = collect_ids(char_vocab(docs.select("text").unionByName(turns.select("text"))))
     encoded = encode_documents(random_split(docs, VAL_FRACTION), char_ids(F.col("text"), vocab), len(vocab))
     prompts = turns.select(
         F.concat_ws("-", "conv_id", "turn").alias("prompt_id"), "conv_id", "turn", char_ids(F.col("text"), vocab).alias("ids")
     )
-    return Corpus(encoded, prompts, vocab)
+    return Corpus(encoded, prompts, vocab, len(vocab), len(vocab) + 1)
+
+
+def subword_corpus(spark: SparkSession, sf: str) -> Corpus:
+    """Documents of subword ids; a prompt is the beginning of a document."""
+    model = subwords.trained(spark, sf)
+    docs = random_split(documents_with(spark, sf, "lang"), VAL_FRACTION)
+    encoded = cut_lineage(encode_subwords(docs, model))
+    prompts = encoded.select("doc_id", F.slice("ids", 1, PROMPT).alias("ids"))
+    return Corpus(encoded, prompts, {}, EOS_ID, model.size)
 
 
 def train_model(data: Corpus) -> ngram.NgramModel:
@@ -69,36 +75,43 @@ def bigram_model(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("prev", "next", "cnt", F.round("p", 12).alias("p"))
 
 
-def cross_entropy(spark: SparkSession, sf: str) -> DataFrame:
-    data = corpus(spark, sf)
-    counts = ngram.cut_lineage(ngram.pair_counts(data.encoded, data.eos, "split"))
+def split_entropy(data: Corpus) -> DataFrame:
+    counts = cut_lineage(ngram.pair_counts(data.encoded, data.eos, "split"))
     model = ngram.train_ngram(counts.where(F.col("split") == "train"), data.size)
     return ngram.cross_entropy(counts, model, "split").select(
         "split", "tokens", F.round("loss", 9).alias("loss"), F.round("perplexity", 6).alias("perplexity")
     )
 
 
-def eval_loss(spark: SparkSession, sf: str) -> DataFrame:
-    data = corpus(spark, sf)
+def drawn_loss(data: Corpus) -> DataFrame:
+    spark = data.encoded.sparkSession
     model = train_model(data)
     encoded = data.encoded.select("split", "order_key", "doc_id", "ids", "len")
-    chunks = ngram.cut_lineage(packing.pack_chunks(packing.stream_offsets(encoded), BLOCK))
-    lengths = chunks.groupBy("split").agg(F.sum(F.size("tokens")).cast("long").alias("n")).limit(10).collect()
+    chunks = cut_lineage(packing.pack_chunks(packing.stream_offsets(encoded), BLOCK))
+    lengths = packing.stream_lengths(chunks, F.size("tokens"))
     plan = packing.batch_plan(spark, EVAL_ITERS, EVAL_BATCH)
-    drawn = [packing.draw_offsets(plan, r["split"], r["n"], BLOCK) for r in lengths if r["n"] > BLOCK]
+    drawn = [packing.draw_offsets(plan, split, n, BLOCK) for split, n in sorted(lengths.items())]
     windows = reduce(DataFrame.unionByName, drawn)
     cut = packing.cut_windows(windows, chunks, BLOCK, "iter", "slot")
     losses = ngram.window_losses(cut, model, "split", "iter")
     return losses.groupBy("split").agg(F.count(F.lit(1)).alias("batches"), F.round(F.avg("loss"), 9).alias("loss"))
 
 
-def loss_bands(spark: SparkSession, sf: str) -> DataFrame:
-    data = corpus(spark, sf)
+def banded_losses(data: Corpus) -> DataFrame:
     losses = ngram.document_losses(data.encoded, train_model(data), data.eos, "lang")
     banded = losses.withColumn("band", ngram.loss_band(F.col("loss")))
     return banded.groupBy("band", "lang").agg(F.count(F.lit(1)).alias("docs"), F.round(F.avg("loss"), 9).alias("loss"))
 
 
+def bpe_generate(spark: SparkSession, sf: str) -> DataFrame:
+    data = subword_corpus(spark, sf)
+    sampler = sampling.build_sampler(probabilities(train_model(data)))
+    prompts = sampling.fan_out(data.prompts, SAMPLES, data.eos)
+    out = sampling.generate(prompts, sampler, "doc_id", STEPS, CONTEXT)
+    kept = F.size(truncate_at(F.col("generated"), data.eos))
+    return out.select("doc_id", "sample", joined(F.col("generated")).alias("generated"), kept.alias("kept"))
+
+
 def probabilities(model: ngram.NgramModel) -> DataFrame:
     return sampling.top_k_softmax(sampling.model_logits(model, TOP_K), "context", TOP_K, TEMPERATURE)
 
@@ -130,6 +143,7 @@ def generate(spark: SparkSession, sf: str) -> DataFrame:
         joined(F.col("generated")).alias("generated"),
         F.size(kept).alias("kept"),
         decode_chars(kept, data.vocab).alias("text"),
+        decode_chars(F.filter("generated", lambda i: i != data.eos), data.vocab).alias("full_text"),
     )
 
 
@@ -160,9 +174,13 @@ def throughput(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "bigram_model": bigram_model,
-    "cross_entropy": cross_entropy,
-    "eval_loss": eval_loss,
-    "loss_bands": loss_bands,
+    "cross_entropy": lambda spark, sf: split_entropy(corpus(spark, sf)),
+    "eval_loss": lambda spark, sf: drawn_loss(corpus(spark, sf)),
+    "loss_bands": lambda spark, sf: banded_losses(corpus(spark, sf)),
+    "bpe_cross_entropy": lambda spark, sf: split_entropy(subword_corpus(spark, sf)),
+    "bpe_eval_loss": lambda spark, sf: drawn_loss(subword_corpus(spark, sf)),
+    "bpe_loss_bands": lambda spark, sf: banded_losses(subword_corpus(spark, sf)),
+    "bpe_generate": bpe_generate,
     "topk_softmax": topk_softmax,
     "next_token": next_token,
     "generate": generate,
@@ -183,15 +201,17 @@ TURN_IDS = """spots AS (
     prompts AS (
         SELECT conv_id, turn, list(id ORDER BY pos) AS ids FROM spots JOIN vocab USING (c) GROUP BY conv_id, turn)"""
 DOC_IDS = f"{VOCAB}, {S.CHARS}, {S.ENCODED}, {S.SPLITS}"
-MODEL = f"""{DOC_IDS},
+def model_sql(ids: str, eos: str, size: str) -> str:
+    """The pair model of the rows `enc` that `ids` makes."""
+    return f"""{ids},
     follow AS (
-        SELECT split, lang, e.doc_id, coalesce(lag(id) OVER (PARTITION BY e.doc_id ORDER BY pos), {S.EOS}) AS prev, id AS next
+        SELECT split, lang, e.doc_id, coalesce(lag(id) OVER (PARTITION BY e.doc_id ORDER BY pos), {eos}) AS prev, id AS next
         FROM enc e JOIN splits s ON e.doc_id = s.doc_id JOIN clean c ON c.doc_id = e.doc_id),
     bi AS (SELECT prev, next, count(*) AS cnt FROM follow WHERE split = 'train' GROUP BY prev, next),
     ctx AS (SELECT prev, sum(cnt) AS context_cnt FROM bi GROUP BY prev),
     tok AS (SELECT next, sum(cnt) AS token_cnt FROM bi GROUP BY next),
-    tot AS (SELECT sum(cnt) + {S.EOS} + 1 AS mass FROM bi),
-    ids AS (SELECT unnest(range({S.EOS} + 1)) AS id),
+    tot AS (SELECT sum(cnt) + {size} AS mass FROM bi),
+    ids AS (SELECT unnest(range({size})) AS id),
     dense AS MATERIALIZED (
         SELECT a.id AS prev, b.id AS next,
                CASE WHEN context_cnt IS NULL THEN (coalesce(token_cnt, 0) + 1.0::DOUBLE) / mass::DOUBLE
@@ -200,17 +220,29 @@ MODEL = f"""{DOC_IDS},
         FROM ids a CROSS JOIN ids b CROSS JOIN tot
         LEFT JOIN bi ON bi.prev = a.id AND bi.next = b.id
         LEFT JOIN ctx ON ctx.prev = a.id LEFT JOIN tok ON tok.next = b.id)"""
-PROBS = f"""{MODEL},
-    ranked AS (
+
+
+MODEL = model_sql(DOC_IDS, S.EOS, f"{S.EOS} + 1")
+SUBWORD_IDS = f"""{subwords.TOKENS}, {S.SPLITS},
+    enc AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM docs)"""
+SUBWORD_MODEL = model_sql(SUBWORD_IDS, str(EOS_ID), "(SELECT 260 + count(DISTINCT piece) FROM pieces)")
+
+
+def probs_sql(model: str) -> str:
+    return f"""{model},
+    tops AS (
         SELECT prev AS context, next AS token, ln(p) / {TEMPERATURE}::DOUBLE AS logit,
                rank() OVER (PARTITION BY prev ORDER BY p DESC) AS rank FROM dense),
     probs AS (
         SELECT *, exp(logit - max(logit) OVER (PARTITION BY context))
                   / sum(exp(logit - m)) OVER (PARTITION BY context) AS prob
-        FROM (SELECT *, max(logit) OVER (PARTITION BY context) AS m FROM ranked WHERE rank <= {TOP_K})),
+        FROM (SELECT *, max(logit) OVER (PARTITION BY context) AS m FROM tops WHERE rank <= {TOP_K})),
     cumulative AS (
         SELECT context, token, sum(prob) OVER (PARTITION BY context ORDER BY token) AS upto,
                row_number() OVER (PARTITION BY context ORDER BY token DESC) AS from_last FROM probs)"""
+
+
+PROBS = probs_sql(MODEL)
 LOSS_CASE = "CASE " + " ".join(
     f"WHEN loss >= {low} THEN '{name}'" for low, name in reversed(ngram.LOSS_BANDS)
 ) + " END"
@@ -230,55 +262,86 @@ STARTS = f"""{TURN_IDS},
                coalesce(ids[len(ids)], {S.EOS}) AS context
         FROM turns LEFT JOIN prompts USING (conv_id, turn))"""
 
-ORACLE = {
-    "bigram_model": f"""WITH {MODEL}
-        SELECT prev::INTEGER AS prev, next::INTEGER AS next, cnt, round(p, 12) AS p FROM dense JOIN bi USING (prev, next)""",
-    "cross_entropy": f"""WITH {MODEL}
+WALK = f"""spans AS (
+            SELECT context, token, coalesce(lag(upto) OVER (PARTITION BY context ORDER BY token), -1) AS low,
+                   CASE WHEN from_last = 1 THEN 2 ELSE upto END AS high FROM cumulative),
+        walk(step, prompt_id, sample, context) AS (
+            SELECT 0, prompt_id, sample, context FROM starts
+            UNION ALL
+            SELECT step + 1, prompt_id, sample, s.token FROM (
+                SELECT *, ('0x' || substr(md5(concat_ws(':', 1337, prompt_id, sample, step)), 1, 15))::BIGINT
+                          / 1152921504606846976.0::DOUBLE AS u FROM walk WHERE step < {STEPS}) w
+            JOIN spans s ON s.context = w.context AND u >= low AND u < high),
+        outs AS (
+            SELECT prompt_id, sample, list(context ORDER BY step) AS g FROM walk WHERE step > 0 GROUP BY prompt_id, sample)"""
+
+
+def entropy_sql(model: str) -> str:
+    return f"""WITH RECURSIVE {model}
         SELECT split, count(*) AS tokens, round(avg(-ln(p)), 9) AS loss, round(exp(avg(-ln(p))), 6) AS perplexity
-        FROM follow JOIN dense USING (prev, next) GROUP BY split""",
-    "eval_loss": f"""WITH {MODEL}, {S.STREAM}, lens AS (SELECT split, count(*) AS n FROM stream GROUP BY split),
+        FROM follow JOIN dense USING (prev, next) GROUP BY split"""
+
+
+def eval_sql(model: str) -> str:
+    return f"""WITH RECURSIVE {model}, {S.STREAM}, lens AS (SELECT split, count(*) AS n FROM stream GROUP BY split),
         plan AS (SELECT i // {EVAL_BATCH} AS iter, i % {EVAL_BATCH} AS slot FROM range({EVAL_ITERS * EVAL_BATCH}) t(i)),
         windows AS (
             SELECT split, iter, slot,
-                   ('0x' || substr(md5(concat_ws(':', 1337, split, iter, 0, slot)), 1, 15))::BIGINT % (n - {BLOCK}) AS o
-            FROM plan, lens WHERE n > {BLOCK}),
+                   ('0x' || substr(md5(concat_ws(':', 1337, split, iter, 0, slot)), 1, 15))::BIGINT
+                       % CASE WHEN n > {BLOCK} THEN n - {BLOCK} ELSE error('too few tokens') END AS o
+            FROM plan, lens),
         cells AS (SELECT *, o + unnest(range({BLOCK})) AS g FROM windows),
-        steps AS MATERIALIZED (
+        moves AS MATERIALIZED (
             SELECT split, g, id AS prev, lead(id) OVER (PARTITION BY split ORDER BY g) AS next FROM stream),
-        scored AS MATERIALIZED (SELECT split, g, -ln(p) AS nll FROM steps JOIN dense USING (prev, next)),
+        scored AS MATERIALIZED (SELECT split, g, -ln(p) AS nll FROM moves JOIN dense USING (prev, next)),
         losses AS (SELECT split, iter, avg(nll) AS loss FROM cells JOIN scored USING (split, g) GROUP BY split, iter)
-        SELECT split, count(*) AS batches, round(avg(loss), 9) AS loss FROM losses GROUP BY split""",
-    "loss_bands": f"""WITH {MODEL}, losses AS (
+        SELECT split, count(*) AS batches, round(avg(loss), 9) AS loss FROM losses GROUP BY split"""
+
+
+def bands_sql(model: str) -> str:
+    return f"""WITH RECURSIVE {model}, losses AS (
             SELECT doc_id, any_value(lang) AS lang, avg(-ln(p)) AS loss
             FROM follow JOIN dense USING (prev, next) GROUP BY doc_id)
-        SELECT {LOSS_CASE} AS band, lang, count(*) AS docs, round(avg(loss), 9) AS loss FROM losses GROUP BY 1, 2""",
+        SELECT {LOSS_CASE} AS band, lang, count(*) AS docs, round(avg(loss), 9) AS loss FROM losses GROUP BY 1, 2"""
+
+
+ORACLE = {
+    "cross_entropy": entropy_sql(MODEL),
+    "eval_loss": eval_sql(MODEL),
+    "loss_bands": bands_sql(MODEL),
+    "bpe_cross_entropy": entropy_sql(SUBWORD_MODEL),
+    "bpe_eval_loss": eval_sql(SUBWORD_MODEL),
+    "bpe_loss_bands": bands_sql(SUBWORD_MODEL),
+    "bpe_generate": f"""WITH RECURSIVE {probs_sql(SUBWORD_MODEL)},
+        starts AS (
+            SELECT d.doc_id AS prompt_id, unnest(range({SAMPLES})) AS sample,
+                   coalesce((ids[:{PROMPT}])[-1], {EOS_ID}) AS context
+            FROM documents d LEFT JOIN docs USING (doc_id)),
+        {WALK}
+        SELECT prompt_id AS doc_id, sample::INTEGER AS sample, array_to_string(g, ' ') AS generated,
+               coalesce(nullif(list_position(g, {EOS_ID}), 0) - 1, len(g))::INTEGER AS kept FROM outs""",
+    "bigram_model": f"""WITH {MODEL}
+        SELECT prev::INTEGER AS prev, next::INTEGER AS next, cnt, round(p, 12) AS p FROM dense JOIN bi USING (prev, next)""",
     "topk_softmax": f"""WITH {PROBS}
         SELECT context::INTEGER AS context, token::INTEGER AS token, rank::INTEGER AS rank,
                round(logit, 9) AS logit, round(prob, 9) AS prob FROM probs""",
     "next_token": f"""WITH {PROBS}, {STARTS}, picks AS ({drawn("starts", "0")})
         SELECT conv_id, turn, sample::INTEGER AS sample, context::INTEGER AS context, token::INTEGER AS token
         FROM starts JOIN picks USING (prompt_id, sample)""",
-    "generate": f"""WITH RECURSIVE {PROBS}, {STARTS}, spans AS (
-            SELECT context, token, coalesce(lag(upto) OVER (PARTITION BY context ORDER BY token), -1) AS low,
-                   CASE WHEN from_last = 1 THEN 2 ELSE upto END AS high FROM cumulative),
-        walk(step, prompt_id, sample, context) AS (
-            SELECT 0, prompt_id, sample, context FROM starts
-            UNION ALL
-            SELECT step + 1, prompt_id, sample, s.token FROM (
-                SELECT *, ('0x' || substr(md5(concat_ws(':', 1337, prompt_id, sample, step)), 1, 15))::BIGINT
-                          / 1152921504606846976.0::DOUBLE AS u FROM walk WHERE step < {STEPS}) w
-            JOIN spans s ON s.context = w.context AND u >= low AND u < high),
-        outs AS (
-            SELECT prompt_id, sample, list(context ORDER BY step) AS g FROM walk WHERE step > 0 GROUP BY prompt_id, sample),
+    "generate": f"""WITH RECURSIVE {PROBS}, {STARTS}, {WALK},
         cut AS (SELECT *, CASE WHEN list_position(g, {S.EOS}) > 0 THEN g[:list_position(g, {S.EOS}) - 1] ELSE g END AS k
                 FROM outs),
         spelled AS (
             SELECT prompt_id, sample, string_agg(c, '' ORDER BY n) AS text
             FROM (SELECT prompt_id, sample, unnest(k) AS id, generate_subscripts(k, 1) AS n FROM cut) JOIN vocab USING (id)
+            GROUP BY prompt_id, sample),
+        whole AS (
+            SELECT prompt_id, sample, string_agg(c, '' ORDER BY n) AS full_text
+            FROM (SELECT prompt_id, sample, unnest(g) AS id, generate_subscripts(g, 1) AS n FROM outs) JOIN vocab USING (id)
             GROUP BY prompt_id, sample)
         SELECT prompt_id, sample::INTEGER AS sample, array_to_string(g, ' ') AS generated, len(k)::INTEGER AS kept,
-               coalesce(text, '') AS text
-        FROM cut LEFT JOIN spelled USING (prompt_id, sample)""",
+               coalesce(text, '') AS text, coalesce(full_text, '') AS full_text
+        FROM cut LEFT JOIN spelled USING (prompt_id, sample) LEFT JOIN whole USING (prompt_id, sample)""",
     "context_crop": f"""WITH {VOCAB}, {TURN_IDS}
         SELECT conv_id, turn, coalesce(array_to_string(ids[-{CONTEXT}:], ' '), '') AS ids
         FROM turns LEFT JOIN prompts USING (conv_id, turn)""",

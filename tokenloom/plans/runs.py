@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.operators import runs
 from tokenloom.operators.ordered import row_numbers
 from tokenloom.plans.tables import table
-from tokenloom.session import scratch_path
+from tokenloom.session import cut_lineage, scratch_path
 from tokenloom.sources import runlog
 
 ACCUMULATION = 4
@@ -38,12 +38,13 @@ def logged_loss(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mfu_ema(spark: SparkSession, sf: str) -> DataFrame:
-    averaged = runs.running_mfu(steps(spark, sf), "user_id", runs.mfu(F.col("value") + 0.01, **MODEL), LOG_INTERVAL)
+    numbered = cut_lineage(steps(spark, sf).select("user_id", "step", "value"))
+    averaged = runs.running_mfu(numbered, "user_id", runs.mfu(F.col("value") + 0.01, **MODEL), LOG_INTERVAL)
     return averaged.withColumn("running_mfu", F.round("running_mfu", 9))
 
 
 def checkpoint_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    evals = steps(spark, sf).select("event_id", "user_id", "step", "value")
+    evals = cut_lineage(steps(spark, sf).select("event_id", "user_id", "step", "value"))
     return runs.checkpoint_decisions(evals, "user_id", "value").drop("value")
 
 

@@ -12,9 +12,12 @@ from tokenloom.plans import sqlparts as S
 from tokenloom.plans.tables import VAL_FRACTION, documents, documents_with
 from tokenloom.plans.tokens import BLOCK, summary
 from tokenloom.session import cut_lineage, scratch_path
+from tokenloom.sources import metadata as meta
 
 MERGES = 32
-VOCAB_SIZE = 384
+VOCAB_SIZE = 512
+# Models of this session by application and folder: every query below needs the same one.
+MODELS: dict[tuple[str, str], vocab.Subwords] = {}
 
 
 def first_bpe_merge(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,7 +44,11 @@ def vocab_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, sf: str) -> vocab.Subwords:
-    return bpe.train_subwords(documents(spark, sf), VOCAB_SIZE)
+    """The subword model of the corpus, trained once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in MODELS:
+        MODELS[key] = bpe.train_subwords(documents(spark, sf), VOCAB_SIZE)
+    return MODELS[key]
 
 
 def subword_vocab(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,6 +57,16 @@ def subword_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return vocab.assemble_vocab(spark, vocab.read_subwords(spark, path))
 
 
+def subword_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored metadata of the subword dataset, and the vocabulary size that a model reads back from it."""
+    model, path = trained(spark, sf), scratch_path(spark, "subword-meta")
+    ids = (vocab.EOS_ID, vocab.BOS_ID, vocab.PAD_ID, vocab.UNK_ID)
+    meta.write_metadata(meta.subword_metadata(spark, model.size, "subwords", *ids), path)
+    stored = meta.read_metadata(spark, path)
+    fields = stored.select("tokenizer_model", "eos_id", "bos_id", "pad_id", "unk_id")
+    return meta.model_vocab_size(stored).join(fields, F.col("vocab_size") > 0)
+
+
 def bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
     encoded = encode.encode_subwords(documents(spark, sf), trained(spark, sf))
     return profile.check_id_range(encoded).select("doc_id", "len", digest(F.col("ids")).alias("ids_md5"))
@@ -59,7 +76,11 @@ def roundtrip_check(spark: SparkSession, sf: str) -> DataFrame:
     model = trained(spark, sf)
     docs = documents_with(spark, sf, "lang")
     encoded = encode.encode_subwords(docs.withColumn("expected", T.normalize(F.col("text"))), model)
-    return encode.round_trip(encoded, encode.decode_subwords(F.col("ids"), model), F.col("expected"), "lang")
+    decoded = encode.decode_subwords(F.col("ids"), model)
+    checked = encoded.withColumn("decoded", decoded)
+    return checked.select(
+        "doc_id", "len", F.md5("decoded").alias("text_md5"), (F.col("decoded") == F.col("expected")).alias("ok")
+    )
 
 
 def bpe_pieces(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,6 +104,7 @@ QUERIES = {
     "bpe_merges": bpe_merges,
     "vocab_assembly": vocab_assembly,
     "subword_vocab": subword_vocab,
+    "subword_metadata": subword_metadata,
     "bpe_encode": bpe_encode,
     "roundtrip_check": roundtrip_check,
     "bpe_pieces": bpe_pieces,
@@ -169,6 +191,9 @@ ORACLE = {
         SELECT unnest([0, 1, 2, 3]) AS id, unnest(['<pad>', '<unk>', '<s>', '</s>']) AS piece, 'special' AS kind
         UNION ALL SELECT (4 + i)::INTEGER, '<0x' || upper(printf('%02x', i)) || '>', 'byte' FROM range(256) t(i)
         UNION ALL SELECT id::INTEGER, piece, CASE WHEN length(piece) > 1 THEN 'merge' ELSE 'char' END FROM pieces""",
+    "subword_metadata": f"""WITH RECURSIVE {MODEL}
+        SELECT (260 + count(DISTINCT piece))::INTEGER AS vocab_size, 'subwords' AS tokenizer_model,
+               3 AS eos_id, 2 AS bos_id, 0 AS pad_id, 1 AS unk_id FROM pieces""",
     "bpe_encode": f"""WITH RECURSIVE {TOKENS}
         SELECT d.doc_id, len(coalesce(ids, []))::INTEGER AS len, md5(coalesce(array_to_string(ids, ' '), '')) AS ids_md5
         FROM documents d LEFT JOIN docs USING (doc_id)""",
@@ -189,5 +214,8 @@ ORACLE = {
         SELECT split, g // {BLOCK} AS chunk_id, count(*)::INTEGER AS n_tokens,
                md5(string_agg(id::VARCHAR, ' ' ORDER BY g)) AS tokens_md5
         FROM stream GROUP BY split, g // {BLOCK}""",
-    "roundtrip_check": "SELECT lang, count(*) AS docs, count(*) AS ok FROM documents GROUP BY lang",
+    "roundtrip_check": f"""WITH RECURSIVE {TOKENS}
+        SELECT c.doc_id, len(coalesce(ids, []))::INTEGER AS len,
+               md5(trim(regexp_replace(t, '{S.BLANK_CLASS}', ' ', 'g'))) AS text_md5, true AS ok
+        FROM clean c LEFT JOIN docs USING (doc_id)""",
 }

@@ -9,7 +9,6 @@ from tokenloom.operators.encode import char_ids, encode_documents
 from tokenloom.operators.profile import check_id_range
 from tokenloom.operators.splits import random_split
 from tokenloom.operators.vocab import char_vocab, collect_ids
-from tokenloom.session import spread
 from tokenloom.sources.documents import clean, read_documents
 
 VAL_FRACTION = 0.005
@@ -26,8 +25,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_with(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    scan = table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
-    return spread(scan, "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
 def char_tokens(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int], int]:

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.arrays import digest, joined
 from tokenloom.operators import packing
-from tokenloom.operators.vocab import char_vocab
+from tokenloom.operators.encode import char_ids, encode_documents
+from tokenloom.operators.ordered import ranged_prefix_sum
+from tokenloom.operators.packing import stream_lengths
+from tokenloom.operators.splits import sequential_split
+from tokenloom.operators.vocab import char_vocab, collect_ids
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.tables import char_tokens, documents
 from tokenloom.session import scratch_path
@@ -19,8 +23,8 @@ BLOCK = 256
 BATCH = 4
 ACCUMULATION = 4
 RANKS = 2
-# Half a megabyte of 16-bit ids at this block; a large corpus takes 1 << 18, which is 128 MB.
-CHUNKS_PER_FILE = 1 << 10
+# Files of 128 MB of 16-bit ids.
+CHUNKS_PER_FILE = (128 << 20) // (2 * BLOCK)
 
 
 def chunks_of(spark: SparkSession, sf: str, run: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -44,6 +48,21 @@ def token_store(spark: SparkSession, sf: str) -> DataFrame:
     return summary(read_tokens(spark, path))
 
 
+def sequential_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Both halves of the text as ids without end marks, in document order, as stored token files."""
+    docs = documents(spark, sf).withColumn("text", F.coalesce("text", F.lit("")))
+    ids = collect_ids(char_vocab(docs))
+    halves = sequential_split(docs)
+    encoded = encode_documents(halves, char_ids(F.col("text"), ids), None)
+    placed = ranged_prefix_sum(encoded, ["split", "doc_id"], F.col("len"), "start")
+    # The order puts all of `train` first.
+    train = stream_lengths(encoded).get("train", 0)
+    offsets = placed.withColumn("stream_start", F.col("start") - F.when(F.col("split") == "val", train).otherwise(0))
+    path = scratch_path(spark, "sequential")
+    write_tokens(packing.pack_chunks(offsets, BLOCK, CHUNKS_PER_FILE), path, BLOCK)
+    return summary(read_tokens(spark, path))
+
+
 def epoch_blocks(spark: SparkSession, sf: str) -> DataFrame:
     blocks = packing.epoch_blocks(chunks_of(spark, sf)[0], BLOCK)
     return blocks.select(
@@ -97,6 +116,7 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "packed_chunks": packed_chunks,
     "token_store": token_store,
+    "sequential_tokens": sequential_tokens,
     "epoch_blocks": epoch_blocks,
     "batch_plan": batch_plan,
     "window_batches": window_batches,
@@ -124,6 +144,17 @@ PLAN = f"""total AS (SELECT count(*) AS n FROM stream WHERE split = 'train'),
 ORACLE = {
     "packed_chunks": f"WITH {S.TOKEN_STREAM} {CHUNKS}",
     "token_store": f"WITH {S.TOKEN_STREAM} {CHUNKS}",
+    "sequential_tokens": f"""WITH raw AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        spots AS (SELECT doc_id, unnest(string_split(t, '')) AS c, generate_subscripts(string_split(t, ''), 1) AS pos
+                  FROM raw WHERE t <> ''),
+        vocab AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS id FROM (SELECT DISTINCT c FROM spots)),
+        placed AS (SELECT id, row_number() OVER (ORDER BY doc_id, pos) - 1 AS n, (SELECT count(*) FROM spots) AS total
+                   FROM spots JOIN vocab USING (c)),
+        stream AS (
+            SELECT CASE WHEN n < floor(0.9::DOUBLE * total) THEN 'train' ELSE 'val' END AS split, id,
+                   n - CASE WHEN n < floor(0.9::DOUBLE * total) THEN 0 ELSE floor(0.9::DOUBLE * total)::BIGINT END AS g
+            FROM placed)
+        {CHUNKS}""",
     "epoch_blocks": f"""WITH {S.TOKEN_STREAM}
         SELECT split, g // {BLOCK} AS chunk_id, arg_min(id, g)::INTEGER AS first_id, arg_max(id, g)::INTEGER AS last_id
         FROM stream GROUP BY split, g // {BLOCK} HAVING count(*) = {BLOCK}""",

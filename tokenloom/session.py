@@ -1,4 +1,4 @@
-"""Session helpers: where state is cut, and how a small scan is spread over the cores."""
+"""Session helpers: where state is cut."""
 
 from __future__ import annotations
 
@@ -30,11 +30,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and continue from the written rows."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, *key: str) -> DataFrame:
-    """Shuffle a scan with fewer splits than two per core by its unique `key`; leave larger scans as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < 2 * cores:
-        return df.repartition(cores, *key)
-    return df
