@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpus_pipeline import DOMAINS, MIX_SHARE, MIX_WEIGHTS, SHARDS
-from tokenloom.llm import decontam, embeddings, extract, forest, language, mixing, quality, repeats, secrets, shards
+from tokenloom.llm import decontam, embeddings, extract, forest, language, mixing, oracles, quality, repeats, secrets, shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -172,6 +172,10 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
+    "op3_secret_scan": oracles.OP3_SQL,
+    "op4_substring_dedup": oracles.OP4_SQL,
+    "op6_embedding_neardup": oracles.OP6_SQL,
+    "op8_jaccard_join": oracles.OP8_SQL,
     "op7_sharding": OP7_SQL,
     "op9_source_mixing": OP9_SQL,
 }
