@@ -77,7 +77,7 @@ def test_top_k_keeps_ties_and_scales_first(spark):
 def test_candidates_hold_the_true_top_k(model):
     for k in (1, 2, 3):
         sparse = sampling.top_k_softmax(sampling.model_logits(model, k), "context", k)
-        dense = sampling.top_k_softmax(sampling.model_logits(model, None), "context", k)
+        dense = sampling.top_k_softmax(sampling.model_logits(model, model.vocab_size), "context", k)
         assert {(r.context, r.token): round(r.prob, 12) for r in sparse.collect()} == {
             (r.context, r.token): round(r.prob, 12) for r in dense.collect()
         }

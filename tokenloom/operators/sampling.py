@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql.window import Window
 
 from tokenloom.functions.arrays import crop_context
 from tokenloom.functions.keys import order_key, uniform
-from tokenloom.functions.lookup import constant_array
+from tokenloom.functions.lookup import constant_array, count_at_most
 from tokenloom.operators.joins import lookup_join
-from tokenloom.operators.ngram import NgramModel
+from tokenloom.operators.ngram import PAIR_WEIGHT, NgramModel
 from tokenloom.session import cut_lineage
 
 SAMPLE_SEED = 1337
@@ -33,19 +34,18 @@ def top_k_softmax(logits: DataFrame, context: str, top_k: int | None, temperatur
     return ranked.withColumn("_w", weight).withColumn("prob", F.col("_w") / F.sum("_w").over(per_context)).drop("_w")
 
 
-def model_logits(model: NgramModel, top_k: int | None) -> DataFrame:
+def model_logits(model: NgramModel, top_k: int) -> DataFrame:
     """`(context, token, logit)` of every token that can be among the top k of its context.
 
     A token unseen after a context ranks there no better than among single tokens, so seen
-    tokens and the top k single tokens suffice.
+    tokens and the top k single tokens suffice. Without a limit, use `build_whole_sampler`.
     """
     spark = model.pairs.sparkSession
     ids = spark.range(model.vocab_size).select(F.col("id").cast("int").alias("next"))
     singles = ids.join(model.tokens, "next", "left").select("next", F.coalesce("token_cnt", F.lit(0)).alias("token_cnt"))
     ranked = singles.withColumn("r", F.rank().over(Window.orderBy(F.desc("token_cnt"))))
-    heads = ranked if top_k is None else ranked.where(F.col("r") <= top_k)
     # At most one id per token of the vocabulary.
-    listed = heads.agg(F.sort_array(F.collect_list("next")).alias("heads")).first()["heads"]
+    listed = ranked.where(F.col("r") <= top_k).agg(F.sort_array(F.collect_list("next")).alias("heads")).first()["heads"]
     contexts = spark.range(model.vocab_size).select(F.col("id").cast("int").alias("prev"))
     unseen = contexts.select("prev", F.explode(constant_array(listed, "int")).alias("next"), F.lit(0).cast("long").alias("cnt"))
     cells = model.pairs.unionByName(unseen).groupBy("prev", "next").agg(F.max("cnt").alias("cnt"))
@@ -74,6 +74,71 @@ def build_sampler(probs: DataFrame) -> Sampler:
     return Sampler(table, 2 * values)
 
 
+@dataclass(frozen=True)
+class WholeSampler:
+    """All tokens of every context: its seen pairs, and one shared tail for the rest.
+
+    After any seen context an unseen token has the same share of its single-token weight, so a context
+    needs its seen pairs only. `tail` holds the running sum of the single-token weights by id.
+    """
+
+    table: DataFrame
+    values: int
+    tail: list[float]
+    # Weight of an unseen token after a seen context, per weight among the single tokens.
+    share: float
+
+
+def build_whole_sampler(model: NgramModel, temperature: float = 1.0) -> WholeSampler:
+    """Sampler without top-k. Rows are bounded by the seen contexts, values by the seen pairs and the vocabulary."""
+    power = 1.0 / temperature
+    # At most one row per token id.
+    counts = {r["next"]: r["token_cnt"] for r in model.tokens.collect()}
+    mass = float(model.total + model.vocab_size)
+    singles = [((counts.get(t, 0) + 1.0) / mass) ** power for t in range(model.vocab_size)]
+    tail = list(accumulate(singles))
+    share = (1 - PAIR_WEIGHT) ** power
+    known = model.pairs.join(F.broadcast(model.contexts), "prev").join(F.broadcast(model.tokens), "next", "left")
+    weight = F.pow(model.probability(F.col("cnt"), F.col("context_cnt"), F.col("token_cnt")), F.lit(power))
+    extra = weight - F.lit(share) * F.get(constant_array(singles, "double"), F.col("next"))
+    order = Window.partitionBy("prev").orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
+    through = F.lit(share) * F.get(constant_array(tail, "double"), F.col("next")) + F.col("extra")
+    spread = (
+        known.withColumn("weight", weight)
+        .withColumn("extra", F.sum(extra).over(order))
+        .withColumn("through", through)
+        .withColumn("before", F.col("through") - F.col("weight"))
+    )
+    listed = spread.groupBy(F.col("prev").alias("context")).agg(
+        F.sort_array(F.collect_list(F.struct("next", "through", "before", "extra"))).alias("seen")
+    )
+    table = cut_lineage(listed)
+    values = table.agg(F.coalesce(F.sum(F.size("seen")), F.lit(0)).alias("n")).first()["n"]
+    return WholeSampler(table, 4 * values, tail, share)
+
+
+def draw_whole(rows: DataFrame, sampler: WholeSampler, key: str, step: int, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Adds `token`, drawn from all tokens after `context`."""
+    u = uniform(order_key(seed, F.col(key), F.col("sample"), F.lit(step)))
+    joined = lookup_join(rows, sampler.table, ["context"], sampler.values, key)
+    nothing = F.struct(F.lit(0).alias("next"), *[F.lit(0.0).alias(n) for n in ("through", "before", "extra")])
+    seen = F.coalesce("seen", F.slice(F.array(nothing), 1, 0))
+    share = F.when(F.size(seen) > 0, F.lit(sampler.share)).otherwise(F.lit(1.0))
+    placed = joined.select(*rows.columns, seen.alias("_seen"), share.alias("_share"))
+    whole = F.col("_share") * sampler.tail[-1] + F.when(F.size("_seen") > 0, F.element_at("_seen", -1)["extra"]).otherwise(0.0)
+    placed = placed.withColumn("_target", u * whole)
+    # The first seen token that ends beyond the target: it is drawn, or an unseen one before it.
+    at = F.size(F.filter("_seen", lambda s: s["through"] <= F.col("_target")))
+    placed = placed.withColumn("_hit", F.get("_seen", at)).withColumn(
+        "_extra", F.when(at > 0, F.get("_seen", at - 1)["extra"]).otherwise(0.0)
+    )
+    unseen = count_at_most(sampler.tail, "double", (F.col("_target") - F.col("_extra")) / F.col("_share"))
+    token = F.when(F.col("_target") >= F.col("_hit")["before"], F.col("_hit")["next"]).otherwise(
+        F.least(unseen, F.lit(len(sampler.tail) - 1))
+    )
+    return placed.withColumn("token", token.cast("int")).drop("_seen", "_share", "_target", "_hit", "_extra")
+
+
 def multinomial(tokens: Column, upto: Column, u: Column) -> Column:
     """The first token whose cumulative probability exceeds `u`; the last one if rounding leaves none."""
     at = F.array_position(F.transform(upto, lambda c: c > u), F.lit(True)).cast("int")

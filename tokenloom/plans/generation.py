@@ -131,6 +131,16 @@ def next_token(spark: SparkSession, sf: str) -> DataFrame:
     return drawn.select("conv_id", "turn", "sample", "context", "token")
 
 
+def next_token_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Like `next_token`, with every token of the vocabulary in reach."""
+    data = corpus(spark, sf)
+    sampler = sampling.build_whole_sampler(train_model(data), TEMPERATURE)
+    prompts = sampling.fan_out(data.prompts, SAMPLES, data.eos)
+    context = F.element_at(crop_context(F.col("ids"), CONTEXT), -1)
+    drawn = sampling.draw_whole(prompts.withColumn("context", context), sampler, "prompt_id", 0)
+    return drawn.select("conv_id", "turn", "sample", "context", "token")
+
+
 def generate(spark: SparkSession, sf: str) -> DataFrame:
     data = corpus(spark, sf)
     sampler = sampling.build_sampler(probabilities(train_model(data)))
@@ -183,6 +193,7 @@ QUERIES = {
     "bpe_generate": bpe_generate,
     "topk_softmax": topk_softmax,
     "next_token": next_token,
+    "next_token_whole": next_token_whole,
     "generate": generate,
     "context_crop": context_crop,
     "eos_truncate": eos_truncate,
@@ -228,7 +239,7 @@ SUBWORD_IDS = f"""{subwords.TOKENS}, {S.SPLITS},
 SUBWORD_MODEL = model_sql(SUBWORD_IDS, str(EOS_ID), "(SELECT 260 + count(DISTINCT piece) FROM pieces)")
 
 
-def probs_sql(model: str) -> str:
+def probs_sql(model: str, top_k: int | None = TOP_K) -> str:
     return f"""{model},
     tops AS (
         SELECT prev AS context, next AS token, ln(p) / {TEMPERATURE}::DOUBLE AS logit,
@@ -236,7 +247,7 @@ def probs_sql(model: str) -> str:
     probs AS (
         SELECT *, exp(logit - max(logit) OVER (PARTITION BY context))
                   / sum(exp(logit - m)) OVER (PARTITION BY context) AS prob
-        FROM (SELECT *, max(logit) OVER (PARTITION BY context) AS m FROM tops WHERE rank <= {TOP_K})),
+        FROM (SELECT *, max(logit) OVER (PARTITION BY context) AS m FROM tops WHERE {f"rank <= {top_k}" if top_k else "true"})),
     cumulative AS (
         SELECT context, token, sum(prob) OVER (PARTITION BY context ORDER BY token) AS upto,
                row_number() OVER (PARTITION BY context ORDER BY token DESC) AS from_last FROM probs)"""
@@ -328,6 +339,9 @@ ORACLE = {
     "next_token": f"""WITH {PROBS}, {STARTS}, picks AS ({drawn("starts", "0")})
         SELECT conv_id, turn, sample::INTEGER AS sample, context::INTEGER AS context, token::INTEGER AS token
         FROM starts JOIN picks USING (prompt_id, sample)""",
+    "next_token_whole": f"""WITH {probs_sql(MODEL, None)}, {STARTS}, picks AS ({drawn("starts", "0")})
+        SELECT conv_id, turn, sample::INTEGER AS sample, context::INTEGER AS context, token::INTEGER AS token
+        FROM starts JOIN picks USING (prompt_id, sample)""",
     "generate": f"""WITH RECURSIVE {PROBS}, {STARTS}, {WALK},
         cut AS (SELECT *, CASE WHEN list_position(g, {S.EOS}) > 0 THEN g[:list_position(g, {S.EOS}) - 1] ELSE g END AS k
                 FROM outs),
