@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.arrays import crop_context, truncate_at
 from tokenloom.operators import joins, ngram, sampling
+from tokenloom.sources import prompts
 
 EOS = 3
 
@@ -118,3 +119,26 @@ def test_context_crop(spark, n):
 def test_throughput_without_time(spark):
     frame = spark.createDataFrame([(10, 0.0), (10, 4.0)], "n int, s double")
     assert [r.t for r in frame.select(sampling.throughput(F.col("n"), F.col("s")).alias("t")).collect()] == [0.0, 2.5]
+
+
+def test_prompts_from_files(spark, tmp_path):
+    for name, text in (("a", "ab<|endoftext|>b"), ("b", ""), ("c", "b\na")):
+        (tmp_path / name).write_text(text)
+    vocab = {"\n": 0, "a": 1, "b": 2}
+    read = prompts.read_prompts(spark, str(tmp_path))
+    got = {r.prompt_id[-1]: r.ids for r in prompts.encode_prompts(read, vocab, 9).collect()}
+    assert got == {"a": [1, 2, 9, 2], "b": [0], "c": [2, 0, 1]} or got == {"a": [1, 2, 9, 2], "c": [2, 0, 1]}
+    bare = spark.createDataFrame([("x", None), ("y", "")], "prompt_id string, text string")
+    assert [r.ids for r in prompts.encode_prompts(bare, vocab, 9).collect()] == [[0], [0]]
+
+
+def test_whole_draws_equal_a_dense_table(spark, model):
+    temperature = 0.7
+    power = 1 / temperature
+    rows = spark.createDataFrame([(c, s) for c in range(model.vocab_size) for s in range(40)], "context int, sample int")
+    rows = rows.withColumn("prompt_id", F.lit("p"))
+    drawn = sampling.draw_whole(rows, sampling.build_whole_sampler(model, temperature), "prompt_id", 3).collect()
+    dense = sampling.build_sampler(sampling.top_k_softmax(sampling.model_logits(model, model.vocab_size), "context", None, temperature))
+    expected = sampling.draw_next(rows, dense, "prompt_id", 3).collect()
+    assert power > 1 and len(drawn) == len(expected)
+    assert {(r.context, r.sample): r.token for r in drawn} == {(r.context, r.sample): r.token for r in expected}

@@ -164,6 +164,13 @@ class TokenBin(DataSource):
         return TokenWriter(path, int(self.options["block"]))
 
 
+def shared_path(spark: SparkSession, path: str) -> str:
+    """The path as it is if every executor means the same folder by it: it names a file system, or all run here."""
+    if "://" not in path and not path.startswith("file:") and not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"{path} names no file system, and executors would each write to their own disk")
+    return path
+
+
 def write_tokens(chunks: DataFrame, path: str, block: int, files: int | None = None) -> None:
     """Chunks to flat files, one per run of consecutive chunks of a partition.
 
@@ -174,10 +181,11 @@ def write_tokens(chunks: DataFrame, path: str, block: int, files: int | None = N
     rows = chunks.select("split", "chunk_id", "tokens")
     if files:
         rows = rows.repartitionByRange(files, "split", "chunk_id").sortWithinPartitions("split", "chunk_id")
-    rows.write.format("tokenbin").mode("append").option("block", block).save(path)
+    folder = shared_path(chunks.sparkSession, path)
+    rows.write.format("tokenbin").mode("append").option("block", block).save(folder)
 
 
 def read_tokens(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     spark.dataSource.register(TokenBin)
     reader = spark.read.format("tokenbin")
-    return (reader.option("split", split) if split else reader).load(path)
+    return (reader.option("split", split) if split else reader).load(shared_path(spark, path))
