@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.arrays import next_token_pairs
-from tokenloom.functions.lookup import CONSTANT_LIMIT, ID_LIMIT, constant_array
-from tokenloom.operators.joins import lookup_join
+from tokenloom.functions.lookup import ID_LIMIT
+from tokenloom.operators.joins import BROADCAST_VALUES, lookup_join
 from tokenloom.session import cut_lineage
 
 # Share of the pair estimate; the rest is the add-one estimate of the single token.
 PAIR_WEIGHT = 0.75
-# Largest vocabulary whose whole loss matrix becomes a plan constant.
-DENSE_VOCAB = 256
 IGNORED_TARGET = -1
 
 
@@ -80,31 +81,62 @@ def window_losses(windows: DataFrame, model: NgramModel, *by: str) -> DataFrame:
     return cross_entropy(counts, model, *reversed(by)).drop("perplexity")
 
 
-def loss_matrix(model: NgramModel) -> list[float]:
-    """Loss of every (prev, next) of a small vocabulary, row by row."""
-    size = model.vocab_size
-    cells = model.pairs.sparkSession.range(size * size).select(
-        "id", F.expr(f"cast(id div {size} as int)").alias("prev"), (F.col("id") % size).cast("int").alias("next")
-    )
-    scored = with_probability(cells, model, "id").select("id", (-F.log("p")).alias("loss")).orderBy("id")
-    return [r["loss"] for r in scored.limit(CONSTANT_LIMIT).collect()]
-
+def loss_of_ids(model: NgramModel, eos_id: int):
+    """Arrow function from the ids of a document to its mean loss; null without ids.
 
-def document_losses(encoded: DataFrame, model: NgramModel, eos_id: int, *keep: str) -> DataFrame:
+    The seen pairs travel as two sorted arrays, the rest is one number per token id.
+    """
+    size = model.vocab_size
+    pairs = model.pairs.join(F.broadcast(model.contexts), "prev").join(F.broadcast(model.tokens), "next", "left")
+    p = model.probability(F.col("cnt"), F.col("context_cnt"), F.col("token_cnt"))
+    key = F.col("prev").cast("long") * size + F.col("next")
+    seen = pairs.select(key.alias("key"), (-F.log(p)).alias("loss")).toPandas().sort_values("key")
+    keys, losses = seen["key"].to_numpy(np.int64), seen["loss"].to_numpy(float)
+    counts = np.zeros(size)
+    for r in model.tokens.collect():
+        counts[r["next"]] = r["token_cnt"]
+    single = -np.log((counts + 1.0) / float(model.total + size))
+    followed = np.zeros(size, bool)
+    followed[keys // size] = True
+    unseen = -math.log(1 - PAIR_WEIGHT)
+
+    @F.arrow_udf("double")
+    def fold(batch: pa.Array) -> pa.Array:
+        lengths = batch.value_lengths().fill_null(0).to_numpy()
+        following = batch.flatten().to_numpy().astype(np.int64)
+        ends = np.cumsum(lengths)
+        firsts = (ends - lengths)[lengths > 0]
+        before = np.empty_like(following)
+        before[1:] = following[:-1]
+        before[firsts] = eos_id
+        wanted = before * size + following
+        at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+        loss = single[following] + np.where(followed[before], unseen, 0.0)
+        if len(keys):
+            loss = np.where(keys[at] == wanted, losses[at], loss)
+        means = np.full(len(lengths), np.nan)
+        if len(firsts):
+            means[lengths > 0] = np.add.reduceat(loss, firsts) / lengths[lengths > 0]
+        return pa.array(means, mask=lengths == 0)
+
+    # Not to be evaluated once more for the filter on its result.
+    return fold.asNondeterministic()
+
+
+def document_losses(
+    encoded: DataFrame, model: NgramModel, eos_id: int, *keep: str, most_pairs: int = BROADCAST_VALUES // 2
+) -> DataFrame:
     """Mean loss of every non-empty document.
 
-    For a small vocabulary the loss matrix travels with the plan: every pair is looked up where
-    it stands and a task folds its documents before the shuffle. Otherwise pairs are counted
-    per document and joined.
+    A model of at most `most_pairs` pairs (counted) travels to the documents, which are folded where they stand, without
+    a shuffle. Beyond that, pairs are counted per document and joined.
     """
-    if model.vocab_size > DENSE_VOCAB:
-        scored = with_probability(pair_counts(encoded, eos_id, "doc_id", *keep), model, "doc_id")
-        mean = F.sum(-F.log("p") * F.col("cnt")) / F.sum("cnt")
-        return scored.groupBy("doc_id", *keep).agg(mean.alias("loss"))
-    matrix = constant_array(loss_matrix(model), "double")
-    pairs = encoded.select("doc_id", *keep, F.inline(next_token_pairs(F.col("ids"), eos_id)))
-    loss = F.get(matrix, F.col("prev") * model.vocab_size + F.col("next"))
-    return pairs.groupBy("doc_id", *keep).agg(F.avg(loss).alias("loss"))
+    if model.pairs.count() <= most_pairs:
+        folded = encoded.select("doc_id", *keep, loss_of_ids(model, eos_id)(F.col("ids")).alias("loss"))
+        return folded.where(F.col("loss").isNotNull())
+    scored = with_probability(pair_counts(encoded, eos_id, "doc_id", *keep), model, "doc_id")
+    mean = F.sum(-F.log("p") * F.col("cnt")) / F.sum("cnt")
+    return scored.groupBy("doc_id", *keep).agg(mean.alias("loss"))
 
 
 # Lower ends of the loss bands, from 0 up.

@@ -97,8 +97,8 @@ def drawn_loss(data: Corpus) -> DataFrame:
     return losses.groupBy("split").agg(F.count(F.lit(1)).alias("batches"), F.round(F.avg("loss"), 9).alias("loss"))
 
 
-def banded_losses(data: Corpus) -> DataFrame:
-    losses = ngram.document_losses(data.encoded, train_model(data), data.eos, "lang")
+def banded_losses(data: Corpus, **limits: int) -> DataFrame:
+    losses = ngram.document_losses(data.encoded, train_model(data), data.eos, "lang", **limits)
     banded = losses.withColumn("band", ngram.loss_band(F.col("loss")))
     return banded.groupBy("band", "lang").agg(F.count(F.lit(1)).alias("docs"), F.round(F.avg("loss"), 9).alias("loss"))
 
@@ -190,6 +190,8 @@ QUERIES = {
     "bpe_cross_entropy": lambda spark, sf: split_entropy(subword_corpus(spark, sf)),
     "bpe_eval_loss": lambda spark, sf: drawn_loss(subword_corpus(spark, sf)),
     "bpe_loss_bands": lambda spark, sf: banded_losses(subword_corpus(spark, sf)),
+    # The side of larger models: pairs are counted and joined.
+    "bpe_loss_bands_joined": lambda spark, sf: banded_losses(subword_corpus(spark, sf), most_pairs=0),
     "bpe_generate": bpe_generate,
     "topk_softmax": topk_softmax,
     "next_token": next_token,
@@ -323,6 +325,7 @@ ORACLE = {
     "bpe_cross_entropy": entropy_sql(SUBWORD_MODEL),
     "bpe_eval_loss": eval_sql(SUBWORD_MODEL),
     "bpe_loss_bands": bands_sql(SUBWORD_MODEL),
+    "bpe_loss_bands_joined": bands_sql(SUBWORD_MODEL),
     "bpe_generate": f"""WITH RECURSIVE {probs_sql(SUBWORD_MODEL)},
         starts AS (
             SELECT d.doc_id AS prompt_id, unnest(range({SAMPLES})) AS sample,
