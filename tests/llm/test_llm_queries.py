@@ -66,5 +66,5 @@ def test_pipeline_of_empty_and_odd_documents(spark, tmp_path):
     for name, docs in (("empty", tables["documents"].limit(0)), ("odd", tables["documents"].unionAll(odd).unionAll(odd))):
         for other in ("labels", "benchmark"):
             tables[other].write.parquet(f"{tmp_path}/{name}/{other}.parquet")
-        docs.selectExpr("*", "'s' AS shard").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        docs.selectExpr("*", "'s' AS shard", "1 AS `row`", "2 AS `score.x`", "3 AS tokens", "4 AS `set`", "5 AS hits").write.parquet(f"{tmp_path}/{name}/documents.parquet")
         assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").count() == 0 or name == "odd"

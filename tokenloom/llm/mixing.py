@@ -111,7 +111,7 @@ def mix(
     `row` holds the columns of `keep`, all of the input's by default.
     """
     rows = docs.select(
-        F.struct(*[docs[c] for c in (docs.columns if keep is None else keep)]).alias("row"),
+        F.struct(*(["*"] if keep is None else keep)).alias("row"),
         F.coalesce(domain, F.lit(NONE)).alias("domain"),
         F.coalesce(docs["lang"].cast("string"), F.lit(NONE)).alias("lang"),
         F.coalesce(docs["source"].cast("string"), F.lit(NONE)).alias("source"),

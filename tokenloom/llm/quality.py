@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """`docs` with the column `name`: the score of every whole text, between 0 and 1."""
     values = statistics(docs[text])
-    nested = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.struct(*[v.alias(n) for n, v in values.items()]).alias("stat"))
+    nested = docs.select(F.struct("*").alias("row"), F.struct(*[v.alias(n) for n, v in values.items()]).alias("stat"))
     score = model.score({n: F.col(f"stat.{n}") for n in values})
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c != name]
     return nested.select(*kept, score.alias(name))

@@ -46,7 +46,7 @@ def assign_shards(docs: DataFrame, shards: int, text: str = "text", order: Seque
     if shards < 1:
         raise ValueError("at least one shard is needed")
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct("*").alias("row"),
         F.struct(*[docs[c] for c in order]).alias("key"),
         text_size(docs[text]).alias("size"),
         text_crc(docs[text]).alias("crc"),
