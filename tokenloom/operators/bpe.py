@@ -47,23 +47,29 @@ def pair_counts(state: DataFrame) -> DataFrame:
     return listed.select("cnt", F.inline(pairs)).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
 
 
-def accepted_pairs(top: list[Merge], floor: int, wanted: int) -> list[Merge]:
+def accepted_pairs(top: list[Merge], floor: int, wanted: int, spelled: frozenset[str] | set[str] = frozenset()) -> list[Merge]:
     """The leading pairs of a descending list that one-at-a-time merging would also take next, in order.
 
-    A merge only lowers counts of pairs that share a symbol with it, and a new pair occurs at
-    most as often as one of those. So pairs disjoint from all before them keep their place
-    while their count is above that of the first pair that is not disjoint, and above `floor`,
-    which no unlisted pair exceeds.
+    Merging (a, b) takes away occurrences of pairs that end in a or begin with b, as they stand next to
+    it; pairs that begin with the same a or end in the same b stand elsewhere. A new pair occurs at
+    most as often as one that was taken away. So pairs that meet none before them end to end keep their
+    place while their count is above that of the first pair that does, and above `floor`, which no
+    unlisted pair exceeds. A symbol spelled like one in `spelled` adds to that one's pairs, so its merge goes alone.
     """
     taken: list[Merge] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
+    made: set[str] = set()
     stop = floor
     for left, right, count in top:
-        if left == right or left in used or right in used:
+        joined = left + right
+        if left == right or left in rights or right in lefts or joined in made or joined in spelled:
             stop = count
             break
         taken.append((left, right, count))
-        used.update((left, right))
+        lefts.add(left)
+        rights.add(right)
+        made.add(joined)
     safe = [t for t in taken if t[2] > stop] or top[:1]
     return safe[:wanted]
 
@@ -155,7 +161,7 @@ def learn_merges(words: DataFrame, merges: int) -> list[Merge]:
         top = frontier.leading()
         if not top:
             break
-        batch = accepted_pairs(top, frontier.floor, merges - len(learned))
+        batch = accepted_pairs(top, frontier.floor, merges - len(learned), spelled)
         learned.extend(batch)
         if len(learned) == merges:
             break
