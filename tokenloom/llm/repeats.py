@@ -128,7 +128,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, seed
     """(`text_1`, `text_2`, `spans`): per distinct text with repeats, its (`first`, `windows`) runs of repeated windows."""
     slim = docs.select(*text_key(docs[text]), docs[text].alias("text"))
     counted = slim.select("text").mapInArrow(_anchors(width, seed), "anchor long, n long")
-    again = counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    # The small sides of joins on hot anchors are written: such a join reads two plain shuffles, whose large
+    # partitions Spark splits.
+    again = written(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
     found = written(slim.mapInArrow(_runs(width, seed), RUN_TYPE).join(again, "anchor", "left_semi"), "runs")
 
     copies = written(found.groupBy("anchor", "run").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("text_1", "text_2", "first", "windows")).alias("at")), "copies")
@@ -136,7 +138,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", width: int = WIDTH, seed
     whole = whole.select("text_1", "text_2", "first", "windows")
 
     # Only anchors with different runs are extended, one occurrence of each run.
-    several = copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    several = written(copies.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "several")
     asked = copies.join(several, "anchor", "left_semi").select("anchor", "run", "copies", "at.*")
     per_text = asked.groupBy("text_1", "text_2").agg(
         F.collect_list(F.struct("first", "windows", "anchor", "run", "copies")).alias("runs")
