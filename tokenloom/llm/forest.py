@@ -140,7 +140,7 @@ class Join:
         """Candidates by cell: one row for every class in every cell that holds one of its pairs."""
         tree = F.posexplode("prefixes").alias("tree", "prefix")
         spread = self.classes.select("set", tree)
-        shared = spread.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = written(spread.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         block = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
         placed = (
@@ -159,22 +159,25 @@ class Join:
     def _verified(self, keyed: DataFrame, cells: DataFrame) -> DataFrame:
         """(`set`, `links`, `peer`) of every class with a verified pair, per cell."""
         cells = written(cells, "cells")
-        wanted = cells.select("row_1", "row_2").distinct()
-        texts = keyed.join(wanted, ["row_1", "row_2"], "left_semi").dropDuplicates(["row_1", "row_2"])
-        joined = cells.join(texts.select("row_1", "row_2", "text"), ["row_1", "row_2"]).drop("row_1", "row_2")
+        # The wanted rows grow with the corpus: merged by key at every size, never sent to every task.
+        wanted = cells.select("row_1", "row_2").distinct().hint("merge")
+        texts = keyed.select("row_1", "row_2", "text").join(wanted, ["row_1", "row_2"], "left_semi")
+        joined = cells.join(texts.dropDuplicates(["row_1", "row_2"]), ["row_1", "row_2"]).drop("row_1", "row_2")
         sorted_cells = joined.repartition("cell").sortWithinPartitions("cell")
         return sorted_cells.mapInArrow(_verifier(self.threshold, self.width), "`set` binary, links long, peer binary")
 
     def _summed(self) -> DataFrame:
         """(`set`, `first`, `root`, `members`, `links`) of every class; `root` is the component's smallest class."""
+        # Written, as are the small sides below: joins on a hot class or component then read two plain shuffles, which Spark splits.
         counted = self.links.groupBy("set").agg(F.sum("links").alias("links"))
         roots = components(self.links.select("set", "peer").distinct(), "set", "peer").withColumnRenamed("vertex", "set")
-        return (
+        found = (
             self.classes.select("set", "first", "members")
             .join(counted, "set", "left")
             .join(roots, "set", "left")
             .select("set", "first", "members", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "set").alias("root"))
         )
+        return written(found, "found")
 
     def first_rows(self) -> DataFrame:
         """(`root`, `first`): the row that stands for a component, by smallest id and then row key."""
@@ -182,9 +185,9 @@ class Join:
 
     def documents(self) -> DataFrame:
         """(`doc_id`, `class_id`, `n_links`) of every row."""
-        per_set = self.found.join(self.first_rows().select("root", F.col("first.doc_id").alias("class_id")), "root").select(
-            "set", "class_id", (F.col("links") + F.col("members") - 1).alias("n_links")
-        )
+        ids = written(self.first_rows().select("root", F.col("first.doc_id").alias("class_id")), "components")
+        n_links = (F.col("links") + F.col("members") - 1).alias("n_links")
+        per_set = written(self.found.join(ids, "root").select("set", "class_id", n_links), "per-class")
         linked = self.rows.select("doc_id", "set").where("`set` is not null").join(per_set, "set")
         alone = self.rows.where("`set` is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
         return linked.select("doc_id", "class_id", "n_links").unionAll(alone)
@@ -203,8 +206,7 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     join = Join(docs, text, doc_id, threshold)
     kept = join.first_rows().select("first.row_1", "first.row_2")
     alone = join.rows.where("`set` is null").select("row_1", "row_2").distinct()
-    names = docs.columns
-    keyed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), *row_key(docs[doc_id].cast("long"), docs[text]))
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(docs[doc_id].cast("long"), docs[text]))
     one = keyed.join(kept, ["row_1", "row_2"], "left_semi").dropDuplicates(["row_1", "row_2"])
     rest = keyed.join(alone, ["row_1", "row_2"], "left_semi")
     return one.select("row.*").unionAll(rest.select("row.*"))
