@@ -30,19 +30,23 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
         edges = cut_lineage(_small_star(_large_star(edges)))
 
 
+# The minima are written, so that a round's join reads two plain shuffles: Spark splits the large partition of a hub.
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours go to the smallest neighbour; `high` > `low` in every edge."""
     both = edges.select(F.col("high").alias("at"), F.col("low").alias("to")).unionAll(
         edges.select(F.col("low").alias("at"), F.col("high").alias("to"))
     )
     least = both.groupBy("at").agg(F.least(F.min("to"), F.col("at")).alias("least"))
+    least = cut_lineage(least)
     larger = edges.select(F.col("low").alias("at"), F.col("high").alias("to"))
     return larger.join(least, "at").select(F.col("to").alias("high"), F.col("least").alias("low")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours, and the vertex itself, go to the smallest one."""
-    least = edges.groupBy(F.col("high").alias("at")).agg(F.min("low").alias("least"))
+    least = cut_lineage(edges.groupBy(F.col("high").alias("at")).agg(F.min("low").alias("least")))
     moved = edges.withColumnRenamed("high", "at").join(least, "at").select(F.col("low").alias("high"), F.col("least").alias("low"))
     own = least.select(F.col("at").alias("high"), F.col("least").alias("low"))
     return moved.unionAll(own).where(F.col("high") != F.col("low")).distinct()
