@@ -23,12 +23,21 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 4096)
         table = pa.Table.from_batches(held)
         borders = _borders(table, key)
         if len(borders) > 2:
-            cut = int(borders[-2])
-            yield table.slice(0, cut).combine_chunks(), borders[:-1]
-            held = table.slice(cut).combine_chunks().to_batches()
+            yield from _runs(table, borders[:-1], rows)
+            held = table.slice(int(borders[-2])).combine_chunks().to_batches()
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
-        yield table, _borders(table, key)
+        yield from _runs(table, _borders(table, key), rows)
+
+
+def _runs(table: pa.Table, borders: np.ndarray, rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The groups in runs of about `rows` rows: a batch may hold many more than a caller wants to unfold at once."""
+    begin = 0
+    while begin < len(borders) - 1:
+        end = max(begin + 1, int(np.searchsorted(borders, borders[begin] + rows, "right")) - 1)
+        part = table.slice(int(borders[begin]), int(borders[end] - borders[begin])).combine_chunks()
+        yield part, borders[begin : end + 1] - borders[begin]
+        begin = end
 
 
 def _borders(table: pa.Table, key: str) -> np.ndarray:
