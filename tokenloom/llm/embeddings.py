@@ -159,7 +159,7 @@ def _links(task: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
         return
     tree = build(vectors[left])
     other = tree if itself else build(vectors[right])
-    counts, root = np.zeros(len(names), np.int64), np.arange(len(names))
+    counts = np.zeros(len(names), np.int64)
     pairs = []
     for i, j in near_pairs(vectors[left], tree, vectors[right], other, cosine, itself):
         i, j = left[i], right[j]
@@ -225,9 +225,10 @@ def near_vectors(
     roots = components(links.select("class", "peer").distinct(), "class", "peer").withColumnRenamed("vertex", "class")
     firsts = rows.where("`class` is not null").groupBy("class").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members"))
     found = firsts.join(counted, "class", "left").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    ids = found.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, as the classes below: joins on a hot component or class then read two plain shuffles, which Spark splits.
+    found = written(found, "found")
+    ids = written(found.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     per_class = found.join(ids, "root").select("class", "component_id", (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
-    # Written, so that the join with a hot class reads two plain shuffles, whose large partitions Spark splits.
     linked = rows.where("`class` is not null").select("id", "class").join(written(per_class, "per-class"), "class").select("id", "n_links", "component_id")
     alone = rows.where("`class` is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionAll(alone).select(
