@@ -14,8 +14,9 @@ from tokenloom.plans.tokens import BLOCK, summary
 from tokenloom.session import cut_lineage, scratch_path
 from tokenloom.sources import metadata as meta
 
-MERGES = 32
-VOCAB_SIZE = 512
+# Pieces of the reference's tokenizer, and the most merges that a vocabulary of that size has room for.
+VOCAB_SIZE = 16_000
+MERGES = VOCAB_SIZE - vocab.LEARNED_BASE
 # Models of this session by application and folder: every query below needs the same one.
 MODELS: dict[tuple[str, str], vocab.Subwords] = {}
 
