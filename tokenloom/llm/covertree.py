@@ -14,6 +14,8 @@ import numpy as np
 
 WIDEST = 2.0
 LEAF = 48
+# Pairs of single points whose vectors are gathered at a time.
+PAIRS = 1 << 15
 # Rounding of a distance that is computed from a product of unit vectors.
 SLACK = 1e-6
 
@@ -88,16 +90,18 @@ def near_pairs(a: np.ndarray, tree_a: Node, b: np.ndarray, tree_b: Node, cosine:
         if same:
             near = np.triu(near)
         i, j = np.nonzero(near)
-        # Pairs of single points are compared here, all at once.
+        # Pairs of single points are compared here, a run of pairs at a time.
         single = (np.array([len(n.points) for n in us]) == 1)[i] & (np.array([len(n.points) for n in vs]) == 1)[j]
         if same:
             single &= i != j
         if single.any():
             left = np.array([n.points[0] for n in us])[i[single]]
             right = np.array([n.points[0] for n in vs])[j[single]]
-            close = np.einsum("ij,ij->i", a[left], b[right]) >= cosine
-            if close.any():
-                yield left[close], right[close]
+            for at in range(0, len(left), PAIRS):
+                x, y = left[at : at + PAIRS], right[at : at + PAIRS]
+                close = np.einsum("ij,ij->i", a[x], b[y]) >= cosine
+                if close.any():
+                    yield x[close], y[close]
         if same:
             own = (i == j) & (np.array([len(n.points) for n in us]) == 1)[i]
             single |= own

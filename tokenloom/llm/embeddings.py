@@ -73,11 +73,12 @@ class Cells:
     def __init__(self, classes: DataFrame, cosine: float):
         sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n"))
         total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-        self.block = max(BLOCK, -(-total // CENTRES))
-        # At most CENTRES groups are larger than a block.
-        large = sizes.where(F.col("n") > self.block)
+        self.block = BLOCK
+        # Vectors a centre stands for: at most CENTRES groups have more. Cells grow with the input and are cut into more blocks.
+        share = max(BLOCK, -(-total // CENTRES))
+        large = sizes.where(F.col("n") > share)
         rank = F.row_number().over(Window.partitionBy("label", "size").orderBy(F.xxhash64("class"), "class"))
-        wanted = F.ceil(F.col("n") / self.block).cast("int")
+        wanted = F.ceil(F.col("n") / share).cast("int")
         choices = (
             classes.join(F.broadcast(large), ["label", "size"])
             .withColumn("rank", rank)
@@ -112,7 +113,7 @@ class Cells:
         small = cells.where("cell < 0").select(
             "label", "size", F.col("cell").alias("low"), F.col("cell").alias("high"), blocks.alias("low_blocks"), blocks.alias("high_blocks")
         )
-        return listed.unionAll(small)
+        return written(listed.unionAll(small), "cell-pairs")
 
 
 def _spread(choices: np.ndarray, wanted: int) -> np.ndarray:
@@ -159,39 +160,41 @@ def _links(task: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
         return
     tree = build(vectors[left])
     other = tree if itself else build(vectors[right])
+    order = np.argsort(np.array(names, dtype="S16"), kind="stable")
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
     counts = np.zeros(len(names), np.int64)
-    pairs = []
+    root = np.arange(len(names))
+    # Folded as they come: the pairs of two dense blocks are never held together.
     for i, j in near_pairs(vectors[left], tree, vectors[right], other, cosine, itself):
         i, j = left[i], right[j]
         np.add.at(counts, i, members[j])
         np.add.at(counts, j, members[i])
-        pairs.append((i, j))
-    if not pairs:
+        root = _united(root, rank[i], rank[j])
+    if not counts.any():
         return
-    i, j = (np.concatenate(p) for p in zip(*pairs))
-    order = np.argsort(np.array(names, dtype="S16"), kind="stable")
-    rank = np.empty(len(names), np.int64)
-    rank[order] = np.arange(len(names))
-    root = rank.copy()
-    while True:
-        low = np.minimum(root[i], root[j])
-        now = root.copy()
-        np.minimum.at(now, i, low)
-        np.minimum.at(now, j, low)
-        # A row's root is a rank; follow it one step.
-        now = np.minimum(now, now[order[now]])
-        if (now == root).all():
-            break
-        root = now
     linked = np.flatnonzero(counts)
     columns = [
         pa.array([names[x] for x in linked], pa.binary()),
         pa.array(counts[linked]),
-        pa.array([names[order[root[x]]] for x in linked], pa.binary()),
+        pa.array([names[order[root[rank[x]]]] for x in linked], pa.binary()),
     ]
     yield pa.RecordBatch.from_arrays(columns, ["class", "links", "peer"])
 
 
+def _united(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """`root`, where every entry names the smallest of its component, after the links of `i` with `j`."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not ((up := root[root]) == root).all():
+            root = up
+
+
 def near_vectors(
     table: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label"
 ) -> DataFrame:
