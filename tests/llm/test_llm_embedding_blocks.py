@@ -42,3 +42,15 @@ def test_links_of_a_dense_task_are_folded_not_stored():
     assert dict(zip(out["class"].to_pylist(), out["links"].to_pylist())) == {n: c for n, c in counts.items() if c}
     assert set(out["peer"].to_pylist()) == {min(n for n, c in counts.items() if c)}
     assert peak < 150e6
+
+
+def test_centres_are_chosen_without_ranking_a_label(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(embeddings, "BLOCK", 8)
+    rows = [(b"%016d" % i, 1, 6, np.array(v).tobytes(), 1) for i, v in enumerate(vectors(7, 400))]
+    spark.createDataFrame(rows, "`class` binary, label long, size int, vector binary, members long").write.parquet(f"{tmp_path}/classes")
+    plans, frame = [], type(spark.range(1))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (plans.append(self._jdf.queryExecution().toString()), collect(self))[1])
+    cells = embeddings.Cells(spark.read.parquet(f"{tmp_path}/classes"), 0.98)
+    assert plans and not any("Window" in p or "row_number" in p for p in plans)
+    assert len(cells.centres[(1, 6)]) == 50

@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tokenloom.llm.components import components
 from tokenloom.llm.covertree import build, distances, near_cells, near_pairs
@@ -34,7 +33,7 @@ COSINE = 0.98
 BLOCK = 2048
 # Most centres of all labels together; they and the list of cell pairs go to every task.
 CENTRES = 512
-# Vectors per centre among which the centres of a label are chosen.
+# Vectors per centre, on average, among which the centres of a label are chosen.
 CHOICES = 8
 
 CELL_TYPE = "`class` binary, label long, size int, vector binary, cell int, away double, members long"
@@ -77,15 +76,13 @@ class Cells:
         # Vectors a centre stands for: at most CENTRES groups have more. Cells grow with the input and are cut into more blocks.
         share = max(BLOCK, -(-total // CENTRES))
         large = sizes.where(F.col("n") > share)
-        rank = F.row_number().over(Window.partitionBy("label", "size").orderBy(F.xxhash64("class"), "class"))
         wanted = F.ceil(F.col("n") / share).cast("int")
+        # 53 bits of the hash, against the share of a label's classes that are choices: a filter, nothing is shuffled or ranked.
+        draw = F.shiftrightunsigned(F.xxhash64("class"), 11) / F.lit(2.0**53)
         choices = (
-            classes.join(F.broadcast(large), ["label", "size"])
-            .withColumn("rank", rank)
-            .withColumn("wanted", wanted)
-            .where(F.col("rank") <= CHOICES * F.col("wanted"))
-            .where(F.col("rank") <= CHOICES * 2 * CENTRES)
-            .orderBy("label", "size", "rank")
+            classes.join(F.broadcast(large.withColumn("wanted", wanted)), ["label", "size"])
+            .where(draw < CHOICES * F.col("wanted") / F.col("n"))
+            .orderBy("label", "size", F.xxhash64("class"), "class")
             .select("label", "size", "wanted", "vector")
             .collect()
         )
