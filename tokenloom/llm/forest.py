@@ -107,7 +107,8 @@ def _labelled(width: int, trees: int, depth: int):
 
 
 def row_key(doc_id: Column, text: Column) -> list[Column]:
-    """Two hashes that name an id with its text; repeated rows share them."""
+    """Two hashes that name an id with its text; repeated rows share them, whatever the integer type of the id."""
+    doc_id = doc_id.cast("long")
     return [F.xxhash64(doc_id, text).alias("row_1"), F.xxhash64(text, F.lit(7), doc_id).alias("row_2")]
 
 
@@ -206,7 +207,7 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc
     join = Join(docs, text, doc_id, threshold)
     kept = join.first_rows().select("first.row_1", "first.row_2")
     alone = join.rows.where("`set` is null").select("row_1", "row_2").distinct()
-    keyed = docs.select(F.struct("*").alias("row"), *row_key(docs[doc_id].cast("long"), docs[text]))
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(docs[doc_id], docs[text]))
     one = keyed.join(kept, ["row_1", "row_2"], "left_semi").dropDuplicates(["row_1", "row_2"])
     rest = keyed.join(alone, ["row_1", "row_2"], "left_semi")
     return one.select("row.*").unionAll(rest.select("row.*"))
