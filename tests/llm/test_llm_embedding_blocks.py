@@ -41,7 +41,7 @@ def test_links_of_a_dense_task_are_folded_not_stored():
     assert near.sum() > 300_000
     assert dict(zip(out["class"].to_pylist(), out["links"].to_pylist())) == {n: c for n, c in counts.items() if c}
     assert set(out["peer"].to_pylist()) == {min(n for n, c in counts.items() if c)}
-    assert peak < 150e6
+    assert peak < 60e6
 
 
 def test_centres_are_chosen_without_ranking_a_label(spark, monkeypatch, tmp_path):
