@@ -48,33 +48,40 @@ def test_merges_equal_one_at_a_time_learning(spark, words):
     assert bpe.learn_merges(frame, 8) == one_at_a_time(words, 8)
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(8))
 def test_merges_of_random_words(spark, monkeypatch, seed):
-    monkeypatch.setattr(bpe, "MERGES_PER_CUT", 4)
-    monkeypatch.setattr(bpe, "FETCHED_PAIRS", 3 + seed * 2)
+    """Few live pairs a round, and a bound on the runs that makes rounds take fewer, down to one pair."""
+    monkeypatch.setattr(bpe, "FIRST_PAIRS", 1 + seed)
+    monkeypatch.setattr(bpe, "MOST_RUNS", [100_000, 20][seed % 2])
     rng = random.Random(seed)
-    words = {"".join(rng.choices("abcd", k=rng.randint(1, 9))): rng.randint(1, 30) for _ in range(60)}
+    words = {"".join(rng.choices("abcd", k=rng.randint(1, 9))): rng.randint(1, 30 if seed < 6 else 2) for _ in range(60)}
     frame = spark.createDataFrame(list(words.items()), "word string, cnt long")
-    assert bpe.learn_merges(frame, 14) == one_at_a_time(words, 14)
-
-
-def test_accepted_pairs_stop_at_conflicts_and_at_the_floor():
-    top = [("a", "b", 9), ("c", "d", 8), ("b", "e", 7), ("f", "g", 6)]
-    assert bpe.accepted_pairs(top, 0, 9) == top[:2]
-    assert bpe.accepted_pairs(top, 0, 1) == top[:1]
-    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 7), ("b", "e", 7)], 0, 9) == [("a", "b", 9)]
-    assert bpe.accepted_pairs([("a", "a", 9), ("c", "d", 8)], 0, 9) == [("a", "a", 9)]
-    assert bpe.accepted_pairs([("a", "b", 9), ("c", "d", 8)], 8, 9) == [("a", "b", 9)]
-
-
-def test_frontier_is_stale_when_an_older_spelling_gains():
-    rows = [("a", "b", 9), ("c", "d", 7), ("x", "y", 3)]
-    fresh = bpe.Frontier(rows, complete=False)
-    fresh.apply([("a", "b", 9)], [("a", "b", -9), ("x", "ab", 5), ("c", "d", -1)], set())
-    assert not fresh.stale and fresh.counts == {("x", "ab"): 5, ("c", "d"): 6}
-    older = bpe.Frontier(rows, complete=False)
-    older.apply([("a", "b", 9)], [("a", "b", -9), ("x", "ab", 5)], {"ab"})
-    assert older.stale
+    assert bpe.learn_merges(frame, 60) == one_at_a_time(words, 60)
+
+
+def test_merges_of_a_corpus_to_its_last_pair(spark):
+    rng = random.Random(3)
+    stems = ["".join(rng.choices("abcde", k=rng.randint(2, 4))) for _ in range(25)]
+    words = Counter("".join(rng.choices(stems, k=rng.randint(1, 4))) for _ in range(900))
+    frame = spark.createDataFrame(list(words.items()), "word string, cnt long")
+    expected = one_at_a_time(words, 10_000)
+    # A string becomes a symbol by one merge only.
+    assert len(expected) > 500 and len({a + b for a, b, _ in expected}) == len(expected)
+    assert bpe.learn_merges(frame, 10_000) == expected
+
+
+def test_merges_are_applied_in_order():
+    ranks = {("a", "b"): 0, ("b", "c"): 1, ("ab", "c"): 2}
+    assert bpe.merged_in_order(list("abcbc"), ranks) == ["abc", "bc"]
+    assert bpe.merged_in_order(list("aaa"), {("a", "a"): 0}) == ["aa", "a"]
+    assert bpe.merged_in_order(list("aaaa"), {("a", "a"): 0, ("aa", "aa"): 1}) == ["aaaa"]
+
+
+def test_live_runs():
+    live = frozenset({("a", "b"), ("b", "c")})
+    assert bpe.live_runs(list("xabcyab"), live, False) == [list("abc"), list("ab")]
+    assert bpe.live_runs(list("xaby"), live, True) == [list("xaby")]
+    assert bpe.live_runs(list("xy"), live, True) == bpe.live_runs([], live, False) == []
 
 
 @pytest.fixture(scope="module")

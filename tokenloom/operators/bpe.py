@@ -1,178 +1,243 @@
-"""Byte-pair merge learning as rounds of Spark aggregates over the distinct words."""
+"""Byte-pair merge learning in rounds: Spark reduces the words to the runs that a round can merge, few enough to replay.
+
+A round counts all adjacent pairs and takes the leading ones as live. Merging (a, b) takes away an
+occurrence of the pair before and after it for each one that it adds, so until the best count falls
+below that of the live pairs, nothing can happen outside the maximal runs of live pairs. Equal runs
+of all words are one row with their summed count. Those rows, at most `MOST_RUNS` of them, are merged
+one pair at a time; what was learned is then applied to the words, which stay distributed.
+
+No pair gains but through a new symbol: a string becomes a symbol by one merge only. Wherever it
+ends up as one symbol, no earlier merge crossed its borders, so its inside was merged alike everywhere.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import defaultdict
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.operators.vocab import LEARNED_BASE, Subwords, char_coverage, word_counts
 from tokenloom.session import cut_lineage
 
-# Wraps every symbol of a word: `<a><b>` is SEP a SEP SEP b SEP. Words hold no white space, so it is free.
+# Parts the symbols of a run. Words hold no white space, so it is free.
 SEP = "\x1f"
-# Parts a list of such strings inside a plan.
-LIST_SEP = "\x1d"
 # Stands for characters outside the alphabet, where a word is cut.
 OUTSIDE = "\x1e"
-FETCHED_PAIRS = 4096
-WORDS_PER_PARTITION = 20_000
-MERGES_PER_CUT = 8
-
+# Live pairs of the first round, and of any round.
+FIRST_PAIRS = 512
+MOST_PAIRS = 32_768
+# Most runs of a round, and most characters of them: beyond, the round takes fewer live pairs.
+MOST_RUNS = 100_000
+MOST_CHARACTERS = 8_000_000
+WORDS_PER_PARTITION = 10_000
+
+Pair = tuple[str, str]
 # (left, right, count)
 Merge = tuple[str, str, int]
 
+STATE_TYPE = "parts array<string>, cnt long"
 
-def symbol_string(word: Column) -> Column:
-    return F.concat(F.lit(SEP), F.array_join(T.characters(word), SEP + SEP), F.lit(SEP))
 
+def symbol_state(words: DataFrame) -> DataFrame:
+    """Distinct words as arrays of symbols, with their counts."""
+    return words.select(T.characters(F.col("word")).alias("parts"), F.col("cnt").cast("long").alias("cnt"))
 
-def symbols(wrapped: Column) -> Column:
-    # Splitting at one plain character needs no regular expression.
-    inner = F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
-    return F.split(F.replace(inner, F.lit(SEP + SEP), F.lit(SEP)), SEP)
 
-
-def pair_pattern(left: str, right: str) -> str:
-    return f"{SEP}{left}{SEP}{SEP}{right}{SEP}"
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], int]]:
+    for batch in batches:
+        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
 
 
 def pair_counts(state: DataFrame) -> DataFrame:
-    """Weighted count of every adjacent symbol pair."""
-    listed = state.where(F.contains("word", F.lit(SEP + SEP))).select("cnt", symbols(F.col("word")).alias("s"))
-    rest = F.size("s") - 1
-    pairs = F.arrays_zip(
-        F.slice("s", F.lit(1), rest).alias("left"), F.slice("s", F.lit(2), rest).alias("right")
-    )
-    return listed.select("cnt", F.inline(pairs)).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
-
-
-def accepted_pairs(top: list[Merge], floor: int, wanted: int, spelled: frozenset[str] | set[str] = frozenset()) -> list[Merge]:
-    """The leading pairs of a descending list that one-at-a-time merging would also take next, in order.
-
-    Merging (a, b) takes away occurrences of pairs that end in a or begin with b, as they stand next to
-    it; pairs that begin with the same a or end in the same b stand elsewhere. A new pair occurs at
-    most as often as one that was taken away. So pairs that meet none before them end to end keep their
-    place while their count is above that of the first pair that does, and above `floor`, which no
-    unlisted pair exceeds. A symbol spelled like one in `spelled` adds to that one's pairs, so its merge goes alone.
-    """
-    taken: list[Merge] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    made: set[str] = set()
-    stop = floor
-    for left, right, count in top:
-        joined = left + right
-        if left == right or left in rights or right in lefts or joined in made or joined in spelled:
-            stop = count
-            break
-        taken.append((left, right, count))
-        lefts.add(left)
-        rights.add(right)
-        made.add(joined)
-    safe = [t for t in taken if t[2] > stop] or top[:1]
-    return safe[:wanted]
-
-
-class Frontier:
-    """Exact counts of all pairs above a floor, kept up to date with the changes of each round.
-
-    Only pairs with a new symbol gain, so a listed pair stays exact and an unlisted one stays
-    at or below the floor. The exception is a symbol spelled like an older one, whose pairs may
-    have been unlisted: then the list is `stale`.
-    """
-
-    def __init__(self, rows: list[Merge], complete: bool):
-        self.floor = 0 if complete or not rows else rows[-1][2]
-        self.counts = {(left, right): count for left, right, count in rows if count > self.floor}
-        self.stale = not self.counts and not complete
-
-    def leading(self) -> list[Merge]:
-        return sorted(((l, r, c) for (l, r), c in self.counts.items()), key=lambda m: (-m[2], m[0], m[1]))
-
-    def apply(self, batch: list[Merge], changes: list[Merge], known: set[str]) -> None:
-        for left, right, change in changes:
-            pair = (left, right)
-            if change > 0 and pair not in self.counts and self.floor and not ({left, right} & self.fresh(batch, known)):
-                self.stale = True
-            count = self.counts.get(pair, 0) + change
-            if count > self.floor:
-                self.counts[pair] = count
-            else:
-                self.counts.pop(pair, None)
-        self.stale = self.stale or (not self.counts and self.floor > 0)
-
-    @staticmethod
-    def fresh(batch: list[Merge], known: set[str]) -> set[str]:
-        return {left + right for left, right, _ in batch} - known
-
-
-def text_array(values: list[str]) -> Column:
-    return F.split(F.lit(LIST_SEP.join(values)), LIST_SEP)
-
-
-def merged_word(word: Column, batch: list[Merge]) -> Column:
-    """Every pair of `batch` joined, one after the other, from left to right.
+    """Weighted count of every adjacent symbol pair; a task adds up its own words first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[Pair, int] = defaultdict(int)
+        for parts, weight in _rows(batches):
+            for pair in zip(parts, parts[1:]):
+                counts[pair] += weight
+        lefts, rights = [p[0] for p in counts], [p[1] for p in counts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lefts, pa.string()), pa.array(rights, pa.string()), pa.array(counts.values(), pa.int64())], ["left", "right", "cnt"]
+        )
 
-    The pairs are data of one expression, so rounds share their plan and its compiled code.
+    partial = state.mapInArrow(count, "left string, right string, cnt long")
+    return partial.groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
+
+
+def joined(parts: list[str], left: str, right: str) -> list[str]:
+    """`parts` with every (left, right) made one symbol, from left to right."""
+    out, i, last = [], 0, len(parts) - 1
+    while i <= last:
+        if i < last and parts[i] == left and parts[i + 1] == right:
+            out.append(left + right)
+            i += 2
+        else:
+            out.append(parts[i])
+            i += 1
+    return out
+
+
+def merged_in_order(parts: list[str], ranks: dict[Pair, int]) -> list[str]:
+    """`parts` after all merges of a round in the order of their ranks."""
+    while True:
+        pair = min((p for p in zip(parts, parts[1:]) if p in ranks), key=ranks.get, default=None)
+        if pair is None:
+            return parts
+        parts = joined(parts, *pair)
+
+
+def merged(state: DataFrame, batch: list[Merge]) -> DataFrame:
+    """The words after the merges of `batch`."""
+    ranks = {(left, right): rank for rank, (left, right, _) in enumerate(batch)}
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            parts = [merged_in_order(p, ranks) for p in rows.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.list_(pa.string())), rows.column(1)], ["parts", "cnt"])
+
+    return state.mapInArrow(apply, STATE_TYPE)
+
+
+def live_runs(parts: list[str], live: frozenset[Pair], whole: bool) -> list[list[str]]:
+    """Maximal runs of live pairs; with `whole`, a word that holds one is a run."""
+    alive = [pair in live for pair in zip(parts, parts[1:])]
+    if whole:
+        return [parts] if any(alive) else []
+    runs, begin = [], None
+    for i, on in enumerate([*alive, False]):
+        if on and begin is None:
+            begin = i
+        elif not on and begin is not None:
+            runs.append(parts[begin : i + 1])
+            begin = None
+    return runs
+
+
+def run_counts(state: DataFrame, live: frozenset[Pair], whole: bool) -> DataFrame:
+    """Distinct live runs of all words with their counts; a task adds up its own words first."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = defaultdict(int)
+        for parts, weight in _rows(batches):
+            for run in live_runs(parts, live, whole):
+                counts[SEP.join(run)] += weight
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(counts.values(), pa.int64())], ["run", "cnt"])
+
+    return state.mapInArrow(cut, "run string, cnt long").groupBy("run").agg(F.sum("cnt").alias("cnt"))
+
+
+class Replay:
+    """One-at-a-time merging of the runs of a round; `later` pairs are only partly counted and come after all live ones."""
+
+    def __init__(self, runs: list[tuple[str, int]], live: frozenset[Pair], whole: bool):
+        self.parts = [run.split(SEP) for run, _ in runs]
+        self.weights = [weight for _, weight in runs]
+        self.counts: dict[Pair, int] = defaultdict(int)
+        self.places: dict[Pair, set[int]] = defaultdict(set)
+        for i, parts in enumerate(self.parts):
+            for pair in zip(parts, parts[1:]):
+                self.counts[pair] += self.weights[i]
+                self.places[pair].add(i)
+        self.later = {pair for pair in self.counts if pair not in live} if whole else set()
+        self.heap = [(-count, *pair) for pair, count in self.counts.items()]
+        heapify(self.heap)
+
+    def best(self) -> Merge | None:
+        """The leading pair; counts that fell since they were stored are put right on the way."""
+        while self.heap:
+            stored, left, right = self.heap[0]
+            count = self.counts[left, right]
+            if count == -stored and (left, right) not in self.later:
+                return left, right, count
+            heappop(self.heap)
+            if 0 < count < -stored:
+                heappush(self.heap, (-count, left, right))
+        return None
+
+    def merge(self, left: str, right: str) -> None:
+        gained = set()
+        for i in self.places.pop((left, right)):
+            old, weight = self.parts[i], self.weights[i]
+            new = self.parts[i] = joined(old, left, right)
+            for pair in zip(old, old[1:]):
+                self.counts[pair] -= weight
+            for pair in zip(new, new[1:]):
+                self.counts[pair] += weight
+                self.places[pair].add(i)
+                gained.add(pair)
+        for pair in gained:
+            heappush(self.heap, (-self.counts[pair], *pair))
+
+    def learn(self, wanted: int, floor: int, last: Pair | None) -> list[Merge]:
+        """Merges with a count of `floor` or more; at `floor` itself only pairs up to `last`, if there is one."""
+        learned: list[Merge] = []
+        while len(learned) < wanted:
+            top = self.best()
+            if top is None or top[2] < floor or (last and top[2] == floor and top[:2] > last):
+                break
+            self.merge(*top[:2])
+            learned.append(top)
+        return learned
+
+
+def learn_round(state: DataFrame, top: list[Merge], complete: bool, wanted: int) -> tuple[list[Merge], int, int]:
+    """The next merges, the number of live pairs that they were found with, and that of their runs.
+
+    `top` are the leading pairs in order, all there are if `complete`.
     """
-    if not batch:
-        return word
-    pairs = text_array([pair_pattern(left, right) for left, right, _ in batch])
-    joined = text_array([f"{SEP}{left}{right}{SEP}" for left, right, _ in batch])
-    merges = F.arrays_zip(pairs.alias("pair"), joined.alias("joined"))
-    return F.aggregate(merges, word, lambda w, m: F.replace(w, m["pair"], m["joined"]))
-
-
-def pair_changes(state: DataFrame, batch: list[Merge]) -> DataFrame:
-    """How the merges of `batch` change the pair counts; only words that hold one of the pairs are parsed."""
-    word = F.col("word")
-    touched = state.where(F.exists(text_array([pair_pattern(l, r) for l, r, _ in batch]), lambda p: F.contains(word, p)))
-    before = F.struct(word.alias("word"), (-F.col("cnt")).alias("cnt"))
-    after = F.struct(merged_word(word, batch).alias("word"), F.col("cnt").alias("cnt"))
-    return pair_counts(touched.select(F.inline(F.array(before, after))))
+    pairs = len(top) if complete else len(top) - 1
+    while True:
+        # A count that some pair left out has as well is not listed in full, so it is not live.
+        floor = 1 if complete and pairs == len(top) else top[pairs][2] + 1
+        listed = [m for m in top[:pairs] if m[2] >= floor]
+        last = None
+        if not listed:
+            # All leading pairs are equally frequent: the first of them are live, and words are not cut into runs.
+            listed, floor, last = top[:pairs], top[0][2], top[pairs - 1][:2]
+        live = frozenset((left, right) for left, right, _ in listed)
+        runs = cut_lineage(run_counts(state, live, last is not None))
+        size = runs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("run")).alias("characters")).first()
+        if size["n"] <= MOST_RUNS and size["characters"] <= MOST_CHARACTERS:
+            table = runs.toArrow()
+            replay = Replay(list(zip(table["run"].to_pylist(), table["cnt"].to_pylist())), live, last is not None)
+            return replay.learn(wanted, floor, last), pairs, size["n"]
+        if pairs == 1:
+            # The leading pair comes next whatever its runs are.
+            return top[:1], pairs, size["n"]
+        pairs = max(1, pairs // 4)
 
 
 def learn_merges(words: DataFrame, merges: int) -> list[Merge]:
     """The first `merges` merges `(left, right, count)` over distinct `word` rows with `cnt`.
 
-    Ties go to the smaller (left, right). The words stay distributed. A round scans them for the
-    merged pairs, parses those that hold one, and returns how the counts next to the merged
-    pairs change: at most four per symbol and merge. All pairs are counted again only when the
-    `FETCHED_PAIRS` most frequent ones are used up.
+    Ties go to the smaller (left, right). The words stay distributed: a round reads them for the pair
+    counts, for the live runs, and to apply what it learned. The driver holds the leading pairs and
+    the runs of a round, both bounded; the number of live pairs follows from the runs that they leave.
     """
     spark = words.sparkSession
-    state = cut_lineage(words.select(symbol_string(F.col("word")).alias("word"), "cnt"))
-    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = cut_lineage(state.repartition(max(1, min(limit, state.count() // WORDS_PER_PARTITION + 1)), "word"))
+    state = cut_lineage(symbol_state(words))
+    rows = state.count()
+    parts = min(rows // WORDS_PER_PARTITION + 1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    state = cut_lineage(state.repartition(parts, "parts"))
     learned: list[Merge] = []
-    pending: list[Merge] = []
-    spelled: set[str] = set()
-    frontier = None
+    pairs = FIRST_PAIRS
     while len(learned) < merges:
-        current = state.select(merged_word(F.col("word"), pending).alias("word"), "cnt")
-        if frontier is None or frontier.stale:
-            ordered = pair_counts(current).orderBy(F.desc("cnt"), "left", "right")
-            rows = [tuple(r) for r in ordered.limit(FETCHED_PAIRS).collect()]
-            frontier = Frontier(rows, len(rows) < FETCHED_PAIRS)
-            if frontier.stale:
-                # All fetched pairs are equally frequent; only the first is sure to come next.
-                frontier.counts = {rows[0][:2]: rows[0][2]}
-        top = frontier.leading()
+        ordered = pair_counts(state).orderBy(F.desc("cnt"), "left", "right")
+        top = [tuple(r) for r in ordered.limit(pairs + 1).collect()]
         if not top:
             break
-        batch = accepted_pairs(top, frontier.floor, merges - len(learned), spelled)
-        learned.extend(batch)
-        if len(learned) == merges:
-            break
-        if not frontier.stale:
-            changes = pair_changes(current, batch).where(F.col("cnt") != 0).collect()
-            frontier.apply(batch, [tuple(r) for r in changes], spelled)
-        spelled.update(left + right for left, right, _ in batch)
-        pending.extend(batch)
-        if len(pending) >= MERGES_PER_CUT:
-            state = cut_lineage(state.select(merged_word(F.col("word"), pending).alias("word"), "cnt"))
-            pending = []
+        batch, used, runs = learn_round(state, top, len(top) <= pairs, merges - len(learned))
+        learned += batch
+        # As many live pairs as the bound on runs leaves room for.
+        pairs = min(MOST_PAIRS, max(2 * used, 2) if 2 * runs < MOST_RUNS else used)
+        if len(learned) < merges:
+            state = cut_lineage(merged(state, batch))
     return learned
 
 

@@ -236,9 +236,6 @@ def model_sql(ids: str, eos: str, size: str) -> str:
 
 
 MODEL = model_sql(DOC_IDS, S.EOS, f"{S.EOS} + 1")
-SUBWORD_IDS = f"""{subwords.TOKENS}, {S.SPLITS},
-    enc AS (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM docs)"""
-SUBWORD_MODEL = model_sql(SUBWORD_IDS, str(EOS_ID), "(SELECT 260 + count(DISTINCT piece) FROM pieces)")
 
 
 def probs_sql(model: str, top_k: int | None = TOP_K) -> str:
@@ -322,18 +319,6 @@ ORACLE = {
     "cross_entropy": entropy_sql(MODEL),
     "eval_loss": eval_sql(MODEL),
     "loss_bands": bands_sql(MODEL),
-    "bpe_cross_entropy": entropy_sql(SUBWORD_MODEL),
-    "bpe_eval_loss": eval_sql(SUBWORD_MODEL),
-    "bpe_loss_bands": bands_sql(SUBWORD_MODEL),
-    "bpe_loss_bands_joined": bands_sql(SUBWORD_MODEL),
-    "bpe_generate": f"""WITH RECURSIVE {probs_sql(SUBWORD_MODEL)},
-        starts AS (
-            SELECT d.doc_id AS prompt_id, unnest(range({SAMPLES})) AS sample,
-                   coalesce((ids[:{PROMPT}])[-1], {EOS_ID}) AS context
-            FROM documents d LEFT JOIN docs USING (doc_id)),
-        {WALK}
-        SELECT prompt_id AS doc_id, sample::INTEGER AS sample, array_to_string(g, ' ') AS generated,
-               coalesce(nullif(list_position(g, {EOS_ID}), 0) - 1, len(g))::INTEGER AS kept FROM outs""",
     "bigram_model": f"""WITH {MODEL}
         SELECT prev::INTEGER AS prev, next::INTEGER AS next, cnt, round(p, 12) AS p FROM dense JOIN bi USING (prev, next)""",
     "topk_softmax": f"""WITH {PROBS}
