@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpus_pipeline import DOMAINS, MIX_SHARE, MIX_WEIGHTS, SHARDS
-from tokenloom.llm import decontam, embeddings, extract, forest, language, mixing, oracles, quality, repeats, secrets, shards
+from tokenloom.llm import decontam, embeddings, extract, forest, language, mixing, oracles, quality, repeats, secrets, shards, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 # CRC-32 folds one nibble at a time over the table of its polynomial.
 CRC_TABLE = """steps(i, k, c) AS (
     SELECT range, 0, range::BIGINT FROM range(16)
@@ -169,6 +173,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_language": op10_language,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
