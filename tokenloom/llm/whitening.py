@@ -278,7 +278,7 @@ def whiten(vectors: DataFrame, embedding: str = "embedding", vec_id: str = "vec_
     The table is read three times: for the covariance, to measure the result, and to return it.
     """
     usable, size = usable_vectors(vectors, embedding, vec_id)
-    model = fit(usable, size, components)
+    model = fit(usable, size, components) if size else None
     if model is None:
         return vectors.sparkSession.createDataFrame([], OUT_TYPE)
     return whitened_rows(usable, model, identity_error(usable, model))
