@@ -98,3 +98,26 @@ links AS (
 {closure_sql("links")}
 SELECT doc_id, coalesce(root, doc_id) AS class_id, (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
 FROM documents LEFT JOIN smallest ON a = doc_id"""
+
+
+def plain_words_sql(text: str) -> str:
+    """Runs of letters, digits and everything beyond ASCII, A to Z in lower case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = f"translate(coalesce({text}, ''), '{upper}', '{upper.lower()}')"
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+OP13_SQL = f"""WITH cut AS (SELECT doc_id, row_number() OVER () AS r, {plain_words_sql("text")} AS t FROM documents),
+sizes AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM cut WHERE len(t) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM sizes),
+counts AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM cut) GROUP BY r, term),
+spread AS (SELECT term, count(*)::BIGINT AS df FROM counts GROUP BY term),
+wanted AS (SELECT DISTINCT item_id, unnest({plain_words_sql("text")}) AS term FROM benchmark),
+scored AS (
+    SELECT item_id, doc_id, r,
+           sum(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT
+               * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))))::BIGINT AS score
+    FROM wanted JOIN spread USING (term) JOIN counts USING (term) JOIN sizes USING (r), totals GROUP BY item_id, doc_id, r)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpus_pipeline import DOMAINS, MIX_SHARE, MIX_WEIGHTS, SHARDS
-from tokenloom.llm import decontam, embeddings, extract, forest, language, mixing, oracles, quality, repeats, secrets, shards, whitening
+from tokenloom.llm import decontam, embeddings, extract, forest, language, lexical, mixing, oracles, quality, repeats, secrets, shards, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # CRC-32 folds one nibble at a time over the table of its polynomial.
 CRC_TABLE = """steps(i, k, c) AS (
     SELECT range, 0, range::BIGINT FROM range(16)
@@ -174,6 +178,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_language": op10_language,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -183,6 +188,7 @@ ORACLE = {
     "op8_jaccard_join": oracles.OP8_SQL,
     "op7_sharding": OP7_SQL,
     "op9_source_mixing": OP9_SQL,
+    "op13_lexical_search": oracles.OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
