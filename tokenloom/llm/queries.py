@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpus_pipeline import DOMAINS, MIX_SHARE, MIX_WEIGHTS, SHARDS
-from tokenloom.llm import decontam, embeddings, extract, forest, language, lexical, mixing, oracles, quality, repeats, secrets, shards, whitening
+from tokenloom.llm import decontam, embeddings, extract, forest, language, lexical, licenses, mixing, oracles, quality, repeats, secrets, shards, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -177,6 +181,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_language": op10_language,
+    "op11_license_scan": op11_license_scan,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
