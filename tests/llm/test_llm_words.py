@@ -59,3 +59,12 @@ def test_components_of_chains_stars_and_cycles(spark):
     got = {r.vertex: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert got == {**{i: 1 for i in range(2, 61)}, **{101 + i: 100 for i in range(30)}, 201: 200, 202: 200}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_lower_case_words_of_a_slice():
+    texts = pa.array(["Ab CD", None, "Éé-X9", "", "tail OF it"])
+    for first in range(5):
+        part = texts.slice(first)
+        found = words.find_words(part, words.PLAIN_TABLE, lower=True)
+        listed = [found.text(i).decode() for i in range(len(part))]
+        assert listed == ["ab cd", "", "Éé x9", "", "tail of it"][first:]

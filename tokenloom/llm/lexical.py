@@ -69,7 +69,7 @@ class Items:
 
 
 def plain_words(texts: pa.Array):
-    return find_words(pc.ascii_lower(texts.cast(pa.large_string())), PLAIN_TABLE)
+    return find_words(texts, PLAIN_TABLE, lower=True)
 
 
 def item_blocks(items: DataFrame, text: str, item_id: str) -> Iterator[Items]:

@@ -27,7 +27,6 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -329,7 +328,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     labels = list(BASE_PHRASES.values())
     for batch in batches:
         for part in slices(batch, 1):
-            words = find_words(pc.ascii_lower(part.column(1).cast(pa.large_string())), PLAIN_TABLE)
+            words = find_words(part.column(1), PLAIN_TABLE, lower=True)
             at = np.minimum(np.searchsorted(scan.hashes, words.hash), len(scan.hashes) - 1)
             numbers = np.where(scan.hashes[at] == words.hash, at, -1)
             rows: list[tuple] = []

@@ -32,6 +32,8 @@ def separators(codes: list[int]) -> np.ndarray:
 
 
 BLANK_TABLE = separators(BLANKS)
+# Every byte with A to Z in lower case.
+LOWER = np.array([c | 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 # Everything in ASCII but letters and digits separates normalised words.
 PLAIN_TABLE = separators([c for c in range(128) if not chr(c).isalnum()])
 
@@ -113,9 +115,11 @@ def slices(batch: pa.RecordBatch, text_column: int) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
-def find_words(texts: pa.Array, table: np.ndarray = BLANK_TABLE) -> Words:
-    """Maximal runs of bytes that are not separators; no word spans two texts."""
+def find_words(texts: pa.Array, table: np.ndarray = BLANK_TABLE, lower: bool = False) -> Words:
+    """Maximal runs of bytes that are not separators, A to Z in lower case if asked; no word spans two texts."""
     offsets, data = text_buffers(texts)
+    if lower:
+        data = LOWER[data]
     n = len(data)
     inside = ~table[data] if n else np.zeros(0, bool)
     begins = inside.copy()
