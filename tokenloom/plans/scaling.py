@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenloom.operators import scaling
+from tokenloom.operators import asof, scaling
 from tokenloom.plans.tables import table
 
 SIZE_LIMIT = 20_000_000
@@ -92,6 +92,16 @@ def nearest_model(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nearest_line(spark: SparkSession, sf: str) -> DataFrame:
+    """The lineitem row whose price is closest to the total of an order, from a table that grows with the data."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_extendedprice").cast("double").alias("price"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")
+    )
+    totals = table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("total"))
+    found = asof.nearest(totals, lines, "total", "price", "line", "_m")
+    return found.select("o_orderkey", F.col("_m.line").alias("line"), F.round("_m.price", 6).alias("price"))
+
+
 def loglog_fit(spark: SparkSession, sf: str) -> DataFrame:
     points = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
     fit = scaling.log_log_fit(points, "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
@@ -112,6 +122,7 @@ QUERIES = {
     "loss_surface": loss_surface,
     "compute_optimal": compute_optimal,
     "nearest_model": nearest_model,
+    "nearest_line": nearest_line,
     "loglog_fit": loglog_fit,
 }
 
@@ -194,6 +205,16 @@ ORACLE = {
         SELECT o_orderkey, round(log10(m.n), 8) AS log10_n, round(log10(m.d), 8) AS log10_d,
                round(log10(6 * m.n * m.d), 8) AS log10_flops, round(m.loss, 9) AS loss
         FROM found""",
+    "nearest_line": """WITH firsts AS (
+            SELECT l_extendedprice::DOUBLE AS v, min(l_orderkey * 8 + l_linenumber)::BIGINT AS line FROM lineitem GROUP BY 1),
+        totals AS (SELECT o_orderkey, o_totalprice::DOUBLE AS total FROM orders),
+        below AS (SELECT o_orderkey, total, v, line FROM totals ASOF LEFT JOIN firsts ON total >= v),
+        above AS (SELECT o_orderkey, v AS v2, line AS line2 FROM totals ASOF LEFT JOIN firsts ON total <= v),
+        picked AS (
+            SELECT *, v2 IS NULL OR (v IS NOT NULL AND (total - v < v2 - total OR (total - v = v2 - total AND line <= line2))) AS low
+            FROM below JOIN above USING (o_orderkey))
+        SELECT o_orderkey, CASE WHEN low THEN line ELSE line2 END AS line, round(CASE WHEN low THEN v ELSE v2 END, 6) AS price
+        FROM picked""",
     "loglog_fit": """WITH fit AS (
             SELECT l_returnflag, l_linestatus, count(*) AS points,
                    regr_slope(log10(l_extendedprice), log10(l_quantity)) AS slope,
