@@ -16,14 +16,17 @@ from tokenloom.plans import sqlparts as S
 from tokenloom.plans.tables import char_tokens, documents
 from tokenloom.session import scratch_path
 from tokenloom.sources import metadata as meta
-from tokenloom.sources.documents import clean
-from tokenloom.sources.tokenbin import read_tokens, write_tokens
+from tokenloom.sources.documents import clean, write_corpus_text
+from tokenloom.sources.textrange import read_text_ranges
+from tokenloom.sources.tokenbin import read_tokens, read_windows, write_tokens
 
 BLOCK = 256
 BATCH = 4
 ACCUMULATION = 4
 RANKS = 2
 # Files of 128 MB of 16-bit ids.
+# Bytes of a range and of a piece of a text file.
+RANGE_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
 CHUNKS_PER_FILE = (128 << 20) // (2 * BLOCK)
 
 
@@ -48,9 +51,8 @@ def token_store(spark: SparkSession, sf: str) -> DataFrame:
     return summary(read_tokens(spark, path))
 
 
-def sequential_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """Both halves of the text as ids without end marks, in document order, as stored token files."""
-    docs = documents(spark, sf).withColumn("text", F.coalesce("text", F.lit("")))
+def sequential_store(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Both halves of a text as ids without end marks, in document order, as stored token files."""
     ids = collect_ids(char_vocab(docs))
     halves = sequential_split(docs)
     encoded = encode_documents(halves, char_ids(F.col("text"), ids), None)
@@ -63,6 +65,17 @@ def sequential_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return summary(read_tokens(spark, path))
 
 
+def sequential_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return sequential_store(spark, documents(spark, sf).withColumn("text", F.coalesce("text", F.lit(""))))
+
+
+def file_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus as text files, read back by byte ranges that cut documents anywhere, split and stored as tokens."""
+    folder = scratch_path(spark, "text")
+    write_corpus_text(documents(spark, sf).orderBy("doc_id"), folder)
+    return sequential_store(spark, read_text_ranges(spark, folder, RANGE_BYTES, PIECE_BYTES))
+
+
 def epoch_blocks(spark: SparkSession, sf: str) -> DataFrame:
     blocks = packing.epoch_blocks(chunks_of(spark, sf)[0], BLOCK)
     return blocks.select(
@@ -93,6 +106,28 @@ def window_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def window_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """Like `window_batches`, but the windows are read from the stored files by seeking."""
+    path = scratch_path(spark, "seek")
+    chunks, encoded = chunks_of(spark, sf, CHUNKS_PER_FILE)
+    write_tokens(chunks, path, BLOCK)
+    plan, tokens = epoch_plan(spark, encoded)
+    windows = packing.draw_offsets(plan, "train", tokens, BLOCK)
+    cut = read_windows(windows, path, BLOCK, "iter", "micro_step", "rank", "slot")
+    return cut.select(
+        "iter", "micro_step", "rank", "slot", "offset", digest(F.col("x")).alias("x_md5"), digest(F.col("y")).alias("y_md5")
+    )
+
+
+def stored_range(spark: SparkSession, sf: str) -> DataFrame:
+    """The second half of the stored training chunks: a filter that the source turns into byte ranges."""
+    path = scratch_path(spark, "range")
+    chunks, encoded = chunks_of(spark, sf, CHUNKS_PER_FILE)
+    write_tokens(chunks, path, BLOCK)
+    half = packing.stream_lengths(encoded)["train"] // BLOCK // 2
+    return summary(read_tokens(spark, path).where((F.col("split") == "train") & (F.col("chunk_id") >= half)))
+
+
 def synthetic_batch(spark: SparkSession, sf: str) -> DataFrame:
     tokens = packing.synthetic_tokens(documents(spark, sf).select("doc_id"), "doc_id", 16)
     return tokens.select("doc_id", joined(F.col("tokens")).alias("tokens"))
@@ -117,9 +152,12 @@ QUERIES = {
     "packed_chunks": packed_chunks,
     "token_store": token_store,
     "sequential_tokens": sequential_tokens,
+    "file_tokens": file_tokens,
     "epoch_blocks": epoch_blocks,
     "batch_plan": batch_plan,
     "window_batches": window_batches,
+    "window_reads": window_reads,
+    "stored_range": stored_range,
     "synthetic_batch": synthetic_batch,
     "metadata": metadata,
 }
@@ -141,33 +179,41 @@ PLAN = f"""total AS (SELECT count(*) AS n FROM stream WHERE split = 'train'),
                  % (n - {BLOCK}) AS "offset"
         FROM plan)"""
 
+SEQUENTIAL = f"""spots AS (
+        SELECT doc_id, unnest(string_split(t, '')) AS c, generate_subscripts(string_split(t, ''), 1) AS pos FROM raw WHERE t <> ''),
+    vocab AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS id FROM (SELECT DISTINCT c FROM spots)),
+    placed AS (SELECT id, row_number() OVER (ORDER BY doc_id, pos) - 1 AS n, (SELECT count(*) FROM spots) AS total
+               FROM spots JOIN vocab USING (c)),
+    stream AS (
+        SELECT CASE WHEN n < floor(0.9::DOUBLE * total) THEN 'train' ELSE 'val' END AS split, id,
+               n - CASE WHEN n < floor(0.9::DOUBLE * total) THEN 0 ELSE floor(0.9::DOUBLE * total)::BIGINT END AS g
+        FROM placed)
+    {CHUNKS}"""
+
+WINDOWS = f"""WITH {S.TOKEN_STREAM}, {PLAN},
+        cells AS (SELECT *, unnest(generate_series(0, {BLOCK})) AS j FROM windows)
+        SELECT iter, micro_step::INTEGER AS micro_step, rank::INTEGER AS rank, slot::INTEGER AS slot, "offset",
+               md5(string_agg(id::VARCHAR, ' ' ORDER BY j) FILTER (j < {BLOCK})) AS x_md5,
+               md5(string_agg(id::VARCHAR, ' ' ORDER BY j) FILTER (j > 0)) AS y_md5
+        FROM cells JOIN stream ON g = "offset" + j AND stream.split = 'train'
+        GROUP BY 1, 2, 3, 4, 5"""
+
 ORACLE = {
     "packed_chunks": f"WITH {S.TOKEN_STREAM} {CHUNKS}",
     "token_store": f"WITH {S.TOKEN_STREAM} {CHUNKS}",
-    "sequential_tokens": f"""WITH raw AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-        spots AS (SELECT doc_id, unnest(string_split(t, '')) AS c, generate_subscripts(string_split(t, ''), 1) AS pos
-                  FROM raw WHERE t <> ''),
-        vocab AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS id FROM (SELECT DISTINCT c FROM spots)),
-        placed AS (SELECT id, row_number() OVER (ORDER BY doc_id, pos) - 1 AS n, (SELECT count(*) FROM spots) AS total
-                   FROM spots JOIN vocab USING (c)),
-        stream AS (
-            SELECT CASE WHEN n < floor(0.9::DOUBLE * total) THEN 'train' ELSE 'val' END AS split, id,
-                   n - CASE WHEN n < floor(0.9::DOUBLE * total) THEN 0 ELSE floor(0.9::DOUBLE * total)::BIGINT END AS g
-            FROM placed)
-        {CHUNKS}""",
+    "sequential_tokens": f"""WITH raw AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {SEQUENTIAL}""",
+    "file_tokens": f"""WITH {S.CLEAN}, raw AS (SELECT doc_id, t || chr(10) AS t FROM clean WHERE t <> ''), {SEQUENTIAL}""",
+    "stored_range": f"""WITH {S.TOKEN_STREAM}, lens AS (SELECT count(*) AS n FROM stream WHERE split = 'train'),
+        chunks AS ({CHUNKS})
+        SELECT chunks.* FROM chunks, lens WHERE split = 'train' AND chunk_id >= n // {BLOCK} // 2""",
     "epoch_blocks": f"""WITH {S.TOKEN_STREAM}
         SELECT split, g // {BLOCK} AS chunk_id, arg_min(id, g)::INTEGER AS first_id, arg_max(id, g)::INTEGER AS last_id
         FROM stream GROUP BY split, g // {BLOCK} HAVING count(*) = {BLOCK}""",
     "batch_plan": f"""WITH {S.TOKEN_STREAM}, {PLAN}
         SELECT iter, micro_step::INTEGER AS micro_step, rank::INTEGER AS rank, slot::INTEGER AS slot,
                rank_seed::INTEGER AS rank_seed, 'train' AS split, "offset" FROM windows""",
-    "window_batches": f"""WITH {S.TOKEN_STREAM}, {PLAN},
-        cells AS (SELECT *, unnest(generate_series(0, {BLOCK})) AS j FROM windows)
-        SELECT iter, micro_step::INTEGER AS micro_step, rank::INTEGER AS rank, slot::INTEGER AS slot, "offset",
-               md5(string_agg(id::VARCHAR, ' ' ORDER BY j) FILTER (j < {BLOCK})) AS x_md5,
-               md5(string_agg(id::VARCHAR, ' ' ORDER BY j) FILTER (j > 0)) AS y_md5
-        FROM cells JOIN stream ON g = "offset" + j AND stream.split = 'train'
-        GROUP BY 1, 2, 3, 4, 5""",
+    "window_batches": WINDOWS,
+    "window_reads": WINDOWS,
     "synthetic_batch": """
         SELECT doc_id, array_to_string([('0x' || substr(md5('1337:' || doc_id || ':' || i), 1, 15))::BIGINT % 50304
                                         for i in range(16)], ' ') AS tokens

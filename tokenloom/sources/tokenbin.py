@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
@@ -15,13 +16,29 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+    WriterCommitMessage,
+)
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 SCHEMA = "split string, chunk_id long, tokens array<int>"
 MANIFEST = "manifest.json"
 # Chunks per input partition, and chunks per Arrow batch of a reader.
 PARTITION_BYTES = 128 << 20
 BATCH_CHUNKS = 256
+# Windows that a task reads.
+WINDOWS_PER_PART = 4096
 
 
 @dataclass
@@ -105,22 +122,48 @@ class TokenWriter(DataSourceArrowWriter):
                 fs.delete_file(f"{folder}/{shard.file}")
 
 
+def read_manifest(path: str) -> tuple[int, list[Shard]]:
+    """Tokens of a chunk, and the files in order of split and chunk."""
+    fs, folder = open_folder(path)
+    with fs.open_input_stream(f"{folder}/{MANIFEST}") as source:
+        manifest = json.loads(source.read())
+    return manifest["block"], [Shard(**s) for s in manifest["shards"]]
+
+
 class TokenReader(DataSourceReader):
+    """Reads whole chunks; filters on `split` and `chunk_id` choose files and byte ranges before anything is read."""
+
     def __init__(self, path: str, split: str | None):
         self.path = path
-        fs, folder = open_folder(path)
-        with fs.open_input_stream(f"{folder}/{MANIFEST}") as source:
-            manifest = json.loads(source.read())
-        self.block = manifest["block"]
-        self.shards = [Shard(**s) for s in manifest["shards"] if split in (None, s["split"])]
+        self.block, shards = read_manifest(path)
+        self.shards = [s for s in shards if split in (None, s.split)]
+        # Chunks from `first` up to but not including `last` are wanted.
+        self.first, self.last = 0, 1 << 62
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            column = getattr(f, "attribute", ())
+            value = getattr(f, "value", None)
+            if column == ("split",) and isinstance(f, (EqualTo, In)):
+                names = {value} if isinstance(f, EqualTo) else set(value)
+                self.shards = [s for s in self.shards if s.split in names]
+            elif column == ("chunk_id",) and isinstance(f, EqualTo):
+                self.first, self.last = max(self.first, value), min(self.last, value + 1)
+            elif column == ("chunk_id",) and isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+                self.first = max(self.first, value + isinstance(f, GreaterThan))
+            elif column == ("chunk_id",) and isinstance(f, (LessThan, LessThanOrEqual)):
+                self.last = min(self.last, value + isinstance(f, LessThanOrEqual))
+            else:
+                yield f
 
     def partitions(self) -> list[ByteRange]:
         step = max(1, PARTITION_BYTES // (2 * self.block)) * self.block
-        return [
-            ByteRange(shard, start, min(step, shard.tokens - start))
-            for shard in self.shards
-            for start in range(0, shard.tokens, step)
-        ]
+        ranges = []
+        for shard in self.shards:
+            low = max(self.first - shard.first_chunk, 0) * self.block
+            high = min(shard.tokens, (self.last - shard.first_chunk) * self.block)
+            ranges += [ByteRange(shard, start, min(step, high - start)) for start in range(low, high, step)]
+        return ranges
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         fs, folder = open_folder(self.path)
@@ -186,6 +229,73 @@ def write_tokens(chunks: DataFrame, path: str, block: int, files: int | None = N
 
 
 def read_tokens(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    """Chunks of a dataset. Lets this session's Python sources see filters, as those on `split` and `chunk_id` save reading."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TokenBin)
     reader = spark.read.format("tokenbin")
     return (reader.option("split", split) if split else reader).load(shared_path(spark, path))
+
+
+@dataclass(frozen=True)
+class Place:
+    """Files of a split by their first token."""
+
+    starts: list[int]
+    shards: list[Shard]
+    block: int
+
+    def pieces(self, offset: int, count: int) -> Iterator[tuple[Shard, int, int]]:
+        """(file, first token in it, tokens) of a run of tokens, which may go on in the files after the first."""
+        at = bisect_right(self.starts, offset) - 1
+        while count:
+            if not 0 <= at < len(self.shards) or not 0 <= offset - self.starts[at] < self.shards[at].tokens:
+                raise ValueError("a window ends beyond the stored tokens")
+            inside = offset - self.starts[at]
+            taken = min(count, self.shards[at].tokens - inside)
+            yield self.shards[at], inside, taken
+            offset, count, at = offset + taken, count - taken, at + 1
+
+
+def read_windows(windows: DataFrame, path: str, block: int, *keys: str, parts: int | None = None) -> DataFrame:
+    """`x` and `y` (`x` moved on by one) of every planned window, read from the files by seeking.
+
+    `windows` has `keys`, `split` and `offset`. They are range-partitioned by place, so that a task reads near
+    bytes of few files, in order, and nothing but the windows' own: no chunk is joined or read in full.
+    """
+    spark = windows.sparkSession
+    shared_path(spark, path)
+    stored, shards = read_manifest(path)
+    # One entry per file of the dataset.
+    places = {}
+    for split in {s.split for s in shards}:
+        own = [s for s in shards if s.split == split]
+        places[split] = Place([s.first_chunk * stored for s in own], own, stored)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = open_folder(path)
+        name, source = None, None
+        for batch in batches:
+            splits, offsets = batch.column("split").to_pylist(), batch.column("offset").to_pylist()
+            rows = np.empty((batch.num_rows, block + 1), "<u2")
+            for row in sorted(range(batch.num_rows), key=lambda i: (splits[i], offsets[i])):
+                if splits[row] not in places:
+                    raise ValueError(f"no split {splits[row]}")
+                filled = 0
+                for shard, first, count in places[splits[row]].pieces(offsets[row], block + 1):
+                    if shard.file != name:
+                        if source:
+                            source.close()
+                        name, source = shard.file, fs.open_input_file(f"{folder}/{shard.file}")
+                    rows[row, filled : filled + count] = np.frombuffer(source.read_at(2 * count, 2 * first), "<u2")
+                    filled += count
+            ends = pa.array(np.arange(0, (batch.num_rows + 1) * block, block, dtype=np.int32))
+            sides = [pa.ListArray.from_arrays(ends, pa.array(rows[:, i : i + block].astype(np.int32).ravel())) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sides], [*batch.schema.names, "x", "y"])
+        if source:
+            source.close()
+
+    planned = windows.select(*keys, "split", "offset")
+    parts = parts or max(1, -(-planned.count() // WINDOWS_PER_PART))
+    placed = planned.repartitionByRange(parts, "split", "offset").sortWithinPartitions("split", "offset")
+    schema = StructType([*planned.schema.fields, *[StructField(n, ArrayType(IntegerType())) for n in "xy"]])
+    return placed.mapInArrow(read, schema)
