@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
-from tokenloom.functions.lookup import at_code_point, code_point_table, constant_array
+from tokenloom.functions.codepoints import encoded_slices, id_lists, spread, table_of
+from tokenloom.functions.lookup import constant_array
 from tokenloom.operators.vocab import BYTE_BASE, EOS_ID, UNK_ID, Subwords
 
 # Fixed value: the literal that a prompt may hold for the end-of-text id.
@@ -21,47 +22,75 @@ END_OF_TEXT = "<|endoftext|>"
 
 def char_ids(text: Column, ids: dict[str, int], on_unknown: str = "error") -> Column:
     """Ids of the characters of a text. Unknown ones raise, or become the unknown id with `on_unknown="unk"`."""
-    table = code_point_table(ids)
-    found = F.transform(T.characters(text), lambda c: at_code_point(table, c))
-    if on_unknown == "unk":
-        return F.transform(found, lambda i: F.when(i < 0, F.lit(UNK_ID)).otherwise(i))
-    return F.transform(
-        found,
-        lambda i: F.when(i < 0, F.raise_error(F.lit("character outside the vocabulary")).cast("int")).otherwise(i),
-    )
 
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = table_of(ids)
+
+        def look_up(points: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+            found = table[points]
+            if found.size and found.min() < 0:
+                if on_unknown != "unk":
+                    raise ValueError("character outside the vocabulary")
+                found = np.where(found < 0, UNK_ID, found)
+            return id_lists(found, sizes)
 
-def char_ids_with_special(text: Column, ids: dict[str, int], special_id: int) -> Column:
-    """Like `char_ids`, but the end-of-text literal becomes `special_id`."""
-    parts = F.split(text, r"<\|endoftext\|>")
-    mark = F.array(F.lit(special_id).cast("int"))
-    table = code_point_table(ids)
+        for texts in batches:
+            yield encoded_slices(texts, look_up)
 
-    def encoded(part: Column, i: Column) -> Column:
-        body = F.transform(T.characters(part), lambda c: at_code_point(table, c))
-        return F.when(i == 0, body).otherwise(F.concat(mark, body))
+    return encode(text)
 
-    return F.flatten(F.transform(parts, encoded))
 
+def literal_pattern(specials: Iterable[str]) -> str:
+    """Pattern of the literals, longest first, so that the leftmost, longest one is found."""
+    escaped = ["".join(c if c.isalnum() else f"\\{c}" for c in s) for s in sorted(specials, key=len, reverse=True)]
+    return "|".join(escaped)
 
-def bytes_of(character: Column) -> Column:
-    """UTF-8 bytes of one character as byte-piece ids."""
-    digits = F.hex(F.encode(character, "UTF-8"))
-    return F.transform(
-        F.sequence(F.lit(0), F.octet_length(character) - 1),
-        lambda i: F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + BYTE_BASE,
-    )
+
+def char_ids_with_special(text: Column, ids: dict[str, int], special_id: int) -> Column:
+    """Like `char_ids`, but the end-of-text literal becomes `special_id`; other unknown characters become -1."""
+
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = table_of(ids)
+        # A code point that no text holds stands for the literal.
+        mark = "\U0010ffff"
+        table[ord(mark)] = special_id
+        for texts in batches:
+            marked = pc.replace_substring(texts, END_OF_TEXT, mark)
+            yield encoded_slices(marked, lambda points, sizes: id_lists(table[points], sizes))
+
+    return encode(text)
 
 
 def char_ids_or_bytes(text: Column, ids: dict[str, int]) -> Column:
     """Ids of the characters of a text; a character outside the alphabet gives the ids of its bytes."""
-    table = code_point_table(ids)
-
-    def encoded(c: Column) -> Column:
-        found = at_code_point(table, c)
-        return F.when(found >= 0, F.array(found)).otherwise(bytes_of(c))
 
-    return F.flatten(F.transform(T.characters(text), encoded))
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = table_of(ids)
+
+        def look_up(points: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+            found = table[points]
+            outside = np.flatnonzero(found < 0)
+            # Ids of every distinct outside character, one after the other.
+            strange, which = np.unique(points[outside], return_inverse=True)
+            spelled = [[BYTE_BASE + b for b in chr(p).encode()] for p in strange]
+            lengths = np.ones(len(points), np.int64)
+            widths = np.array([len(s) for s in spelled], np.int64)
+            lengths[outside] = widths[which]
+            out = np.repeat(found, lengths)
+            flat = np.array([b for s in spelled for b in s], np.int32)
+            firsts = np.cumsum(widths) - widths
+            starts = np.cumsum(lengths) - lengths
+            out[spread(starts[outside], widths[which])] = flat[spread(firsts[which], widths[which])]
+            ends = np.append(0, np.cumsum(lengths))[np.cumsum(sizes)]
+            return id_lists(out, np.diff(ends, prepend=0))
+
+        for texts in batches:
+            yield encoded_slices(texts, look_up)
+
+    return encode(text)
 
 
 def encode_documents(docs: DataFrame, ids: Column, eos_id: int | None, keep_empty: bool = False) -> DataFrame:
@@ -120,7 +149,20 @@ def merge_unit(unit: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return [p for p in parts if p is not None]
 
 
-def subword_encoder(model: Subwords):
+# Opens the unit of a special literal. It is white space, so that no unit of a text holds it.
+SPECIAL_MARK = "\x1d"
+
+
+def units_with_specials(text: Column, specials: Iterable[str]) -> Column:
+    """Units of a text whose special literals, the leftmost and longest first, are units of their own."""
+    pattern = literal_pattern(specials)
+    parts = F.transform(F.split(text, pattern), T.units)
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda s: F.concat(F.lit(SPECIAL_MARK), s))
+    turns = F.zip_with(parts, F.array_append(found, F.lit("")), lambda part, special: F.concat_ws(" ", part, special))
+    return F.trim(F.regexp_replace(F.array_join(turns, " "), " +", " "))
+
+
+def subword_encoder(model: Subwords, specials: Mapping[str, int]):
     """Arrow function from space-separated units to ids.
 
     Units are cut and normalized in the JVM. A batch is dictionary-encoded as a whole: Python sees
@@ -130,6 +172,8 @@ def subword_encoder(model: Subwords):
     ids = model.piece_ids()
 
     def unit_ids(unit: str) -> np.ndarray:
+        if unit[:1] == SPECIAL_MARK:
+            return np.array([specials[unit[1:]]], np.int32)
         out: list[int] = []
         for piece in merge_unit(unit, ranks):
             if piece in ids:
@@ -169,14 +213,21 @@ def subword_encoder(model: Subwords):
 UNIT_CACHE = 500_000
 
 
-def encode_subwords(docs: DataFrame, model: Subwords, eos_id: int | None = EOS_ID, compose: bool = False) -> DataFrame:
+def encode_subwords(
+    docs: DataFrame,
+    model: Subwords,
+    eos_id: int | None = EOS_ID,
+    compose: bool = False,
+    specials: Mapping[str, int] | None = None,
+) -> DataFrame:
     """Documents of subword ids: strip, encode, close with the end-of-text id unless that is None.
 
-    `compose` folds compatible characters first (NFKC).
+    `compose` folds compatible characters first (NFKC). Literals of `specials` become their ids; without, they are
+    ordinary text.
     """
     body = nfkc(F.coalesce("text", F.lit(""))) if compose else F.col("text")
-    cut = docs.withColumn("text", T.units(body))
-    encode = subword_encoder(model)
+    cut = docs.withColumn("text", units_with_specials(F.coalesce(body, F.lit("")), specials) if specials else T.units(body))
+    encode = subword_encoder(model, dict(specials or {}))
     kept = [c for c in docs.columns if c != "text"]
     encoded = cut.select(*kept, encode(F.col("text")).alias("ids"))
     closed = F.col("ids")
@@ -185,26 +236,39 @@ def encode_subwords(docs: DataFrame, model: Subwords, eos_id: int | None = EOS_I
     return encoded.withColumn("ids", closed).withColumn("len", F.size("ids"))
 
 
-def piece_bytes(model: Subwords) -> Column:
-    """Array from id to the bytes it stands for, in hexadecimal; specials stand for none."""
-    specials = ["" for _ in range(BYTE_BASE)]
-    singles = [f"{b:02X}" for b in range(256)]
-    learned = [p.encode().hex().upper() for p in model.learned_pieces()]
-    return constant_array(specials + singles + learned, "string")
+def piece_bytes(model: Subwords) -> list[bytes]:
+    """The bytes that every id stands for; specials stand for none."""
+    return [b""] * BYTE_BASE + [bytes([b]) for b in range(256)] + [p.encode() for p in model.learned_pieces()]
+
 
+def decode_ids(ids: Column, bytes_by_id: list[bytes]) -> Column:
+    """Text of ids through the bytes of their pieces; runs of byte pieces join into characters, unknown ids are empty."""
+
+    @F.arrow_udf("binary")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # The last entry is that of all ids outside the table.
+        blob = np.frombuffer(b"".join(bytes_by_id), np.uint8)
+        lengths = np.array([*map(len, bytes_by_id), 0], np.int64)
+        firsts = np.cumsum(lengths) - lengths
+        for batch in batches:
+            sizes = batch.value_lengths().fill_null(0).to_numpy()
+            flat = batch.flatten().fill_null(-1).to_numpy()
+            flat = np.where((flat < 0) | (flat >= len(bytes_by_id)), len(bytes_by_id), flat)
+            widths = lengths[flat]
+            data = blob[spread(firsts[flat], widths)]
+            ends = np.append(0, np.cumsum(widths))[np.append(0, np.cumsum(sizes))]
+            buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+            yield pa.Array.from_buffers(pa.large_binary(), len(sizes), buffers).cast(pa.binary())
 
-def decode_ids(ids: Column, bytes_by_id: Column) -> Column:
-    """Text of ids through the bytes of their pieces; runs of byte pieces join into characters."""
-    digits = F.array_join(F.transform(ids, lambda i: F.coalesce(F.get(bytes_by_id, i), F.lit(""))), "")
-    return F.make_valid_utf8(F.unhex(digits).cast("string"))
+    return F.make_valid_utf8(decode(ids).cast("string"))
 
 
 def decode_chars(ids: Column, vocab: dict[str, int]) -> Column:
     """Text of character ids; ids outside the vocabulary are empty."""
-    by_id = [""] * (max(vocab.values(), default=-1) + 1)
+    by_id = [b""] * (max(vocab.values(), default=-1) + 1)
     for character, token_id in vocab.items():
-        by_id[token_id] = character.encode().hex().upper()
-    return decode_ids(ids, constant_array(by_id, "string"))
+        by_id[token_id] = character.encode()
+    return decode_ids(ids, by_id)
 
 
 def decode_subwords(ids: Column, model: Subwords) -> Column:

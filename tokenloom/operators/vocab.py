@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenloom.functions import text as T
+from tokenloom.functions.codepoints import CODE_POINTS, code_points, text_slices
 from tokenloom.functions.lookup import ID_LIMIT
 from tokenloom.operators.splits import bounded_sample
 from tokenloom.sources.documents import sentences
@@ -23,13 +28,28 @@ SAMPLE_SEED = 2357
 SENTENCE_LIMIT = 10_000_000
 
 
+def _char_histogram(docs: DataFrame) -> DataFrame:
+    """`(char, cnt)` of every task: a batch is counted by code point, and a task returns its alphabet once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CODE_POINTS, np.int64)
+        for batch in batches:
+            for texts in text_slices(batch.column(0)):
+                found = np.bincount(code_points(texts)[0])
+                counts[: len(found)] += found
+        points = np.flatnonzero(counts)
+        columns = [pa.array([chr(p) for p in points], pa.string()), pa.array(counts[points])]
+        yield pa.RecordBatch.from_arrays(columns, ["char", "cnt"])
+
+    return docs.select("text").mapInArrow(count, "char string, cnt long")
+
+
 def char_vocab(docs: DataFrame) -> DataFrame:
     """Distinct characters with dense ids in code point order.
 
-    Each document sends a character once, so the shuffle carries alphabets, not text. The
-    numbering window holds at most the alphabet.
+    The shuffle carries the alphabets of tasks, and the numbering window holds at most the alphabet.
     """
-    distinct = docs.select(F.explode(F.array_distinct(T.characters(F.col("text")))).alias("token")).distinct()
+    distinct = _char_histogram(docs).select(F.col("char").alias("token")).distinct()
     return distinct.select("token", (F.row_number().over(Window.orderBy("token")) - 1).cast("int").alias("id"))
 
 
@@ -43,8 +63,7 @@ def collect_ids(vocab: DataFrame, token: str = "token") -> dict[str, int]:
 
 def char_counts(docs: DataFrame) -> DataFrame:
     """Occurrences of each character."""
-    chars = docs.select(F.explode(T.characters(F.col("text"))).alias("char"))
-    return chars.groupBy("char").agg(F.count(F.lit(1)).alias("cnt"))
+    return _char_histogram(docs).groupBy("char").agg(F.sum("cnt").alias("cnt"))
 
 
 def char_coverage(counts: DataFrame, coverage: float = 0.9999) -> DataFrame:
@@ -61,10 +80,31 @@ def char_coverage(counts: DataFrame, coverage: float = 0.9999) -> DataFrame:
 
 
 def word_counts(docs: DataFrame, limit: int = SENTENCE_LIMIT, max_bytes: int = 16384) -> DataFrame:
-    """Distinct units of the sampled sentences with their counts."""
+    """Distinct units of the sampled sentences with their counts; a task adds up its own words first."""
     sample = bounded_sample(sentences(docs, max_bytes), limit, SAMPLE_SEED, "doc_id", "line_no")
-    words = sample.select(F.explode(F.split(T.units(F.col("line")), " ")).alias("word"))
-    return words.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        for batch in batches:
+            found = pc.value_counts(pc.split_pattern(batch.column(0), " ").flatten())
+            for word, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+                counts[word] = counts.get(word, 0) + n
+            if len(counts) > WORDS_HELD:
+                yield _word_batch(counts)
+                counts = {}
+        yield _word_batch(counts)
+
+    partial = sample.select(T.units(F.col("line")).alias("units")).mapInArrow(count, "word string, cnt long")
+    return partial.where(F.col("word") != "").groupBy("word").agg(F.sum("cnt").alias("cnt"))
+
+
+# Distinct words that a task adds up before it hands them on.
+WORDS_HELD = 500_000
+
+
+def _word_batch(counts: dict[str, int]) -> pa.RecordBatch:
+    columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["word", "cnt"])
 
 
 @dataclass(frozen=True)
