@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import text as T
 from tokenloom.functions.codepoints import encoded_slices, id_lists, spread, table_of
 from tokenloom.functions.lookup import constant_array
+from tokenloom.functions.normalize import nfkc
 from tokenloom.operators.vocab import BYTE_BASE, EOS_ID, UNK_ID, Subwords
 
 # Fixed value: the literal that a prompt may hold for the end-of-text id.
@@ -106,16 +107,6 @@ def encode_documents(docs: DataFrame, ids: Column, eos_id: int | None, keep_empt
     return docs.select(*kept, closed.alias("ids")).withColumn("len", F.size("ids"))
 
 
-def nfkc(text: Column) -> Column:
-    """Compatibility composition of a text, which Spark has no function for."""
-
-    @F.arrow_udf("string")
-    def compose(texts: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(texts, "NFKC")
-
-    return compose(text)
-
-
 def merge_unit(unit: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     """Symbols of a unit after all merges: the lowest rank first, its places from left to right.
 

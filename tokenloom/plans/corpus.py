@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenloom.functions import text as T
 from tokenloom.functions.arrays import digest, joined
+from tokenloom.functions.normalize import compose_with_places
 from tokenloom.operators import packing, profile, splits, vocab
 from tokenloom.operators.encode import (
     END_OF_TEXT,
@@ -23,6 +26,10 @@ from tokenloom.plans.tables import VAL_FRACTION, char_tokens, documents, documen
 from tokenloom.session import scratch_path
 from tokenloom.sources.documents import clean, read_corpus_lines, sentences, write_corpus_text
 
+# Characters that `composed_text` takes apart, and what it puts for `fi` and the digits.
+ACCENTED = list("áéíóúàèìòùâêîôûäëïöüñç")
+LIGATURE = "ﬁ"
+WIDE_DIGITS = "０１２３４５６７８９"
 SAMPLE_SIZE = 2000
 SHARDS = 64
 
@@ -148,6 +155,23 @@ def char_pieces(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def composed_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents spelled with accents apart, ligatures and wide digits, composed again, with the places they come from."""
+    spelled = F.coalesce("text", F.lit(""))
+    for character in ACCENTED:
+        spelled = F.replace(spelled, F.lit(character), F.lit(unicodedata.normalize("NFD", character)))
+    spelled = F.translate(F.replace(spelled, F.lit("fi"), F.lit(LIGATURE)), "0123456789", WIDE_DIGITS)
+    docs = documents(spark, sf).select("doc_id", spelled.alias("source"))
+    made = docs.select("doc_id", "source", compose_with_places(F.col("source")).alias("c"))
+    return made.select(
+        "doc_id",
+        F.char_length("source").alias("n_source"),
+        F.char_length("c.text").alias("n_chars"),
+        F.md5("c.text").alias("text_md5"),
+        F.aggregate("c.starts", F.lit(0).cast("long"), lambda total, s: total + s).alias("place_sum"),
+    )
+
+
 def split_token_stats(spark: SparkSession, sf: str) -> DataFrame:
     encoded, _, _ = char_tokens(spark, sf)
     stats = profile.split_token_stats(encoded)
@@ -187,6 +211,7 @@ QUERIES = {
     "byte_fallback": byte_fallback,
     "char_decode": char_decode,
     "char_pieces": char_pieces,
+    "composed_text": composed_text,
     "split_token_stats": split_token_stats,
     "stream_offsets": stream_offsets,
 }
@@ -287,6 +312,16 @@ ORACLE = {
         SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY pos) FILTER (pos <= 20) AS first_ids,
                string_agg(c, '|' ORDER BY pos) FILTER (pos <= 15) AS first_pieces
         FROM chars JOIN vocab USING (c) GROUP BY doc_id""",
+    "composed_text": f"""WITH tokens AS (
+            SELECT doc_id, t, n, length(t) AS made,
+                   CASE WHEN t = 'fi' THEN 1 WHEN list_contains({ACCENTED}, t) THEN 2 ELSE 1 END AS taken
+            FROM (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS n
+                  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '(?s:fi|.)') AS w FROM documents))),
+        placed AS (SELECT *, sum(taken) OVER (PARTITION BY doc_id ORDER BY n) - taken AS start FROM tokens),
+        sums AS (SELECT doc_id, sum(taken) AS n_source, sum(start * made) AS place_sum FROM placed GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_source, 0)::INTEGER AS n_source, length(coalesce(text, ''))::INTEGER AS n_chars,
+               md5(coalesce(text, '')) AS text_md5, coalesce(place_sum, 0)::BIGINT AS place_sum
+        FROM documents LEFT JOIN sums USING (doc_id)""",
     "split_token_stats": f"""WITH {S.CLEAN}, {S.SPLITS}, lens AS (
             SELECT split, CASE WHEN t = '' THEN 0 ELSE length(t) + 1 END AS n FROM clean JOIN splits USING (doc_id))
         SELECT split, count(*) AS num_rows, sum(n)::BIGINT AS total_tokens, round(avg(n), 6) AS avg_tokens,

@@ -19,6 +19,7 @@ from tokenloom.plans import subwords
 from tokenloom.plans.tables import VAL_FRACTION, documents_with, table
 from tokenloom.session import cut_lineage
 from tokenloom.sources.documents import clean
+from tokenloom.sources.prompts import encode_subword_prompts
 
 BLOCK = 64
 CONTEXT = 64
@@ -28,8 +29,6 @@ TOP_K = 10
 TEMPERATURE = 0.8
 SAMPLES = 2
 STEPS = 12
-# Ids of a document that make a prompt.
-PROMPT = 8
 
 
 @dataclass(frozen=True)
@@ -55,11 +54,12 @@ def corpus(spark: SparkSession, sf: str) -> Corpus:
 
 
 def subword_corpus(spark: SparkSession, sf: str) -> Corpus:
-    """Documents of subword ids; a prompt is the beginning of a document."""
+    """Documents and conversation turns of subword ids; end-of-text literals in a turn are ids."""
     model = subwords.trained(spark, sf)
     docs = random_split(documents_with(spark, sf, "lang"), VAL_FRACTION)
     encoded = cut_lineage(encode_subwords(docs, model))
-    prompts = encoded.select("doc_id", F.slice("ids", 1, PROMPT).alias("ids"))
+    turns = table(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("prompt_id"), "text")
+    prompts = encode_subword_prompts(turns, model)
     return Corpus(encoded, prompts, {}, EOS_ID, model.size)
 
 
@@ -107,9 +107,9 @@ def bpe_generate(spark: SparkSession, sf: str) -> DataFrame:
     data = subword_corpus(spark, sf)
     sampler = sampling.build_sampler(probabilities(train_model(data)))
     prompts = sampling.fan_out(data.prompts, SAMPLES, data.eos)
-    out = sampling.generate(prompts, sampler, "doc_id", STEPS, CONTEXT)
+    out = sampling.generate(prompts, sampler, "prompt_id", STEPS, CONTEXT)
     kept = F.size(truncate_at(F.col("generated"), data.eos))
-    return out.select("doc_id", "sample", joined(F.col("generated")).alias("generated"), kept.alias("kept"))
+    return out.select("prompt_id", "sample", joined(F.col("generated")).alias("generated"), kept.alias("kept"))
 
 
 def probabilities(model: ngram.NgramModel) -> DataFrame:

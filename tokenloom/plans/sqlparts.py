@@ -40,10 +40,14 @@ LINES = f"""lines AS (
     WHERE line <> '' AND strlen(line) <= 16384)"""
 
 
+def folded(text: str) -> str:
+    """A text expression with runs of white space as one space, none at the ends."""
+    return f"trim(regexp_replace({text}, '{BLANK_CLASS}', ' ', 'g'))"
+
+
 def units_of(text: str) -> str:
     """Space-separated units of a text expression."""
-    folded = f"trim(regexp_replace({text}, '{BLANK_CLASS}', ' ', 'g'))"
-    marked = f"chr(9601) || replace({folded}, ' ', ' ' || chr(9601))"
+    marked = f"chr(9601) || replace({folded(text)}, ' ', ' ' || chr(9601))"
     return f"trim(regexp_replace(regexp_replace({marked}, '([0-9])', ' \\1 ', 'g'), ' +', ' ', 'g'))"
 
 

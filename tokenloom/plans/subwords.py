@@ -9,10 +9,11 @@ from tokenloom.functions import text as T
 from tokenloom.functions.arrays import digest, joined
 from tokenloom.operators import bpe, encode, packing, profile, splits, vocab
 from tokenloom.plans import sqlparts as S
-from tokenloom.plans.tables import VAL_FRACTION, documents, documents_with
+from tokenloom.plans.tables import VAL_FRACTION, documents, documents_with, table
 from tokenloom.plans.tokens import BLOCK, summary
 from tokenloom.session import cut_lineage, scratch_path
 from tokenloom.sources import metadata as meta
+from tokenloom.sources.prompts import encode_subword_prompts
 
 # Pieces of the reference's tokenizer, and the most merges that a vocabulary of that size has room for.
 VOCAB_SIZE = 16_000
@@ -97,6 +98,27 @@ def bpe_packed(spark: SparkSession, sf: str) -> DataFrame:
     return summary(packing.pack_chunks(packing.stream_offsets(encoded), BLOCK))
 
 
+def special_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation turns between special literals, encoded with the literals on and off, and decoded again."""
+    model = trained(spark, sf)
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("said"))
+    prompts = turns.withColumn("text", F.concat(F.lit("<s>"), "role", F.lit("</s>"), "said", F.lit(encode.END_OF_TEXT)))
+    on = encode_subword_prompts(prompts.withColumn("raw", F.col("text")), model)
+    both = encode_subword_prompts(on.withColumnsRenamed({"ids": "on", "raw": "text"}), model, None)
+
+    def specials(ids: str):
+        return F.size(F.filter(ids, lambda i: i.isin(vocab.BOS_ID, vocab.EOS_ID)))
+
+    return both.select(
+        "conv_id",
+        "turn",
+        specials("on").alias("specials_on"),
+        specials("ids").alias("specials_off"),
+        F.md5(encode.decode_subwords(F.col("on"), model)).alias("on_md5"),
+        F.md5(encode.decode_subwords(F.col("ids"), model)).alias("off_md5"),
+    )
+
+
 QUERIES = {
     "first_bpe_merge": first_bpe_merge,
     "bpe_merges": bpe_merges,
@@ -107,6 +129,7 @@ QUERIES = {
     "roundtrip_check": roundtrip_check,
     "bpe_pieces": bpe_pieces,
     "bpe_packed": bpe_packed,
+    "special_prompts": special_prompts,
 }
 
 PAIRS = """SELECT l, r, sum(cnt)::BIGINT AS c
@@ -134,6 +157,10 @@ ORACLE = {
         SELECT unnest([0, 1, 2, 3]) AS id, unnest(['<pad>', '<unk>', '<s>', '</s>']) AS piece, 'special' AS kind
         UNION ALL SELECT (4 + i)::INTEGER, '<0x' || upper(printf('%02x', i)) || '>', 'byte' FROM range(256) t(i)
         UNION ALL SELECT (259 + r)::INTEGER, c, 'char' FROM ranked WHERE kept""",
+    "special_prompts": f"""SELECT conv_id, turn, 3 AS specials_on, 0 AS specials_off,
+               md5({S.folded("role || ' ' || coalesce(text, '')")}) AS on_md5,
+               md5({S.folded(f"'<s>' || role || '</s>' || coalesce(text, '') || '{encode.END_OF_TEXT}'")}) AS off_md5
+        FROM conversations""",
     "roundtrip_check": f"""WITH {S.CLEAN}
         SELECT doc_id, md5(trim(regexp_replace(t, '{S.BLANK_CLASS}', ' ', 'g'))) AS text_md5, true AS ok FROM clean""",
 }

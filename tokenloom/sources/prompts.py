@@ -7,10 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.operators.encode import char_ids_with_special
+from tokenloom.operators.encode import END_OF_TEXT, char_ids_with_special, encode_subwords
+from tokenloom.operators.vocab import BOS_ID, EOS_ID, Subwords
 
 # Fixed value: what an empty prompt starts from.
 DEFAULT_PROMPT = "\n"
+# Literals that a subword prompt may hold, and their ids.
+SUBWORD_SPECIALS = {END_OF_TEXT: EOS_ID, "<s>": BOS_ID, "</s>": EOS_ID}
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
@@ -24,3 +27,11 @@ def encode_prompts(prompts: DataFrame, vocab: Mapping[str, int], eos: int) -> Da
     """`ids` of every prompt; none is closed, and an end-of-text literal becomes `eos`."""
     text = F.coalesce(F.nullif(F.col("text"), F.lit("")), F.lit(DEFAULT_PROMPT))
     return prompts.withColumn("ids", char_ids_with_special(text, dict(vocab), eos)).drop("text")
+
+
+def encode_subword_prompts(prompts: DataFrame, model: Subwords, specials: Mapping[str, int] | None = SUBWORD_SPECIALS) -> DataFrame:
+    """`ids` of every prompt; none is closed. Literals of `specials` become their ids, or ordinary text without them.
+
+    White space alone has no subwords: such a prompt is empty, and starts from the begin id when it is fanned out.
+    """
+    return encode_subwords(prompts, model, None, specials=specials).drop("len")
