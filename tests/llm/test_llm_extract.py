@@ -29,6 +29,20 @@ def test_articles_of_the_pages_are_whole():
         ("<article>a<script>if(a<b){'</p>'}</script><style>p{}</style><!-- c --><noscript>n</noscript>b</article>", "ab"),
         ("<article><header><h1>T</h1></header><p>b<footer>f</footer></article><header>h</header>", "T b"),
         ("<article>" + "<p>p</p>" * 300, " ".join(["p"] * 300)),
+        ("<html><head><title>t</title><article><p>Body text</p></article>", "Body text"),
+        ("<html><head><meta charset=x><style>p{}</style><h1>Head</h1><article><p>Body", "Body"),
+        ("<article><p>One</p><button>b<p>Two</p></article>", "One Two"),
+        ("<article><p>One<button>b</button> more</p><select><option>x<div>Two</div></article>", "One more Two"),
+        ("<article><svg><text>x</text><p>One</p></article><p>y", "One"),
+        ("<article><iframe>x<p>y</article><p>z", ""),
+        ("<div><noscript><p>x</p></div><article>One</article>", "One"),
+        ("<article><p class='alert'>unclosed<p>Second</p><p>Third</p></article>", "unclosed Second Third"),
+        ("<article><p class='form-note'>real</p><p id='search-engines'>a<h2 id='menu-of-the-day'>b</h2></article>", "real a b"),
+        ("<article><section id='related-work'>w</section><div class='box ad'>x</div><ul class='user-comments'><li>c</ul>t</article>", "w t"),
+        ("<article><p><a href=x>A paragraph that is one link</a></p><h2><a href=y>Head</a></h2></article>", "A paragraph that is one link Head"),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p></article>", "Let x=2 be"),
+        ("<article><ul><li class=share>a<li>b<ul><li>c</ul><li>d</ul></article>", "a b c d"),
+        ("<body><ul><li class=share>a<li>b</ul><table><tr><td class=ad>c<td>d<tr><td>e</table>", ""),
         ("<article><div id='cookie-notice'>c</div><ul><li><a href=x>menu</a></li></ul>t</article>", "t"),
     ],
 )

@@ -7,6 +7,10 @@ neighbours. The good blocks, joined by one space, are the text.
 
 * Containers: text in menus, footers, sidebars, forms, notices, adverts and comments is bad, text in scripts, styles and
   other non-text elements is skipped. A page that marks its article has its text there; its other blocks are bad.
+  Inside an article only containers are judged by their names, and by what a name says last: a `user-comments` list goes, a
+  `related-work` section and a paragraph of any class stay. A paragraph or heading that is one link stays, such a list item goes.
+* End tags may be missing: the head ends at the first tag of the body, paragraphs, list items, cells and rows end where the
+  next one begins, buttons and the like at the next block, and an element ends whatever was left open inside it.
 * Character references are decoded once; white space in a block becomes one space.
 * Null and empty pages, and pages without a good block, give the empty text. Broken markup is read as far as it goes.
 * Pages are read one by one: repeated rows, repeated or null ids and other columns make no difference. An empty table
@@ -29,7 +33,24 @@ BLOCK_TAGS = set(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre section summary table "
     "tbody td tfoot th thead tr ul".split()
 )
-SKIPPED_TAGS = set("script style head title noscript template iframe object embed svg math canvas audio video select textarea button".split())
+SKIPPED_TAGS = set("script style head title noscript template iframe object embed svg canvas audio video select textarea button".split())
+# What may stand in a head, skipped elements that hold no blocks, and which open element a start tag ends.
+HEAD_TAGS = set("title meta link script style base noscript template".split())
+PHRASING_TAGS = set("title svg select textarea button".split())
+ENDED_BY = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": ({"tr"}, {"table"}),
+    **{t: ({"tbody", "thead", "tfoot", "caption"}, {"table"}) for t in ("tbody", "thead", "tfoot")},
+}
+# Elements that hold parts of an article, which alone are judged by their names there.
+CONTAINER_TAGS = set("div section ul ol dl table fieldset details figure center hgroup span".split())
+LIST_TAGS = set("li ul ol dl dt dd td th".split())
+# Elements whose end tag ends everything that was left open inside.
+ENDING_TAGS = set("html body article main section div table tr td th ul ol dl li blockquote form nav aside footer header".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 BAD_TAGS = set("nav footer aside form menu dialog".split())
 ARTICLE_TAGS = {"article", "main"}
@@ -68,6 +89,7 @@ class Block:
     link_chars: int
     place: str
     heading: bool
+    tag: str = ""
 
 
 class _Blocks(HTMLParser):
@@ -94,14 +116,18 @@ class _Blocks(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(text, self.link_chars, self.place(), self.heading))
+            tag = next((t for t, _ in reversed(self.open) if t in BLOCK_TAGS), "")
+            self.blocks.append(Block(text, self.link_chars, self.place(), self.heading, tag))
         self.parts, self.link_chars = [], 0
 
     def handle_starttag(self, tag, attrs):
         if tag == "body":
             self.open, self.skipping = [], 0
+        if tag not in HEAD_TAGS and tag != "html":
+            self.end_head()
         if tag in BLOCK_TAGS:
             self.flush()
+            self.end_implied(tag)
         if tag in VOID_TAGS:
             return
         if tag == "a":
@@ -113,7 +139,7 @@ class _Blocks(HTMLParser):
             says = "article"
         elif tag in BAD_TAGS or (tag == "header" and self.place() != "article"):
             says = "bad"
-        if tag not in ("html", "body", *ARTICLE_TAGS) and attrs and _badly_named(attrs):
+        if tag not in ("html", "body", *ARTICLE_TAGS) and attrs and self.badly_named(tag, attrs):
             says = "skip" if says == "skip" else "named"
         elif not says and ("role", "main") in attrs:
             says = "article"
@@ -132,12 +158,44 @@ class _Blocks(HTMLParser):
         for at in range(len(self.open) - 1, -1, -1):
             name, says = self.open[at]
             if name == tag:
-                self.skipping -= sum(s == "skip" for _, s in self.open[at:])
-                del self.open[at:]
+                self.end_at(at)
                 return
-            if says == "skip":
+            if says == "skip" and (tag == "p" or name not in PHRASING_TAGS):
+                # Inside elements that hold whole fragments, only an ancestor that is no paragraph ends them.
+                if tag == "p" or not any(t == tag and t in ENDING_TAGS for t, _ in self.open[:at]):
+                    return
+
+    def end_at(self, at: int) -> None:
+        self.skipping -= sum(s == "skip" for _, s in self.open[at:])
+        del self.open[at:]
+
+    def end_head(self) -> None:
+        for at, (name, _) in enumerate(self.open):
+            if name == "head":
+                self.end_at(at)
                 return
 
+    def end_implied(self, tag: str) -> None:
+        """Ends what a block-level start tag ends: phrasing elements, paragraphs, and items of its own list or table."""
+        while self.open and self.open[-1][0] in PHRASING_TAGS | {"p"}:
+            self.end_at(len(self.open) - 1)
+        ends, within = ENDED_BY.get(tag, ((), ()))
+        for at in range(len(self.open) - 1, -1, -1):
+            name, says = self.open[at]
+            if name in within or says == "skip":
+                return
+            if name in ends:
+                self.end_at(at)
+                return
+
+    def badly_named(self, tag: str, attrs) -> bool:
+        if self.place() != "article":
+            return _badly_named(attrs)
+        return tag in CONTAINER_TAGS and any(
+            name in ("class", "id", "role") and value and any(_NAME.findall(t)[-1:] and _NAME.findall(t)[-1] in BAD_NAMES for t in value.lower().split())
+            for name, value in attrs
+        )
+
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCK_TAGS:
             self.flush()
@@ -171,7 +229,7 @@ def first_label(block: Block, has_article: bool) -> str:
     if block.place == "bad" or (has_article and not block.place):
         return BAD
     if block.place:
-        return BAD if links > ARTICLE_LINKS_BAD else GOOD
+        return BAD if links > ARTICLE_LINKS_BAD and block.tag in LIST_TAGS else GOOD
     if links > LINKS_BAD:
         return BAD
     if len(block.text) < SHORT_CHARS:
