@@ -63,3 +63,18 @@ def test_cases(spark, model):
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang for r in language.identify(unlabelled, pages).collect()} == {None}
     assert language.identify(docs.limit(0), pages).count() == 0
+
+
+def test_declared_language_stands_anywhere_in_the_tag(spark):
+    from pyspark.sql import functions as F
+
+    tags = {
+        f"<html data-x='{'y' * 2000}' lang=\"fr\">": "fr",
+        "<HTML LANG=de>": "de",
+        "<html lang = 'es-MX' class=x>": "es",
+        "<html class=x><p lang=en>": "",
+        "<htmlx lang=en>": "",
+    }
+    rows = spark.createDataFrame([(t,) for t in tags], "html string")
+    found = [r[0] for r in rows.select(F.lower(F.regexp_extract("html", language.LANGUAGE_TAG, 1))).collect()]
+    assert found == list(tags.values())

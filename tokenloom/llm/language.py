@@ -28,13 +28,15 @@ from tokenloom.llm.words import slices, text_buffers
 
 BUCKETS = 1 << 16
 EVIDENCE = 60
+# Keys that rows without a witness are spread over in its join.
+SPREAD = 1 << 14
 # More declared languages than this are no label of a classifier.
 MOST_LANGUAGES = 256
 TRIGRAM_SMOOTHING = 0.5
 WITNESS_SMOOTHING = 1.0
 HOST_STRENGTH, DOMAIN_STRENGTH = 10.0, 50.0
 GRAM_BASES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
-LANGUAGE_TAG = "(?i)<html[^>]{0,400}?\\slang\\s*=\\s*[\"']?([a-z]{2,3})"
+LANGUAGE_TAG = "(?i)<html(?=\\s)[^>]*?\\slang\\s*=\\s*[\"']?([a-z]{2,3})"
 # The language part of an address: a first label, a first folder, or a parameter of two letters.
 SUFFIXES = ["(?i)^[a-z]+://[^/?#]+/([a-z]{2})(?:[-_][a-z]{2})?(?:[/?#]|$)", "(?i)[?&](?:lang|hl|locale)=([a-z]{2})\\b", "(?i)^[a-z]+://[^/?#:]+\\.([a-z]{2})(?:[:/?#]|$)"]
 HOST = "(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -153,6 +155,14 @@ def _counts(rows: DataFrame, keys: list[str], size: int, name: str) -> DataFrame
     return known.groupBy(*keys).agg(F.array(*sums).alias(name))
 
 
+def _with_counts(rows: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of the rows that have the witness; the others, often nearly all, are spread by a key that nothing has."""
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("doc_id", "page_id"), F.lit(SPREAD)).cast("string"))
+    keyed = rows.withColumn("_key", F.coalesce(F.col(keys[0]), spread))
+    sought = counts.where(F.col(keys[0]).isNotNull()).withColumnRenamed(keys[0], "_key")
+    return keyed.join(sought, ["_key", *keys[1:]], "left").drop("_key")
+
+
 def identify(docs: DataFrame, pages: DataFrame, model: TextModel | None = None) -> DataFrame:
     """(`doc_id`, `page_id`, `lang`, `confidence`, `text_lang`) of every document and every page; one id is null."""
     model = model or train_text(docs)
@@ -177,10 +187,10 @@ def identify(docs: DataFrame, pages: DataFrame, model: TextModel | None = None)
     # Written, so that a join with a hot host reads two plain shuffles, whose large partitions Spark splits.
     by_host = written(_counts(rows, ["place", "host"], size, "host_counts"), "hosts")
     by_domain = written(_counts(rows.where("domain is not null"), ["domain"], size, "domain_counts"), "domains")
-    placed = rows.join(by_host, ["place", "host"], "left").join(by_domain, "domain", "left")
+    placed = _with_counts(_with_counts(rows, by_host, ["host", "place"]), by_domain, ["domain"])
     for witness in ("declared", "suffix"):
         counts = _counts(rows.where(f"{witness} is not null"), [witness], size, f"{witness}_counts")
-        placed = placed.join(written(counts, witness), witness, "left")
+        placed = _with_counts(placed, written(counts, witness), [witness])
     totals = F.array(*[F.lit(float(v)) for v in overall])
 
     def less_own(counts: str) -> Column:
