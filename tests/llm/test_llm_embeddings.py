@@ -75,3 +75,10 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch, block):
 
 def test_empty_table(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("kind,names", [("string", ["a", "b c", "1"]), ("double", [1.25, 1.5, -0.5]), ("boolean", [True, False])])
+def test_labels_are_compared_as_they_are(spark, kind, names):
+    rows = [(i, v, names[i % len(names)]) for i, v in enumerate(vectors(5, 90))]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {kind}")
+    assert sorted(tuple(r) for r in embeddings.near_vectors(table).collect()) == sorted(brute(rows, embeddings.COSINE))

@@ -36,8 +36,9 @@ CENTRES = 512
 # Vectors per centre, on average, among which the centres of a label are chosen.
 CHOICES = 8
 
-CELL_TYPE = "`class` binary, label long, size int, vector binary, cell int, away double, members long"
-UNIT_TYPE = "id long, label long, vector binary, size int, `class` binary"
+# The label keeps its own type.
+CELL_TYPE = "`class` binary, label {label}, size int, vector binary, cell int, away double, members long"
+UNIT_TYPE = "id long, label {label}, vector binary, size int, `class` binary"
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +57,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vectors.append(unit.tobytes() if unit is not None else None)
             sizes.append(len(unit) if unit is not None else None)
             # Equal vectors, not only equal directions: rounding must not decide about a class.
-            name = None if unit is None else blake2b(b"%d:" % label.as_py() + values.tobytes(), digest_size=16).digest()
+            name = None if unit is None else blake2b(b"%r:" % (label.as_py(),) + values.tobytes(), digest_size=16).digest()
             classes.append(name)
         columns = [batch.column(0), labels, pa.array(vectors, pa.binary()), pa.array(sizes, pa.int32()), pa.array(classes, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["id", "label", "vector", "size", "class"])
@@ -66,6 +67,10 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(v.as_buffer(), np.float64) for v in column])
 
 
+def label_type(table: DataFrame) -> str:
+    return table.schema["label"].dataType.simpleString()
+
+
 class Cells:
     """Centres of the large labels, and which pairs of their cells may hold near vectors."""
 
@@ -86,11 +91,11 @@ class Cells:
             .select("label", "size", "wanted", "vector")
             .collect()
         )
-        self.centres: dict[tuple[int, int], np.ndarray] = {}
+        self.centres: dict[tuple, np.ndarray] = {}
         for key in dict.fromkeys((r["label"], r["size"]) for r in choices):
             own = [r for r in choices if (r["label"], r["size"]) == key]
             self.centres[key] = _spread(np.stack([np.frombuffer(r["vector"]) for r in own]), own[0]["wanted"])
-        self.placed = written(classes.mapInArrow(_placer(self.centres), CELL_TYPE), "cells")
+        self.placed = written(classes.mapInArrow(_placer(self.centres), CELL_TYPE.format(label=label_type(classes))), "cells")
         self.pairs = self._near(cosine)
 
     def _near(self, cosine: float) -> DataFrame:
@@ -106,7 +111,7 @@ class Cells:
             for i, j in near_cells(centres[names], np.array([own[c]["radius"] for c in names]), cosine):
                 a, b = own[names[i]], own[names[j]]
                 rows.append(Row(label=key[0], size=key[1], low=a["cell"], high=b["cell"], low_blocks=a["blocks"], high_blocks=b["blocks"]))
-        listed = spark.createDataFrame(rows, "label long, size int, low int, high int, low_blocks int, high_blocks int")
+        listed = spark.createDataFrame(rows, f"label {label_type(self.placed)}, size int, low int, high int, low_blocks int, high_blocks int")
         small = cells.where("cell < 0").select(
             "label", "size", F.col("cell").alias("low"), F.col("cell").alias("high"), blocks.alias("low_blocks"), blocks.alias("high_blocks")
         )
@@ -196,8 +201,8 @@ def near_vectors(
     table: DataFrame, cosine: float = COSINE, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label"
 ) -> DataFrame:
     """One row per vector: `vec_id`, `n_links`, `component_id` and `kept`."""
-    slim = table.select(table[vec_id].cast("long").alias("id"), table[label].cast("long").alias("label"), table[embedding].alias("v"))
-    rows = written(slim.mapInArrow(_units, UNIT_TYPE), "units")
+    slim = table.select(table[vec_id].cast("long").alias("id"), table[label].alias("label"), table[embedding].alias("v"))
+    rows = written(slim.mapInArrow(_units, UNIT_TYPE.format(label=label_type(slim))), "units")
     classes = rows.where("`class` is not null").groupBy("class").agg(
         F.any_value("label").alias("label"), F.any_value("size").alias("size"), F.any_value("vector").alias("vector"), F.count(F.lit(1)).alias("members")
     )
