@@ -62,6 +62,13 @@ def test_prefixes_spend_the_budgets(spark, monkeypatch, per_bucket):
         assert all(used[e] == held[leaf] for e in range(max(used)))
 
 
+def test_rows_of_one_id_are_spread_by_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 10)
+    docs = spark.createDataFrame([(None, f"w{i} x", "en", "s1") for i in range(400)], "doc_id long, text string, lang string, source string")
+    got = mixing.mix(docs, F.lit("a"), [{}, {}, {}], 0.5).collect()
+    assert sum(r.tokens for r in got) == 400 and len({r.row.text for r in got}) == 200
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert mixing.mix(docs, F.lit("a"), WEIGHTS, 0.5).count() == 0

@@ -10,6 +10,7 @@ own seeded order whose tokens fit: every epoch of a leaf has its own order. The
 is summed in many tasks.
 
 * Null tree columns form a node of their own, named `NONE`. Weights default to 1; a weight of 0 excludes a node.
+* The order key hashes id and text, so rows with null or one repeated id are spread by their texts.
 * Null and empty texts count `LEAST` tokens, so they are ordered and chosen like others. Repeated rows and ids are rows of their
   own; rows equal in order key, id and tokens are interchangeable.
 * Empty tables give empty results. The input's columns travel inside one struct, so names cannot clash.
@@ -27,15 +28,27 @@ from pyspark.sql.window import Window
 from tokenloom.functions.keys import order_key, uniform
 from tokenloom.llm.storage import written
 
+# The domains that sources are dealt to by their number, and the weights of domains and languages.
+DOMAINS = ["web", "books", "news", "forums"]
+MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "forums": 1}, {"en": 6, "de": 2, "fr": 2, "es": 1}, {}]
+# Tokens that are mixed, as a share of those held: as many as there are.
+MIX_SHARE = 1.0
 NONE = "(none)"
 LEVELS = ("domain", "lang", "source")
-ROWS_PER_BUCKET, MOST_BUCKETS = 20_000, 1 << 16
+ROWS_PER_BUCKET, MOST_BUCKETS = 2_000, 1 << 16
 SEED = 4099
 EPOCHS = 3
 LEAST = 1
 TOKEN_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
+def domain_of(source: Column) -> Column:
+    """The domain of a source, by the number at the end of its name; null without one."""
+    number = F.regexp_extract(source, "([0-9]{1,9})$", 1)
+    names = F.array(*map(F.lit, DOMAINS))
+    return F.when(number != "", F.element_at(names, F.pmod(number.cast("int"), F.lit(len(DOMAINS))) + 1))
+
+
 def tokens_of(text: Column) -> Column:
     return F.greatest(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(TOKEN_PATTERN)), F.lit(LEAST)).cast("long")
 
@@ -117,6 +130,7 @@ def mix(
         F.coalesce(docs["source"].cast("string"), F.lit(NONE)).alias("source"),
         tokens_of(docs[text]).alias("tokens"),
         docs[doc_id].alias("id"),
+        F.md5(F.coalesce(docs[text], F.lit(""))).alias("digest"),
     )
     leaf = list(LEVELS)
     leaves = written(rows.groupBy(*leaf).agg(F.sum("tokens").alias("held")), "leaves")
@@ -128,7 +142,7 @@ def mix(
         "budgets",
     )
     buckets = min(MOST_BUCKETS, docs.count() // ROWS_PER_BUCKET + 1)
-    key = order_key(seed, F.col("whole"), F.coalesce(F.col("id").cast("string"), F.lit(NONE)))
+    key = order_key(seed, F.col("whole"), F.coalesce(F.col("id").cast("string"), F.lit(NONE)), F.col("digest"))
     ordered = (
         rows.join(plan, leaf)
         .withColumn("key", key)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpus_pipeline import DOMAINS, MIX_SHARE, MIX_WEIGHTS, SHARDS
+from corpus_pipeline import SHARDS
 from tokenloom.llm import decontam, embeddings, extract, forest, language, lexical, licenses, mixing, oracles, quality, repeats, secrets, shards, whitening
+from tokenloom.llm.mixing import DOMAINS, MIX_SHARE, MIX_WEIGHTS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +66,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs, corpus_pipeline.domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE, keep=["doc_id"])
+    mixed = mixing.mix(docs, mixing.domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE, keep=["doc_id"])
     return mixed.select("row.doc_id", "domain", "lang", "source", "tokens", "epoch")
 
 
@@ -152,7 +153,8 @@ OP9_SQL = f"""WITH rows AS (
     SELECT doc_id, coalesce(CASE WHEN regexp_matches(source, '[0-9]$') THEN
                {DOMAINS}[(regexp_extract(source, '([0-9]{{1,9}})$', 1)::INT % {len(DOMAINS)}) + 1] END, '{mixing.NONE}') AS domain,
            coalesce(lang, '{mixing.NONE}') AS lang, coalesce(source, '{mixing.NONE}') AS source,
-           greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), {mixing.LEAST})::BIGINT AS tokens
+           greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), {mixing.LEAST})::BIGINT AS tokens,
+           md5(coalesce(text, '')) AS digest
     FROM documents),
 leaves AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS held, sum(tokens)::BIGINT * {mixing.EPOCHS} AS capacity
            FROM rows GROUP BY ALL),
@@ -162,7 +164,7 @@ top AS (SELECT least(sum(capacity), floor(sum(held)::DOUBLE * {MIX_SHARE}))::BIG
 {filled_sql("sources", level_sql(["domain", "lang"], "source", MIX_WEIGHTS[2], "langs"), ["domain", "lang"], "source")},
 keyed AS (
     SELECT r.*, budget // held AS whole, budget % held AS rest,
-           md5('{mixing.SEED}:' || (budget // held) || ':' || coalesce(doc_id::VARCHAR, '{mixing.NONE}')) AS k
+           md5('{mixing.SEED}:' || (budget // held) || ':' || coalesce(doc_id::VARCHAR, '{mixing.NONE}') || ':' || digest) AS k
     FROM rows r JOIN sources USING (domain, lang, source)),
 taken AS (
     SELECT *, whole + CASE WHEN sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY k, doc_id, tokens
