@@ -15,20 +15,10 @@ from tokenloom.llm import decontam, forest, mixing, quality, shards
 from tokenloom.llm.storage import written
 
 SHARDS = 16
-# The domains that sources are dealt to by their number, and the weights of domains and languages.
-DOMAINS = ["web", "books", "news", "forums"]
-MIX_WEIGHTS = [{"web": 4, "books": 3, "news": 2, "forums": 1}, {"en": 6, "de": 2, "fr": 2, "es": 1}, {}]
-MIX_SHARE = 0.5
+# Columns of the last stage beside those of the documents; where one is taken, ours gets underscores behind it.
 PLACED = ["shard", "slot", "size"]
 
 
-def domain_of(source):
-    """The domain of a source, by the number at the end of its name; null without one."""
-    number = F.regexp_extract(source, "([0-9]{1,9})$", 1)
-    names = F.array(*map(F.lit, DOMAINS))
-    return F.when(number != "", F.element_at(names, F.pmod(number.cast("int"), F.lit(len(DOMAINS))) + 1))
-
-
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -45,14 +35,22 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Half of the tokens, by the weights of domain, language and source; a short leaf's documents may repeat."""
-    return mixing.mix(docs, domain_of(F.col("source")), MIX_WEIGHTS, MIX_SHARE).select("row.*")
+    """As many tokens as there are, by the weights of domain, language and source; a short leaf's documents may repeat."""
+    return mixing.mix(docs, mixing.domain_of(F.col("source")), mixing.MIX_WEIGHTS, mixing.MIX_SHARE).select("row.*")
 
 
 def sharded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their shard of nearly equal bytes, their place in it and their size."""
-    named = docs.drop(*PLACED)
-    return shards.assign_shards(named, SHARDS).select("row.*", *PLACED)
+    names = [F.col(c).alias(free_name(c, docs.columns)) for c in PLACED]
+    return shards.assign_shards(docs, SHARDS).select("row.*", *names)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, with as many underscores behind it as make it differ from all of `taken`."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
