@@ -67,4 +67,8 @@ def test_pipeline_of_empty_and_odd_documents(spark, tmp_path):
         for other in ("labels", "benchmark"):
             tables[other].write.parquet(f"{tmp_path}/{name}/{other}.parquet")
         docs.selectExpr("*", "'s' AS shard", "1 AS `row`", "2 AS `score.x`", "3 AS tokens", "4 AS `set`", "5 AS hits").write.parquet(f"{tmp_path}/{name}/documents.parquet")
-        assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").count() == 0 or name == "odd"
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert out.columns[-4:] == ["hits", "shard_", "slot", "size"]
+        rows = out.collect()
+        assert (rows == []) == (name == "empty") and {r["shard"] for r in rows} <= {"s"}
+        assert all(0 <= r["shard_"] < corpus_pipeline.SHARDS for r in rows)
