@@ -3,10 +3,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check_oracle import fingerprint
-from tokenloom.llm import decontam, forest, queries
+from tokenloom.llm import decontam, forest, mixing, queries
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -49,7 +50,13 @@ def test_stages_of_the_pipeline(spark, tmp_path):
         before = kept
         stage(spark, kept, SF).write.parquet(f"{tmp_path}/{name}")
         kept = spark.read.parquet(f"{tmp_path}/{name}")
-        assert kept.columns == columns and 0 < kept.count() <= before.count()
+        assert kept.columns == columns and kept.count() > 0
+        if name == "mixing":
+            # All tokens are mixed and short leaves repeat, so rows may grow while tokens do not.
+            held, spent = (f.agg(F.sum(mixing.tokens_of(F.col("text"))).alias("n")).first()["n"] for f in (before, kept))
+            assert 0.9 * held < spent <= held
+        else:
+            assert kept.count() <= before.count()
         assert kept.subtract(before).count() == 0
         if name == "near_duplicates":
             assert forest.jaccard_join(kept).where("n_links > 0").count() == 0
