@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.functions.arrays import crop_context, digest, joined, truncate_at
-from tokenloom.operators import ngram, packing, sampling
+from tokenloom.operators import backoff, ngram, packing, sampling
 from tokenloom.operators.encode import char_ids, decode_chars, encode_documents, encode_subwords
 from tokenloom.operators.splits import random_split
 from tokenloom.operators.vocab import EOS_ID, char_vocab, collect_ids
@@ -28,6 +28,8 @@ EVAL_BATCH = 4
 TOP_K = 10
 TEMPERATURE = 0.8
 SAMPLES = 2
+# Windows through which `backoff_next` sees a prompt.
+BLOCKS = [1, 2, CONTEXT]
 STEPS = 12
 
 
@@ -112,6 +114,33 @@ def bpe_generate(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("prompt_id", "sample", joined(F.col("generated")).alias("generated"), kept.alias("kept"))
 
 
+def trained_trie(data: Corpus) -> tuple[DataFrame, backoff.Trie]:
+    counts = cut_lineage(backoff.run_counts(data.encoded, data.eos, "split"))
+    return counts, backoff.train_trie(counts.where(F.col("split") == "train"), data.size)
+
+
+def backoff_entropy(data: Corpus) -> DataFrame:
+    counts, trie = trained_trie(data)
+    return backoff.cross_entropy(counts, trie, "split").select(
+        "split", "tokens", F.round("loss", 9).alias("loss"), F.round("perplexity", 6).alias("perplexity")
+    )
+
+
+def backoff_next(spark: SparkSession, sf: str) -> DataFrame:
+    """One token after every turn, seen through windows of one, two and `CONTEXT` ids, and how much of it the trie holds."""
+    data = corpus(spark, sf)
+    _, trie = trained_trie(data)
+    prompts = sampling.fan_out(data.prompts, SAMPLES, data.eos)
+    windows = prompts.withColumn("block", F.explode(F.array(*map(F.lit, BLOCKS))))
+    seen = [
+        F.coalesce(*[F.when(F.col("block") == b, backoff.context_of(F.col("ids"), b)[k]) for b in BLOCKS]).alias(c)
+        for k, c in enumerate(backoff.CONTEXT)
+    ]
+    rows = windows.select("conv_id", "turn", "prompt_id", "sample", "block", *seen)
+    drawn = backoff.draw_next(rows, trie, "prompt_id", 0, TEMPERATURE)
+    return drawn.select("conv_id", "turn", "sample", "block", "matched", "token")
+
+
 def probabilities(model: ngram.NgramModel) -> DataFrame:
     return sampling.top_k_softmax(sampling.model_logits(model, TOP_K), "context", TOP_K, TEMPERATURE)
 
@@ -193,6 +222,9 @@ QUERIES = {
     # The side of larger models: pairs are counted and joined.
     "bpe_loss_bands_joined": lambda spark, sf: banded_losses(subword_corpus(spark, sf), most_pairs=0),
     "bpe_generate": bpe_generate,
+    "backoff_entropy": lambda spark, sf: backoff_entropy(corpus(spark, sf)),
+    "bpe_backoff_entropy": lambda spark, sf: backoff_entropy(subword_corpus(spark, sf)),
+    "backoff_next": backoff_next,
     "topk_softmax": topk_softmax,
     "next_token": next_token,
     "next_token_whole": next_token_whole,
@@ -315,7 +347,60 @@ def bands_sql(model: str) -> str:
         SELECT {LOSS_CASE} AS band, lang, count(*) AS docs, round(avg(loss), 9) AS loss FROM losses GROUP BY 1, 2"""
 
 
+def trie_sql(ids: str) -> str:
+    """Runs of the rows `enc`, and the levels of the trie; a context is text, so that levels share a table."""
+    levels = ["c1", "c1 || ' ' || c2", "c1 || ' ' || c2 || ' ' || c3"]
+    grown = " UNION ALL ".join(f"SELECT {k} AS k, {c} AS h, next, sum(cnt) AS cnt FROM runs WHERE split = 'train' AND {c} IS NOT NULL GROUP BY h, next" for k, c in enumerate(levels, 1))
+    return f"""{ids},
+    placed AS (SELECT s.split, e.doc_id, pos, id FROM enc e JOIN splits s ON s.doc_id = e.doc_id
+               UNION ALL SELECT split, doc_id, 0, {S.EOS} FROM splits WHERE doc_id IN (SELECT doc_id FROM enc)),
+    laid AS (SELECT split, pos, id AS next, lag(id, 1) OVER w AS c1, lag(id, 2) OVER w AS c2, lag(id, 3) OVER w AS c3
+             FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+    runs AS (SELECT split, next, c1, c2, c3, count(*) AS cnt FROM laid WHERE pos > 0 GROUP BY ALL),
+    grown AS ({grown}),
+    known AS (SELECT k, h, sum(cnt) AS total, count(*) AS kinds FROM grown GROUP BY k, h HAVING sum(cnt) >= {backoff.LEAST}),
+    single AS (SELECT next, sum(cnt) AS cnt FROM runs WHERE split = 'train' GROUP BY next),
+    mass AS (SELECT sum(cnt) + {S.EOS} + 1 AS n FROM single)"""
+
+
+def mixed_sql(rows: str) -> str:
+    """`rows` (c1, c2, c3, next) with `p`, level by level."""
+    out = f"SELECT r.*, (coalesce(single.cnt, 0) + 1.0::DOUBLE) / n::DOUBLE AS p, 0 AS matched FROM {rows} r CROSS JOIN mass LEFT JOIN single USING (next)"
+    for k, c in enumerate(["c1", "c1 || ' ' || c2", "c1 || ' ' || c2 || ' ' || c3"], 1):
+        out = f"""SELECT q.* EXCLUDE (p, matched), CASE WHEN total IS NULL THEN p ELSE (coalesce(g.cnt, 0) + kinds * p) / (total + kinds) END AS p,
+            CASE WHEN total IS NULL THEN matched ELSE {k} END AS matched
+            FROM (SELECT *, {c} AS h FROM ({out})) q LEFT JOIN known ON known.k = {k} AND known.h = q.h
+            LEFT JOIN grown g ON g.k = {k} AND g.h = q.h AND g.next = q.next"""
+        out = f"SELECT * EXCLUDE (h) FROM ({out})"
+    return out
+
+
 ORACLE = {
+    "backoff_entropy": f"""WITH {trie_sql(DOC_IDS)}
+        SELECT split, sum(cnt)::BIGINT AS tokens, round(sum(-ln(p) * cnt) / sum(cnt), 9) AS loss,
+               round(exp(sum(-ln(p) * cnt) / sum(cnt)), 6) AS perplexity
+        FROM ({mixed_sql("runs")}) GROUP BY split""",
+    "backoff_next": f"""WITH {trie_sql(DOC_IDS)}, {TURN_IDS},
+        starts AS (
+            SELECT conv_id, turn, conv_id || '-' || turn AS prompt_id, unnest(range({SAMPLES})) AS sample,
+                   coalesce(ids, [{S.EOS}]) AS ids
+            FROM turns LEFT JOIN prompts USING (conv_id, turn)),
+        seen AS (SELECT * EXCLUDE (ids), ids[-least(len(ids), block):] AS ids
+                 FROM (SELECT *, unnest({BLOCKS}) AS block FROM starts)),
+        rows AS (SELECT * EXCLUDE (ids), ids[-1] AS c1, CASE WHEN len(ids) > 1 THEN ids[-2] END AS c2,
+                        CASE WHEN len(ids) > 2 THEN ids[-3] END AS c3 FROM seen),
+        contexts AS (SELECT DISTINCT c1, c2, c3 FROM rows),
+        cells AS (SELECT contexts.*, i AS next FROM contexts, range((SELECT {S.EOS} + 1)) t(i)),
+        weighed AS (SELECT *, pow(p, 1 / {TEMPERATURE}::DOUBLE) AS w FROM ({mixed_sql("cells")})),
+        upto AS (
+            SELECT c1, c2, c3, next, matched, sum(w) OVER (PARTITION BY c1, c2, c3 ORDER BY next) / sum(w) OVER (PARTITION BY c1, c2, c3) AS upto,
+                   row_number() OVER (PARTITION BY c1, c2, c3 ORDER BY next DESC) AS from_last FROM weighed),
+        drawn AS (SELECT *, ('0x' || substr(md5(concat_ws(':', 1337, prompt_id, sample, 0)), 1, 15))::BIGINT
+                         / 1152921504606846976.0::DOUBLE AS u FROM rows)
+        SELECT conv_id, turn, sample::INTEGER AS sample, block::INTEGER AS block, any_value(matched)::INTEGER AS matched,
+               min(next) FILTER (upto > u OR from_last = 1)::INTEGER AS token
+        FROM drawn d JOIN upto q ON d.c1 = q.c1 AND d.c2 IS NOT DISTINCT FROM q.c2 AND d.c3 IS NOT DISTINCT FROM q.c3
+        GROUP BY conv_id, turn, sample, block""",
     "cross_entropy": entropy_sql(MODEL),
     "eval_loss": eval_sql(MODEL),
     "loss_bands": bands_sql(MODEL),
