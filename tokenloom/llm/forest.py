@@ -1,10 +1,13 @@
 """Jaccard join of documents on word shingles: a MinHash LSH forest, then exact verification.
 
 1. Documents with equal shingle sets form a class; everything below works on classes.
-2. A tree labels a class with MinHash values of its set. Classes that share a label's prefix are candidates. The matched
-   prefix is shortened from the deepest one until pairs at the threshold meet in some tree with the target recall.
-3. Classes under one prefix are compared in cells of bounded size: a large prefix is cut into blocks, and pairs of
-   blocks become cells. A pair belongs to the first tree whose prefixes agree, so it is verified once.
+2. A tree of the forest labels a class with `DEEPEST` MinHash values of its set; the sorted labels of all classes are a
+   trie, whose nodes are the classes that share a prefix. Classes of one node are candidates. From the deepest level the
+   matched prefix is shortened until pairs at the threshold meet in some tree with the target recall. Under that level it
+   is shortened further, node by node, as long as a node holds no more than `FEW` classes: where the corpus is sparse, prefixes
+   of `SHORTEST` values are matched, which only adds candidates; where it is dense, the level of the target stays.
+3. Classes of one node are compared in cells of bounded size: a large node is cut into blocks, and pairs of
+   blocks become cells. A pair belongs to the first tree whose nodes agree, so it is verified once.
 4. A cell verifies its pairs by exact intersection of their shingle sets and returns, per class, the number of linked
    documents and one neighbour of a spanning star; pairs themselves are never written.
 
@@ -18,6 +21,7 @@ Sets are compared as 64-bit shingle hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -35,6 +39,9 @@ THRESHOLD = 0.8
 TREES = 16
 DEEPEST = 8
 TARGET_RECALL = 0.9995
+# The shortest prefix that is matched, and the classes that a node of less than the target's depth may hold.
+SHORTEST = 2
+FEW = 16
 # Classes of one prefix that a cell takes from either of its blocks.
 BLOCK = 256
 # Shingles whose hash values are held at a time, and entries of an intersection's incidence matrix.
@@ -66,9 +73,10 @@ def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
     return sets
 
 
-def prefixes(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
-    """A key per set and tree: the hash of the first `depth` MinHash values of the tree's label."""
-    out = np.zeros((len(sets), trees), np.uint64)
+def labels(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
+    """Keys per set, tree and level: the hashes of the first `SHORTEST` to `depth` MinHash values of the tree's label."""
+    levels = max(depth - SHORTEST + 1, 1)
+    out = np.zeros((len(sets), trees, levels), np.uint64)
     filled = [i for i, s in enumerate(sets) if len(s)]
     at = 0
     while at < len(filled):
@@ -79,15 +87,14 @@ def prefixes(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
             at += 1
         values = np.concatenate([sets[i] for i in run])
         first = np.cumsum([0, *(len(sets[i]) for i in run[:-1])])
-        keys = np.zeros((len(run), trees), np.uint64)
         for tree in range(trees):
             label = np.full(len(run), tree, np.uint64)
             for level in range(depth):
                 seed = mix(np.array([tree * 1000 + level * 2 + 1, tree * 1000 + level * 2 + 2], np.uint64))
                 least = np.minimum.reduceat((values ^ seed[0]) * (seed[1] | np.uint64(1)), first)
                 label = mix(label * np.uint64(31) ^ least)
-            keys[:, tree] = label
-        out[run] = keys
+                if level + 1 >= min(SHORTEST, depth):
+                    out[run, tree, level + 1 - min(SHORTEST, depth)] = label
     return out
 
 
@@ -96,12 +103,13 @@ def _labelled(width: int, trees: int, depth: int):
         for batch in batches:
             for part in slices(batch, 3):
                 sets = shingle_sets(find_words(part.column(3)), width)
-                keys = prefixes(sets, trees, depth).view(np.int64)
+                keys = labels(sets, trees, depth).view(np.int64)
                 digests = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 flat = pa.array(keys.reshape(-1))
-                lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, trees, dtype=np.int32), flat)
+                each = trees * keys.shape[2]
+                lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, each, dtype=np.int32), flat)
                 columns = [*part.columns[:3], pa.array(digests, pa.binary()), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_1", "row_2", "set", "prefixes"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_1", "row_2", "set", "labels"])
 
     return label
 
@@ -125,36 +133,59 @@ class Join:
         keyed = _with_row_key(docs, text, doc_id)
         label = _labelled(width, trees, self.depth)
         self.rows = written(
-            keyed.mapInArrow(label, "doc_id long, row_1 long, row_2 long, `set` binary, prefixes array<long>"), "labels"
+            keyed.mapInArrow(label, "doc_id long, row_1 long, row_2 long, `set` binary, labels array<long>"), "labels"
         )
         first = F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_1", "row_2"))
         self.classes = written(
             self.rows.where("`set` is not null")
             .groupBy("set")
-            .agg(F.count(F.lit(1)).alias("members"), first.alias("first"), F.any_value("prefixes").alias("prefixes")),
+            .agg(F.count(F.lit(1)).alias("members"), first.alias("first"), F.any_value("labels").alias("labels")),
             "classes",
         )
         self.links = written(self._verified(keyed, self._cells()), "links")
         self.found = self._summed()
 
+    def _nodes(self) -> DataFrame:
+        """(`set`, `tree`, `node`, `depth`, `n`): the node of every class in every tree in which it is not alone."""
+        levels = max(self.depth - SHORTEST + 1, 1)
+        trees = F.sequence(F.lit(0), F.lit(self.trees - 1))
+        left = self.classes.select("set", "labels", F.explode(trees).alias("tree")).select(
+            "set", "tree", F.slice("labels", F.col("tree") * levels + 1, levels).alias("label")
+        )
+        found = []
+        for level in range(levels):
+            # Labels in order share a prefix exactly where they share its hash: a node is a group.
+            keyed = left.withColumn("node", F.get("label", F.lit(level)))
+            sizes = written(keyed.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
+            met = written(keyed.join(sizes, ["tree", "node"]), "met")
+            depth = F.lit(self.depth - levels + level + 1).alias("depth")
+            done = met if level == levels - 1 else met.where(F.col("n") <= FEW)
+            found.append(done.select("set", "tree", "node", depth, "n"))
+            left = met.where(F.col("n") > FEW).select("set", "tree", "label")
+        return written(reduce(DataFrame.unionAll, found), "forest")
+
     def _cells(self) -> DataFrame:
         """Candidates by cell: one row for every class in every cell that holds one of its pairs."""
-        tree = F.posexplode("prefixes").alias("tree", "prefix")
-        spread = self.classes.select("set", tree)
-        shared = written(spread.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+        self.nodes = self._nodes()
+        # A class's nodes by tree; a number of its own where it is alone in a tree.
+        met = F.map_from_entries(F.collect_list(F.struct("tree", "node")))
+        own = F.transform(
+            F.sequence(F.lit(0), F.lit(self.trees - 1)),
+            lambda t: F.coalesce(F.try_element_at("met", t), F.xxhash64("set", t)),
+        )
+        placed_in = written(self.nodes.groupBy("set").agg(met.alias("met")).select("set", own.alias("prefixes")), "placed")
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         block = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
         placed = (
-            spread.join(shared, ["tree", "prefix"])
-            .withColumn("blocks", blocks)
+            self.nodes.withColumn("blocks", blocks)
             .withColumn("block", block)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("low", F.least("block", "other"))
             .withColumn("high", F.greatest("block", "other"))
-            .select("set", "tree", "block", "low", "high", F.xxhash64("tree", "prefix", "low", "high").alias("cell"))
+            .select("set", "tree", "block", "low", "high", F.xxhash64("tree", "node", "low", "high").alias("cell"))
         )
-        slim = self.classes.select("set", "members", "prefixes", "first.row_1", "first.row_2")
-        pairs = placed.join(slim, "set").repartition("cell").sortWithinPartitions("cell")
+        slim = self.classes.select("set", "members", "first.row_1", "first.row_2").join(placed_in, "set")
+        pairs = placed.join(slim.select("set", "members", "prefixes", "row_1", "row_2"), "set").repartition("cell").sortWithinPartitions("cell")
         return pairs.mapInArrow(_needed, pairs.schema)
 
     def _verified(self, keyed: DataFrame, cells: DataFrame) -> DataFrame:
@@ -202,13 +233,14 @@ def jaccard_join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", th
 def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row of every component stays, the one with the smallest id; rows without words all stay.
 
-    Rows that repeat id and text count as one: any of them stays.
+    Rows that repeat id and text count as one: of those that differ otherwise, the one with the least hash of its row stays.
     """
     join = Join(docs, text, doc_id, threshold)
     kept = join.first_rows().select("first.row_1", "first.row_2")
     alone = join.rows.where("`set` is null").select("row_1", "row_2").distinct()
     keyed = docs.select(F.struct("*").alias("row"), *row_key(docs[doc_id], docs[text]))
-    one = keyed.join(kept, ["row_1", "row_2"], "left_semi").dropDuplicates(["row_1", "row_2"])
+    same = keyed.join(kept, ["row_1", "row_2"], "left_semi").groupBy("row_1", "row_2")
+    one = same.agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
     rest = keyed.join(alone, ["row_1", "row_2"], "left_semi")
     return one.select("row.*").unionAll(rest.select("row.*"))
 
