@@ -86,3 +86,59 @@ def test_items_in_blocks_find_the_same(spark, monkeypatch, blocks):
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 2 * blocks)
     found = decontam.contaminations(docs, items).where("distance = 0").collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(i, i) for i in range(4)]
+
+
+def brute_hits(items, texts, rate=0.2):
+    """(text, item) of all texts with a run within the distance, over all words and without an index."""
+    out = set()
+    for n, text in enumerate(texts):
+        for item, wanted in items:
+            own, words = text.split(), wanted.split()
+            number = {w: i for i, w in enumerate({*own, *words})}
+            a, b = (np.array([number[w] for w in part], np.int64) for part in (words, own))
+            if len(a) and decontam.best_match(a, b)[0] <= int(rate * len(a)):
+                out.add((n, item))
+    return out
+
+
+def test_short_and_repetitive_items_are_found_with_edits():
+    rng = random.Random(5)
+    items = [(0, "alpha beta gamma delta epsilon zeta eta"), (1, " ".join(["na na hey"] * 13 + ["na"])), (2, "one two"), (3, "a b c d e")]
+    texts = ["x alpha beta gamma NEW epsilon zeta eta y", "alpha beta delta epsilon zeta eta", "q one two r", "one and two", "a b x c d e"]
+    texts += [" ".join(["na na hey"] * 6 + ["what"] + ["na na hey"] * 7), "na hey " * 15, "a b x c d", "a b y d e"]
+    texts += [" ".join(rng.choices("abcde", k=30)) for _ in range(40)]
+    texts = [t.lower() for t in texts]
+    index = decontam.build_index(items)
+    assert not index.repeats and index.pieces
+    found = {(n, h["item_id"]) for n, listed in enumerate(decontam.hits(index, pa.array(texts))) for h in listed}
+    assert found == brute_hits(items, texts) and {(0, 0), (1, 0), (5, 1), (4, 3)} <= found
+
+
+def test_items_below_the_target_are_sought_exactly(monkeypatch):
+    monkeypatch.setattr(decontam, "MOST_REPEATS", 0)
+    rng = random.Random(6)
+    items = [(i, " ".join(f"w{rng.randrange(30)}" for _ in range(rng.randint(12, 30)))) for i in range(12)]
+    texts = [" ".join(edited(t.split(), int(0.2 * len(t.split())), rng)) for _, t in items for _ in range(4)]
+    index = decontam.build_index(items)
+    found = {(n, h["item_id"]) for n, listed in enumerate(decontam.hits(index, pa.array(texts))) for h in listed}
+    assert found == brute_hits(items, texts) and len(found) >= len(texts)
+
+
+def test_whole_result_equals_brute_force(spark):
+    """The query's rows on a small corpus: items edited at random, halves, and texts that only share words."""
+    rng = random.Random(7)
+    items = [(i, " ".join(f"w{rng.randrange(150)}" for _ in range(rng.randint(6, 45)))) for i in range(25)]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        noise = [f"w{rng.randrange(150)}" for _ in range(30)]
+        for edits in (0, int(0.2 * len(words)), int(0.2 * len(words)) + 3):
+            texts.append(" ".join(noise + edited(words, min(edits, len(words)), rng) + noise))
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], DOCS)
+    found = decontam.contaminations(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = brute_hits(items, texts)
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert got <= expected and len(got) >= 0.99 * len(expected)
+    for r in found:
+        own = texts[r.doc_id].split()[r.first_word : r.end_word]
+        assert r.distance == levenshtein(dict(items)[r.item_id].split(), own) <= int(0.2 * r.n_words)

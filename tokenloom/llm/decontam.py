@@ -6,22 +6,24 @@ bit is set. Sequences that differ by few edits fall in step again, so edit dista
 Hamming distance, and a few sampled positions of the embedding agree with fair probability.
 
 * Every word of every document starts an item-sized window, and every word of an item starts one of its
-  own windows, so that an edit near one start leaves the others. One walk serves items of all lengths,
-  because the samples lie in the first `REACH` steps.
-* A repetition's key is looked up sample by sample: windows whose first samples belong to no item are left at once.
-* Repetitions with fresh bits are added until edited copies of the items are found with the target recall.
+  own windows, so that an edit near one start leaves the others. One walk serves items of all lengths, because the
+  samples lie in its first `REACH` steps: a walk over a whole item at every word would cost hundreds of steps a word.
+* A repetition draws its bits and its sampled steps anew. Its key is looked up sample by sample: windows whose first
+  samples belong to no item are left at once.
+* Repetitions are added until edited copies of the items are found with the target recall, which is measured.
+* Items that a walk cannot tell, of fewer than `SHORT` different words, and all items should `MOST_REPEATS` repetitions not reach
+  the target, are sought exactly: of a run that differs by k edits, one of the item's k + 1 pieces is unedited.
 * Each candidate is verified by the exact edit distance between the whole item and the best run of words
   around it; it is a hit when the distance is at most `floor(rate * words)`.
 
-Items of fewer than `SHORT` different words are hits only as exact runs, items without words never. Documents without
-words have no hits. Repeated items with one id and text count once. The documents are never shuffled or joined;
-benchmark items are taken in blocks of bounded size, with one pass over the documents each.
+Items without words have no hits, and neither have documents without words. Repeated items with one id and text count
+once. The documents are never shuffled or joined; benchmark items are taken in blocks of bounded size, with one pass over
+the documents each.
 """
 
 from __future__ import annotations
 
 import random
-import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -36,15 +38,15 @@ from tokenloom.llm.words import PLAIN_TABLE, find_words, mix, slices, window_has
 
 RATE = 0.2
 SHORT = 8
-# Sampled steps of a walk, the first one always among them, and how many words among the samples make a key telling:
-# a walk that hardly moves writes one common word again and again, and its window is left to the other repetitions.
-SAMPLED = [0, 2, 4, 6, 8, 10]
+# Samples of a walk within its first steps, the first step always among them, and how many words among the samples make a
+# key telling: a walk that hardly moves writes one common word again and again, and its window is left to other repetitions.
+SAMPLES, REACH = 6, 24
 TELLING = 4
-REACH = SAMPLED[-1] + 1
 TARGET_RECALL = 0.995
 MOST_REPEATS = 48
 # One pass over the documents holds so many items, of so many bytes.
-BLOCK_ITEMS, BLOCK_BYTES = 2000, 1 << 24
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 1 << 26
+# A filter has so many bits, or more: about thirty for every key.
 FILTER_BITS = 20
 HIT_TYPE = "array<struct<item_id: bigint, distance: int, n_words: int, first_word: int, end_word: int>>"
 
@@ -59,32 +61,39 @@ def step_bits(hashes: np.ndarray, repeat: int) -> np.ndarray:
     return mix(hashes ^ np.uint64((repeat + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
 
 
+def sampled_steps(repeat: int) -> list[int]:
+    """The steps whose words a repetition compares."""
+    return [0, *sorted(random.Random(repeat).sample(range(1, REACH), SAMPLES - 1))]
+
+
 def lookup_filter(keys: np.ndarray) -> np.ndarray:
     """A bit table that says no to most keys that are not among `keys`."""
-    table = np.zeros(1 << FILTER_BITS, bool)
-    table[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+    bits = max(FILTER_BITS, int(32 * max(len(keys), 1)).bit_length())
+    table = np.zeros(1 << bits, bool)
+    table[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
     return table
 
 
 def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return table[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+    return table[(keys >> np.uint64(65 - len(table).bit_length())).astype(np.int64)]
 
 
-def walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, filters: list[np.ndarray] | None) -> tuple[list[np.ndarray], np.ndarray]:
+def walk(
+    hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, steps: list[int], filters: list[np.ndarray] | None
+) -> tuple[list[np.ndarray], np.ndarray]:
     """Keys of the walks from `at` after each sample, and their starts; with `filters`, of the walks that pass them all.
 
     Walks that leave the sequence are dropped.
     """
-    start, key, keys, sample = at, np.zeros(len(at), np.uint64), [], 0
-    for step in range(REACH):
-        if step in SAMPLED:
+    start, key, keys = at, np.zeros(len(at), np.uint64), []
+    for step in range(steps[-1] + 1):
+        if step in steps:
             key = mix(key * np.uint64(31) + hashes[at])
             if filters is not None:
-                kept = may_hold(filters[sample], key)
+                kept = may_hold(filters[len(keys)], key)
                 start, at, key = start[kept], at[kept], key[kept]
             keys.append(key)
-            sample += 1
-        if step + 1 < REACH:
+        if step < steps[-1]:
             at = at + ((bits[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
             inside = at < len(hashes)
             if not inside.all():
@@ -95,8 +104,9 @@ def walk(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, filters: list[np.
 
 @dataclass
 class Repeat:
-    """One repetition: filters per sample, and the items' keys in order with their item and start."""
+    """One repetition: sampled steps, filters per sample, and the items' keys in order with their item and start."""
 
+    steps: list[int]
     filters: list[np.ndarray]
     keys: np.ndarray
     item: np.ndarray
@@ -108,45 +118,59 @@ class Index:
     ids: list[int]
     words: list[np.ndarray]
     repeats: list[Repeat] = field(default_factory=list)
-    # Per width of a short item: hashes of such items in order, and the items.
-    short: list[tuple[int, np.ndarray, np.ndarray]] = field(default_factory=list)
+    # Per width of a piece: hashes of such pieces in order, with their item and first word.
+    pieces: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    # Share of edited copies that the walks alone find.
     recall: float = 1.0
 
 
 def build_index(items: list[tuple[int, str]], rate: float = RATE, target: float = TARGET_RECALL) -> Index:
     index = Index([i for i, _ in items], word_hashes([t for _, t in items]))
-    plain = [i for i, w in enumerate(index.words) if len(w) and not _walkable(w)]
-    for width in sorted({len(index.words[i]) for i in plain}):
-        chosen = np.array([i for i in plain if len(index.words[i]) == width])
-        hashes = np.array([window_hashes(index.words[i], width)[0] for i in chosen], np.uint64)
-        order = np.argsort(hashes, kind="stable")
-        index.short.append((width, hashes[order], chosen[order]))
     longer = [i for i, w in enumerate(index.words) if _walkable(w)]
     trials = _edited_copies(index, longer, rate)
     missed = trials
     while longer and len(missed) > (1 - target) * len(trials):
         if len(index.repeats) == MOST_REPEATS:
-            warnings.warn(f"recall {1 - len(missed) / len(trials):.3f} after {MOST_REPEATS} repetitions", stacklevel=2)
             break
         repeat = _repeat(index, longer, len(index.repeats))
         index.repeats.append(repeat)
         missed = [(i, copy) for i, copy in missed if not _finds(repeat, len(index.repeats) - 1, i, copy)]
     index.recall = 1 - len(missed) / len(trials) if trials else 1.0
+    sure = set(longer) if index.recall >= target else set()
+    index.pieces = _pieces(index, [i for i, w in enumerate(index.words) if len(w) and i not in sure], rate)
     return index
 
 
+def _pieces(index: Index, chosen: list[int], rate: float) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """The items cut into one piece more than they may have edits: at least one of them stands unedited in any hit."""
+    by_width: dict[int, list[tuple[int, int, int]]] = {}
+    for i in chosen:
+        words = index.words[i]
+        count = int(rate * len(words)) + 1
+        borders = [len(words) * p // count for p in range(count + 1)]
+        for a, b in zip(borders, borders[1:]):
+            by_width.setdefault(b - a, []).append((int(window_hashes(words[a:b], b - a)[0]), i, a))
+    out = []
+    for width, rows in sorted(by_width.items()):
+        rows.sort()
+        hashes, item, offset = zip(*rows)
+        out.append((width, np.array(hashes, np.uint64), np.array(item), np.array(offset)))
+    return out
+
+
 def _walkable(words: np.ndarray) -> bool:
     return len(np.unique(words)) >= SHORT
 
 
 def _repeat(index: Index, chosen: list[int], number: int) -> Repeat:
-    levels: list[list[np.ndarray]] = [[] for _ in SAMPLED]
+    steps = sampled_steps(number)
+    levels: list[list[np.ndarray]] = [[] for _ in steps]
     item, offset = [], []
     for i in chosen:
         words = index.words[i]
         bits = step_bits(words, number)
-        keys, start = walk(words, bits, np.arange(len(words)), None)
-        telling = _sampled_words(words, bits, start) >= TELLING
+        keys, start = walk(words, bits, np.arange(len(words)), steps, None)
+        telling = _sampled_words(words, bits, start, steps) >= TELLING
         for level, part in zip(levels, keys):
             level.append(part[telling])
         item.append(np.full(int(telling.sum()), i))
@@ -154,16 +178,16 @@ def _repeat(index: Index, chosen: list[int], number: int) -> Repeat:
     flat = [np.concatenate(level) for level in levels]
     order = np.argsort(flat[-1], kind="stable")
     filters = [lookup_filter(level) for level in flat]
-    return Repeat(filters, flat[-1][order], np.concatenate(item)[order], np.concatenate(offset)[order])
+    return Repeat(steps, filters, flat[-1][order], np.concatenate(item)[order], np.concatenate(offset)[order])
 
 
-def _sampled_words(words: np.ndarray, bits: np.ndarray, start: np.ndarray) -> np.ndarray:
+def _sampled_words(words: np.ndarray, bits: np.ndarray, start: np.ndarray, steps: list[int]) -> np.ndarray:
     """How many different words each walk writes at the sampled steps."""
     at, seen = start, []
-    for step in range(REACH):
-        if step in SAMPLED:
+    for step in range(steps[-1] + 1):
+        if step in steps:
             seen.append(words[at])
-        if step + 1 < REACH:
+        if step < steps[-1]:
             at = at + ((bits[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
     ordered = np.sort(np.stack(seen), axis=0)
     return 1 + (ordered[1:] != ordered[:-1]).sum(axis=0)
@@ -192,7 +216,7 @@ def _edited_copies(index: Index, chosen: list[int], rate: float, most: int = 64)
 
 
 def _finds(repeat: Repeat, number: int, item: int, copy: np.ndarray) -> bool:
-    keys, _ = walk(copy, step_bits(copy, number), np.arange(len(copy)), repeat.filters)
+    keys, _ = walk(copy, step_bits(copy, number), np.arange(len(copy)), repeat.steps, repeat.filters)
     low = np.searchsorted(repeat.keys, keys[-1], "left")
     high = np.searchsorted(repeat.keys, keys[-1], "right")
     return any(item in repeat.item[a:b] for a, b in zip(low, high))
@@ -204,12 +228,12 @@ def candidates(index: Index, hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     found = []
     for number, repeat in enumerate(index.repeats):
         bits = step_bits(hashes, number)
-        keys, start = walk(hashes, bits, np.arange(len(hashes)), repeat.filters)
+        keys, start = walk(hashes, bits, np.arange(len(hashes)), repeat.steps, repeat.filters)
         found.append(_looked_up(keys[-1], start, repeat.keys, repeat.item, repeat.offset, row, first))
-    for width, keys, item in index.short:
+    for width, keys, item, offset in index.pieces:
         windows = window_hashes(hashes, width)
         start = np.flatnonzero(np.isin(windows, keys))
-        found.append(_looked_up(windows[start], start, keys, item, np.zeros(len(item), np.int64), row, first))
+        found.append(_looked_up(windows[start], start, keys, item, offset, row, first))
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
@@ -242,10 +266,9 @@ def hits(index: Index, texts: pa.Array, rate: float = RATE) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in range(len(texts))]
     verified: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
     listed = [w.tolist() for w in index.words]
-    exact = {int(i) for _, _, items in index.short for i in items}
     for row, item, begin in candidates(index, words.hash, words.row).tolist():
         wanted, own = index.words[item], words.hash[words.of(row)]
-        most = int(rate * len(wanted)) if item not in exact else 0
+        most = int(rate * len(wanted))
         low = max(0, begin - most)
         region = own[low : max(0, begin + len(wanted) + most)]
         # Fewer words in common than the distance allows: no alignment can be near.
