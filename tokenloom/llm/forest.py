@@ -41,7 +41,7 @@ DEEPEST = 8
 TARGET_RECALL = 0.9995
 # The shortest prefix that is matched, and the classes that a node of less than the target's depth may hold.
 SHORTEST = 2
-FEW = 16
+FEW = 4
 # Classes of one prefix that a cell takes from either of its blocks.
 BLOCK = 256
 # Shingles whose hash values are held at a time, and entries of an intersection's incidence matrix.
@@ -157,7 +157,7 @@ class Join:
             # Labels in order share a prefix exactly where they share its hash: a node is a group.
             keyed = left.withColumn("node", F.get("label", F.lit(level)))
             sizes = written(keyed.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "nodes")
-            met = written(keyed.join(sizes, ["tree", "node"]), "met")
+            met = written(keyed.join(sizes.hint("merge"), ["tree", "node"]), "met")
             depth = F.lit(self.depth - levels + level + 1).alias("depth")
             done = met if level == levels - 1 else met.where(F.col("n") <= FEW)
             found.append(done.select("set", "tree", "node", depth, "n"))
@@ -184,8 +184,9 @@ class Join:
             .withColumn("high", F.greatest("block", "other"))
             .select("set", "tree", "block", "low", "high", F.xxhash64("tree", "node", "low", "high").alias("cell"))
         )
-        slim = self.classes.select("set", "members", "first.row_1", "first.row_2").join(placed_in, "set")
-        pairs = placed.join(slim.select("set", "members", "prefixes", "row_1", "row_2"), "set").repartition("cell").sortWithinPartitions("cell")
+        # Both sides grow with the corpus: merged at every size, never held in an executor's memory.
+        slim = self.classes.select("set", "members", "first.row_1", "first.row_2").join(placed_in.hint("merge"), "set")
+        pairs = placed.join(slim.select("set", "members", "prefixes", "row_1", "row_2").hint("merge"), "set").repartition("cell").sortWithinPartitions("cell")
         return pairs.mapInArrow(_needed, pairs.schema)
 
     def _verified(self, keyed: DataFrame, cells: DataFrame) -> DataFrame:
