@@ -51,8 +51,9 @@ def pack_chunks(offsets: DataFrame, block: int, run: int = 1) -> DataFrame:
     if run > 1:
         # The grouping keys contain the shuffle keys, so the grouping adds no second shuffle.
         pieces = pieces.withColumn("run", F.expr(f"chunk_id div {run}"))
-        partitions = int(offsets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pieces = pieces.repartition(partitions, "split", "run")
+        # About one partition per run, whatever the session's default is: a task gathers the tokens of a file or two.
+        sums = offsets.agg(F.coalesce(F.sum(F.col("len").cast("long")), F.lit(0)).alias("n"), F.count_distinct("split").alias("splits")).first()
+        pieces = pieces.repartition(sums["n"] // (block * run) + sums["splits"] + 1, "split", "run")
         keys = ["split", "run", "chunk_id"]
     gathered = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("first", "piece"))).alias("p"))
     chunks = gathered.select("split", "chunk_id", F.flatten(F.transform("p", lambda s: s["piece"])).alias("tokens"))
