@@ -19,12 +19,16 @@ from tokenloom.sources import metadata as meta
 from tokenloom.sources.documents import clean, write_corpus_text
 from tokenloom.sources.textrange import read_text_ranges
 from tokenloom.sources.tokenbin import read_tokens, read_windows, write_tokens
+from tokenloom.streaming.encode import document_stream
+from tokenloom.streaming.tokens import read_token_stream, write_char_stream
 
 BLOCK = 256
 BATCH = 4
 ACCUMULATION = 4
 RANKS = 2
 # Files of 128 MB of 16-bit ids.
+# Share of a stream's documents that are held out, by their keys.
+STREAM_FRACTION = 0.1
 # Bytes of a range and of a piece of a text file.
 RANGE_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
 CHUNKS_PER_FILE = (128 << 20) // (2 * BLOCK)
@@ -76,6 +80,17 @@ def file_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return sequential_store(spark, read_text_ranges(spark, folder, RANGE_BYTES, PIECE_BYTES))
 
 
+def stream_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as a stream, appended to a token dataset by one run over what is there."""
+    target = scratch_path(spark, "stream")
+    ids = collect_ids(char_vocab(clean(documents(spark, sf))))
+    # A pattern, as a stream's plain path must be a folder and the table may be one file.
+    docs = document_stream(spark, f"{sf}/documents.parque[t]")
+    run = write_char_stream(docs, ids, len(ids), target, BLOCK, STREAM_FRACTION).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return summary(read_token_stream(spark, target, BLOCK))
+
+
 def epoch_blocks(spark: SparkSession, sf: str) -> DataFrame:
     blocks = packing.epoch_blocks(chunks_of(spark, sf)[0], BLOCK)
     return blocks.select(
@@ -153,6 +168,7 @@ QUERIES = {
     "token_store": token_store,
     "sequential_tokens": sequential_tokens,
     "file_tokens": file_tokens,
+    "stream_tokens": stream_tokens,
     "epoch_blocks": epoch_blocks,
     "batch_plan": batch_plan,
     "window_batches": window_batches,
@@ -206,6 +222,11 @@ ORACLE = {
     "stored_range": f"""WITH {S.TOKEN_STREAM}, lens AS (SELECT count(*) AS n FROM stream WHERE split = 'train'),
         chunks AS ({CHUNKS})
         SELECT chunks.* FROM chunks, lens WHERE split = 'train' AND chunk_id >= n // {BLOCK} // 2""",
+    "stream_tokens": f"""WITH {S.TOKENS}, splits AS (
+            SELECT doc_id, k, CASE WHEN ('0x' || substr(k, 1, 15))::BIGINT / 1152921504606846976.0::DOUBLE < {STREAM_FRACTION}::DOUBLE
+                                   THEN 'val' ELSE 'train' END AS split
+            FROM (SELECT doc_id, md5('2357:' || doc_id) AS k FROM documents)), {S.STREAM}
+        {CHUNKS}""",
     "epoch_blocks": f"""WITH {S.TOKEN_STREAM}
         SELECT split, g // {BLOCK} AS chunk_id, arg_min(id, g)::INTEGER AS first_id, arg_max(id, g)::INTEGER AS last_id
         FROM stream GROUP BY split, g // {BLOCK} HAVING count(*) = {BLOCK}""",
