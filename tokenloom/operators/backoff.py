@@ -20,7 +20,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from tokenloom.functions.keys import order_key, uniform
 from tokenloom.functions.lookup import ID_LIMIT
-from tokenloom.operators.joins import lookup_join
+from tokenloom.operators.joins import fits_broadcast, lookup_join
 from tokenloom.operators.sampling import SAMPLE_SEED
 from tokenloom.session import cut_lineage
 
@@ -118,15 +118,20 @@ def train_trie(counts: DataFrame, vocab_size: int, least: int = LEAST) -> Trie:
     return Trie(tokens, followers, contexts, sizes, total, vocab_size)
 
 
-def with_probability(rows: DataFrame, trie: Trie, spread_by: str) -> DataFrame:
-    """Adds `p` of `next` after the context, and `matched`, the length of the longest context that the trie holds."""
+def with_probability(rows: DataFrame, trie: Trie, spread_by: str, most_values: int | None = None) -> DataFrame:
+    """Adds `p` of `next` after the context, and `matched`, the length of the longest context that the trie holds.
+
+    Rows that meet a level of more than `most_values` values are written first, as each such level counts its heavy keys.
+    """
+    if not fits_broadcast(max(n for size in trie.sizes for n in size), most_values):
+        rows = cut_lineage(rows)
     joined = rows.join(F.broadcast(trie.tokens), "next", "left")
     p = (F.coalesce("token_cnt", F.lit(0)) + 1.0) / F.lit(float(trie.total + trie.vocab_size))
     joined = joined.withColumn("p", p).withColumn("matched", F.lit(0)).drop("token_cnt")
     for k in range(1, ORDER + 1):
         keys = CONTEXT[:k]
-        joined = lookup_join(joined, trie.contexts[k - 1], keys, trie.sizes[k - 1][1], spread_by)
-        joined = lookup_join(joined, trie.followers[k - 1], [*keys, "next"], trie.sizes[k - 1][0], spread_by)
+        joined = lookup_join(joined, trie.contexts[k - 1], keys, trie.sizes[k - 1][1], spread_by, rows, most_values)
+        joined = lookup_join(joined, trie.followers[k - 1], [*keys, "next"], trie.sizes[k - 1][0], spread_by, rows, most_values)
         mixed = (F.coalesce("_cnt", F.lit(0)) + F.col("kinds") * F.col("p")) / (F.col("total") + F.col("kinds"))
         joined = (
             joined.withColumn("p", F.when(F.col("total").isNull(), F.col("p")).otherwise(mixed))
@@ -136,9 +141,9 @@ def with_probability(rows: DataFrame, trie: Trie, spread_by: str) -> DataFrame:
     return joined
 
 
-def cross_entropy(counts: DataFrame, trie: Trie, by: str) -> DataFrame:
+def cross_entropy(counts: DataFrame, trie: Trie, by: str, most_values: int | None = None) -> DataFrame:
     """Mean loss and perplexity per group of counted runs."""
-    scored = with_probability(counts, trie, by)
+    scored = with_probability(counts, trie, by, most_values)
     mean = F.sum(-F.log("p") * F.col("cnt")) / F.sum("cnt")
     return scored.groupBy(by).agg(F.sum("cnt").alias("tokens"), mean.alias("loss"), F.exp(mean).alias("perplexity"))
 

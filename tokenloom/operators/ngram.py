@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.arrays import next_token_pairs
 from tokenloom.functions.lookup import ID_LIMIT
-from tokenloom.operators.joins import BROADCAST_VALUES, lookup_join
+from tokenloom.operators.joins import BROADCAST_VALUES, fits_broadcast, lookup_join
 from tokenloom.session import cut_lineage
 
 # Share of the pair estimate; the rest is the add-one estimate of the single token.
@@ -53,12 +53,17 @@ def train_ngram(counts: DataFrame, vocab_size: int) -> NgramModel:
     return NgramModel(pairs, contexts, tokens, total, vocab_size)
 
 
-def with_probability(rows: DataFrame, model: NgramModel, spread_by: str) -> DataFrame:
-    """Adds `p` of `next` after `prev` to rows with distinct `(spread_by, prev, next)`."""
+def with_probability(rows: DataFrame, model: NgramModel, spread_by: str, most_values: int | None = None) -> DataFrame:
+    """Adds `p` of `next` after `prev` to rows with distinct `(spread_by, prev, next)`.
+
+    Rows that meet a model of more than `most_values` pairs are written first: their heavy pairs are counted, then joined.
+    """
     size = model.pairs.count()
+    if not fits_broadcast(size, most_values):
+        rows = cut_lineage(rows)
     known = model.pairs.withColumnRenamed("cnt", "pair_cnt")
     joined = (
-        lookup_join(rows, known, ["prev", "next"], size, spread_by)
+        lookup_join(rows, known, ["prev", "next"], size, spread_by, most_values=most_values)
         .join(F.broadcast(model.contexts), "prev", "left")
         .join(F.broadcast(model.tokens), "next", "left")
     )
@@ -124,17 +129,22 @@ def loss_of_ids(model: NgramModel, eos_id: int):
 
 
 def document_losses(
-    encoded: DataFrame, model: NgramModel, eos_id: int, *keep: str, most_pairs: int = BROADCAST_VALUES // 2
+    encoded: DataFrame,
+    model: NgramModel,
+    eos_id: int,
+    *keep: str,
+    most_pairs: int = BROADCAST_VALUES // 2,
+    most_values: int | None = None,
 ) -> DataFrame:
     """Mean loss of every non-empty document.
 
     A model of at most `most_pairs` pairs (counted) travels to the documents, which are folded where they stand, without
-    a shuffle. Beyond that, pairs are counted per document and joined.
+    a shuffle. Beyond that, pairs are counted per document and joined, beyond `most_values` with heavy pairs spread.
     """
     if model.pairs.count() <= most_pairs:
         folded = encoded.select("doc_id", *keep, loss_of_ids(model, eos_id)(F.col("ids")).alias("loss"))
         return folded.where(F.col("loss").isNotNull())
-    scored = with_probability(pair_counts(encoded, eos_id, "doc_id", *keep), model, "doc_id")
+    scored = with_probability(pair_counts(encoded, eos_id, "doc_id", *keep), model, "doc_id", most_values)
     mean = F.sum(-F.log("p") * F.col("cnt")) / F.sum("cnt")
     return scored.groupBy("doc_id", *keep).agg(mean.alias("loss"))
 

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from tokenloom.functions.arrays import crop_context
 from tokenloom.functions.keys import order_key, uniform
 from tokenloom.functions.lookup import constant_array, count_at_most
-from tokenloom.operators.joins import lookup_join
+from tokenloom.operators.joins import fits_broadcast, lookup_join
 from tokenloom.operators.ngram import PAIR_WEIGHT, NgramModel
 from tokenloom.session import cut_lineage
 
@@ -163,18 +163,22 @@ def generate(
 ) -> DataFrame:
     """`generated` ids after `steps` draws for all fanned-out prompts at once.
 
-    The prompt itself is cropped to the context once; the pair model needs only its last id.
+    The prompt itself is cropped to the context once; the pair model needs only its last id. Beyond a broadcast sampler
+    every step is written, as its heavy contexts are counted before they are joined.
     """
     state = prompts.withColumn("context", F.element_at(crop_context(F.col("ids"), block), -1)).withColumn(
         "generated", F.array().cast("array<int>")
     )
     slim = state.select(key, "sample", "context", "generated")
+    steps_per_cut = STEPS_PER_CUT
+    if not fits_broadcast(sampler.values):
+        slim, steps_per_cut = cut_lineage(slim), 1
     for step in range(steps):
         drawn = draw_next(slim, sampler, key, step, seed)
         slim = drawn.select(
             key, "sample", F.col("token").alias("context"), F.array_append("generated", F.col("token")).alias("generated")
         )
-        if (step + 1) % STEPS_PER_CUT == 0 and step + 1 < steps:
+        if (step + 1) % steps_per_cut == 0 and step + 1 < steps:
             slim = cut_lineage(slim)
     return slim.select(key, "sample", "generated")
 

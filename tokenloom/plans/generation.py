@@ -119,9 +119,9 @@ def trained_trie(data: Corpus) -> tuple[DataFrame, backoff.Trie]:
     return counts, backoff.train_trie(counts.where(F.col("split") == "train"), data.size)
 
 
-def backoff_entropy(data: Corpus) -> DataFrame:
+def backoff_entropy(data: Corpus, **limits: int) -> DataFrame:
     counts, trie = trained_trie(data)
-    return backoff.cross_entropy(counts, trie, "split").select(
+    return backoff.cross_entropy(counts, trie, "split", **limits).select(
         "split", "tokens", F.round("loss", 9).alias("loss"), F.round("perplexity", 6).alias("perplexity")
     )
 
@@ -216,6 +216,8 @@ QUERIES = {
     "cross_entropy": lambda spark, sf: split_entropy(corpus(spark, sf)),
     "eval_loss": lambda spark, sf: drawn_loss(corpus(spark, sf)),
     "loss_bands": lambda spark, sf: banded_losses(corpus(spark, sf)),
+    # The side of models beyond a broadcast: heavy keys are spread, the rest is joined plainly.
+    "loss_bands_spread": lambda spark, sf: banded_losses(corpus(spark, sf), most_pairs=0, most_values=0),
     "bpe_cross_entropy": lambda spark, sf: split_entropy(subword_corpus(spark, sf)),
     "bpe_eval_loss": lambda spark, sf: drawn_loss(subword_corpus(spark, sf)),
     "bpe_loss_bands": lambda spark, sf: banded_losses(subword_corpus(spark, sf)),
@@ -223,6 +225,7 @@ QUERIES = {
     "bpe_loss_bands_joined": lambda spark, sf: banded_losses(subword_corpus(spark, sf), most_pairs=0),
     "bpe_generate": bpe_generate,
     "backoff_entropy": lambda spark, sf: backoff_entropy(corpus(spark, sf)),
+    "backoff_entropy_spread": lambda spark, sf: backoff_entropy(corpus(spark, sf), most_values=0),
     "bpe_backoff_entropy": lambda spark, sf: backoff_entropy(subword_corpus(spark, sf)),
     "backoff_next": backoff_next,
     "topk_softmax": topk_softmax,
@@ -375,11 +378,14 @@ def mixed_sql(rows: str) -> str:
     return out
 
 
+BACKOFF_ENTROPY = f"""WITH {trie_sql(DOC_IDS)}
+    SELECT split, sum(cnt)::BIGINT AS tokens, round(sum(-ln(p) * cnt) / sum(cnt), 9) AS loss,
+           round(exp(sum(-ln(p) * cnt) / sum(cnt)), 6) AS perplexity
+    FROM ({mixed_sql("runs")}) GROUP BY split"""
+
 ORACLE = {
-    "backoff_entropy": f"""WITH {trie_sql(DOC_IDS)}
-        SELECT split, sum(cnt)::BIGINT AS tokens, round(sum(-ln(p) * cnt) / sum(cnt), 9) AS loss,
-               round(exp(sum(-ln(p) * cnt) / sum(cnt)), 6) AS perplexity
-        FROM ({mixed_sql("runs")}) GROUP BY split""",
+    "backoff_entropy": BACKOFF_ENTROPY,
+    "backoff_entropy_spread": BACKOFF_ENTROPY,
     "backoff_next": f"""WITH {trie_sql(DOC_IDS)}, {TURN_IDS},
         starts AS (
             SELECT conv_id, turn, conv_id || '-' || turn AS prompt_id, unnest(range({SAMPLES})) AS sample,
@@ -404,6 +410,7 @@ ORACLE = {
     "cross_entropy": entropy_sql(MODEL),
     "eval_loss": eval_sql(MODEL),
     "loss_bands": bands_sql(MODEL),
+    "loss_bands_spread": bands_sql(MODEL),
     "bigram_model": f"""WITH {MODEL}
         SELECT prev::INTEGER AS prev, next::INTEGER AS next, cnt, round(p, 12) AS p FROM dense JOIN bi USING (prev, next)""",
     "topk_softmax": f"""WITH {PROBS}
