@@ -35,6 +35,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
 
+def reach(cosine: float) -> float:
+    """The distance of unit vectors with that cosine, and what rounding may add."""
+    return float(np.sqrt(2.0 - 2.0 * cosine)) + SLACK
+
+
 def build(vectors: np.ndarray) -> Node:
     """The tree of unit vectors, at least one."""
     points = np.arange(len(vectors))
@@ -68,7 +73,7 @@ def _split(vectors: np.ndarray, node: Node, level: float) -> Node:
 
 def near_pairs(a: np.ndarray, tree_a: Node, b: np.ndarray, tree_b: Node, cosine: float, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of all pairs with at least `cosine`; for a tree with `itself`, each pair once and no point with itself."""
-    within = float(np.sqrt(2.0 - 2.0 * cosine)) + SLACK
+    within = reach(cosine)
     stack = [(tree_a, tree_b)]
     while stack:
         u, v = stack.pop()
@@ -110,6 +115,6 @@ def near_pairs(a: np.ndarray, tree_a: Node, b: np.ndarray, tree_b: Node, cosine:
 
 def near_cells(centres: np.ndarray, radii: np.ndarray, cosine: float) -> list[tuple[int, int]]:
     """Pairs of cells (a <= b) that may hold a pair: the same bound on the cells' own radii."""
-    within = float(np.sqrt(2.0 - 2.0 * cosine)) + SLACK
+    within = reach(cosine)
     near = distances(centres, centres) <= radii[:, None] + radii[None, :] + within
     return [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(near)))]

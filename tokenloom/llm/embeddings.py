@@ -1,8 +1,11 @@
 """Embedding near-duplicates: exact pairs of a label above a cosine, by cover trees.
 
 1. Equal vectors of a label form a class; below, a class is one vector with a number of members.
-2. The upper level of the tree: a large label is divided among centres, each vector goes to its nearest one, and
-   pairs of cells are left out by their covering radii.
+2. The upper levels of the tree: a large label is divided among centres, each vector goes to its nearest one, and
+   pairs of cells are left out by their covering radii. Radii halve from level to level: a cell of more than `SPLIT` blocks
+   that is wider than a level's radius is divided among centres of its own, its vectors descend, and of the near pairs of
+   cells only the near pairs of their children are followed. Each level's vectors, cells and pairs are written tables, and the
+   levels end where a radius falls below half the distance sought, whatever the size of the data.
 3. A cell, or a block of a large one, is a task's tree; the dual traversal of two trees finds the exact pairs.
    A task returns per class the number of its links and one neighbour of a spanning star, never the pairs.
 4. Components of the stars give `component_id`.
@@ -20,24 +23,33 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tokenloom.llm.components import components
-from tokenloom.llm.covertree import build, distances, near_cells, near_pairs
+from tokenloom.llm.covertree import WIDEST, build, distances, near_cells, near_pairs, reach
 from tokenloom.llm.groups import whole_groups
 from tokenloom.llm.storage import written
 
 COSINE = 0.98
 # Vectors of a cell, or of a block of one, that a task takes from either side.
 BLOCK = 2048
-# Most centres of all labels together; they and the list of cell pairs go to every task.
+# Most centres of the first level, of all labels together; they go to every task.
 CENTRES = 512
+# Blocks of a cell beyond which it is divided, and the most children of a cell.
+SPLIT = 8
+FAN = 16
+# Vectors of a cell that descend in one task, on average.
+PIECE = 8192
+# Stands for the child of a vector that has none yet, after those of all centres.
+VECTOR = (1 << 31) - 1
 # Vectors per centre, on average, among which the centres of a label are chosen.
 CHOICES = 8
 
 # The label keeps its own type.
-CELL_TYPE = "`class` binary, label {label}, size int, vector binary, cell int, away double, members long"
+CELL_TYPE = "`class` binary, label {label}, size int, vector binary, cell long, away double, members long"
+PAIR_TYPE = "label {label}, size int, low long, high long, low_blocks int, high_blocks int"
+CELL = ["label", "size", "cell"]
 UNIT_TYPE = "id long, label {label}, vector binary, size int, `class` binary"
 
 
@@ -78,7 +90,7 @@ class Cells:
         sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n"))
         total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
         self.block = BLOCK
-        # Vectors a centre stands for: at most CENTRES groups have more. Cells grow with the input and are cut into more blocks.
+        # Vectors a centre of the first level stands for: at most CENTRES groups have more.
         share = max(BLOCK, -(-total // CENTRES))
         large = sizes.where(F.col("n") > share)
         wanted = F.ceil(F.col("n") / share).cast("int")
@@ -95,15 +107,26 @@ class Cells:
         for key in dict.fromkeys((r["label"], r["size"]) for r in choices):
             own = [r for r in choices if (r["label"], r["size"]) == key]
             self.centres[key] = _spread(np.stack([np.frombuffer(r["vector"]) for r in own]), own[0]["wanted"])
-        self.placed = written(classes.mapInArrow(_placer(self.centres), CELL_TYPE.format(label=label_type(classes))), "cells")
+        label = label_type(classes)
+        self.placed = written(classes.mapInArrow(_placer(self.centres), CELL_TYPE.format(label=label)), "cells")
+        rows = [Row(label=k[0], size=k[1], cell=i, centre=c.tobytes()) for k, cs in self.centres.items() for i, c in enumerate(cs)]
+        named = classes.sparkSession.createDataFrame(rows, f"label {label}, size int, cell long, centre binary")
+        counted = self.placed.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
+        # At most CENTRES rows on the right. A cell without a centre is a whole label.
+        self.cells = written(counted.join(F.broadcast(named), CELL, "left"), "cell-sizes")
         self.pairs = self._near(cosine)
+        level = WIDEST / 2
+        while level >= reach(cosine) / 2:
+            self._descend(level, cosine)
+            level /= 2
+
+    def _blocks(self) -> Column:
+        return F.ceil(F.col("n") / self.block).cast("int")
 
     def _near(self, cosine: float) -> DataFrame:
         """(`label`, `size`, `low`, `high`, `low_blocks`, `high_blocks`) of the cell pairs; a small label is one cell."""
-        spark = self.placed.sparkSession
-        cells = self.placed.groupBy("label", "size", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
-        blocks = F.ceil(F.col("n") / self.block).cast("int").alias("blocks")
-        known = [r for r in cells.where("cell >= 0").select("label", "size", "cell", blocks, "radius").collect()]
+        blocks = self._blocks().alias("blocks")
+        known = self.cells.where("cell >= 0").select(*CELL, blocks, "radius").collect()
         rows = []
         for key, centres in self.centres.items():
             own = {r["cell"]: r for r in known if (r["label"], r["size"]) == key}
@@ -111,12 +134,113 @@ class Cells:
             for i, j in near_cells(centres[names], np.array([own[c]["radius"] for c in names]), cosine):
                 a, b = own[names[i]], own[names[j]]
                 rows.append(Row(label=key[0], size=key[1], low=a["cell"], high=b["cell"], low_blocks=a["blocks"], high_blocks=b["blocks"]))
-        listed = spark.createDataFrame(rows, f"label {label_type(self.placed)}, size int, low int, high int, low_blocks int, high_blocks int")
-        small = cells.where("cell < 0").select(
+        listed = self.placed.sparkSession.createDataFrame(rows, PAIR_TYPE.format(label=label_type(self.placed)))
+        small = self.cells.where("cell < 0").select(
             "label", "size", F.col("cell").alias("low"), F.col("cell").alias("high"), blocks.alias("low_blocks"), blocks.alias("high_blocks")
         )
         return written(listed.unionAll(small), "cell-pairs")
 
+    def _descend(self, level: float, cosine: float) -> None:
+        """Divides the large cells that are wider than `level`; afterwards the pairs are those of the new cells."""
+        large = self.cells.where((F.col("n") > SPLIT * self.block) & (F.col("radius") > level))
+        if large.isEmpty():
+            return
+        wanted = F.least(F.lit(FAN), self._blocks()).alias("wanted")
+        large = written(large.select(*CELL, "n", wanted, F.ceil(F.col("n") / PIECE).cast("int").alias("pieces")), "large-cells")
+        inside = self.placed.join(large, CELL)
+        draw = F.shiftrightunsigned(F.xxhash64("class", F.lit(level)), 11) / F.lit(2.0**53)
+        choices = inside.where(draw < CHOICES * F.col("wanted") / F.col("n")).select(*CELL, "wanted", "class", "vector")
+        grouped = choices.withColumn("task", F.xxhash64(*CELL)).repartition("task").sortWithinPartitions("task", "class")
+        label = label_type(self.placed)
+        centres = written(grouped.mapInArrow(_centres, f"label {label}, size int, cell long, child int, centre binary"), "centres")
+        # A task's centres come before its vectors.
+        sent = centres.join(large, CELL).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        task = F.xxhash64(*CELL, "piece").alias("task")
+        first = sent.select(task, "child", F.lit(b"").alias("class"), "label", "size", F.col("centre").alias("vector"), "cell", F.lit(0.0).alias("away"), F.lit(0).cast("long").alias("members"))
+        falling = inside.withColumn("piece", F.pmod(F.xxhash64("class"), F.col("pieces")).cast("int"))
+        rest = falling.select(task, F.lit(VECTOR).alias("child"), "class", "label", "size", "vector", "cell", "away", "members")
+        tasks = first.unionAll(rest).repartition("task").sortWithinPartitions("task", "child")
+        moved = written(tasks.mapInArrow(_fallen, f"{CELL_TYPE.format(label=label)}, child int"), "fallen")
+        name = F.when(F.col("child") < 0, F.col("cell")).otherwise(F.xxhash64(*CELL, "child"))
+        fallen = moved.withColumn("parent", F.col("cell")).withColumn("cell", name)
+        kept = self.placed.join(large, CELL, "left_anti")
+        self.placed = written(fallen.select(*kept.columns).unionAll(kept), "cells")
+        sizes = fallen.groupBy(*CELL, "parent").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
+        named = centres.select("label", "size", F.xxhash64(*CELL, "child").alias("cell"), "centre")
+        born = sizes.join(named, CELL, "left").select(*CELL, "n", "radius", "centre", "parent")
+        whole = self.cells.join(large, CELL, "left_anti").select(*CELL, "n", "radius", "centre", F.col("cell").alias("parent"))
+        family = written(born.unionAll(whole), "cell-sizes")
+        self.pairs = self._followed(family, cosine)
+        self.cells = family.drop("parent")
+
+    def _followed(self, family: DataFrame, cosine: float) -> DataFrame:
+        """The near pairs of the children of near cells: of the lower cell's with the higher cell, then with its children."""
+        ends = [F.col("cell"), self._blocks().alias("blocks"), "radius", "centre"]
+        label = label_type(self.placed)
+        old = self.cells.select("label", "size", F.col("cell").alias("high"), F.struct(*ends).alias("b"))
+        child = family.select("label", "size", F.col("parent"), F.struct(*ends).alias("end"))
+        low = child.withColumnsRenamed({"parent": "low", "end": "a"})
+        high = child.withColumnsRenamed({"parent": "high", "end": "b"})
+        slim = self.pairs.select("label", "size", "low", "high")
+        near = _near_ends(reach(cosine))
+        half = slim.join(low, ["label", "size", "low"]).join(old, ["label", "size", "high"])
+        half = written(half.mapInArrow(near, half.schema), "half-pairs").drop("b")
+        both = half.join(high, ["label", "size", "high"]).where((F.col("low") != F.col("high")) | (F.col("a.cell") <= F.col("b.cell")))
+        found = both.mapInArrow(near, both.schema)
+        return written(
+            found.select("label", "size", *[F.col(c).alias(n) for c, n in (("a.cell", "low"), ("b.cell", "high"), ("a.blocks", "low_blocks"), ("b.blocks", "high_blocks"))]),
+            "cell-pairs",
+        )
+
+
+def _near_ends(within: float):
+    """Keeps the rows whose cells `a` and `b` may hold a pair; a cell without a centre may hold one with any."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column("a"), batch.column("b")
+            radii = a.field("radius").to_numpy() + b.field("radius").to_numpy() + within
+            keep = [
+                not u.is_valid or not v.is_valid or float(distances(_row(u), _row(v))[0, 0]) <= radius
+                for u, v, radius in zip(a.field("centre"), b.field("centre"), radii)
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return near
+
+
+def _row(vector: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(vector.as_buffer(), np.float64)[None, :]
+
+
+def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Centres of every cell, far from each other, out of its choices."""
+    for table, borders in whole_groups(batches, "task"):
+        for begin, end in zip(borders[:-1], borders[1:]):
+            own = table.slice(begin, end - begin).combine_chunks()
+            picked = _spread(_matrix(own.column("vector")), own.column("wanted")[0].as_py())
+            same = own.slice(0, 1).take(pa.array([0] * len(picked)))
+            columns = [*[same.column(c).combine_chunks() for c in CELL], pa.array(range(len(picked)), pa.int32()), pa.array([c.tobytes() for c in picked], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*CELL, "child", "centre"])
+
+
+def _fallen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every vector with the nearest of its task's centres and the distance; -1 where the cell has none."""
+    for table, borders in whole_groups(batches, "task"):
+        for begin, end in zip(borders[:-1], borders[1:]):
+            own = table.slice(begin, end - begin)
+            centres = int((own.column("child").to_numpy() < VECTOR).sum())
+            rows = own.slice(centres).combine_chunks()
+            if not rows.num_rows:
+                continue
+            child, away = np.full(rows.num_rows, -1, np.int32), rows.column("away").to_numpy()
+            if centres:
+                far = distances(_matrix(rows.column("vector")), _matrix(own.slice(0, centres).column("vector")))
+                child, away = far.argmin(axis=1).astype(np.int32), far.min(axis=1)
+            names = ["class", "label", "size", "vector", "cell"]
+            columns = [*[rows.column(n).combine_chunks() for n in names], pa.array(away), rows.column("members").combine_chunks(), pa.array(child)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "away", "members", "child"])
+
 
 def _spread(choices: np.ndarray, wanted: int) -> np.ndarray:
     """Centres far from each other: each next one is the choice farthest from those before."""
@@ -132,7 +256,7 @@ def _placer(centres: dict[tuple[int, int], np.ndarray]):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = list(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist()))
-            cell, away = np.full(len(keys), -1, np.int32), np.zeros(len(keys))
+            cell, away = np.full(len(keys), -1, np.int64), np.full(len(keys), WIDEST)
             for key in set(keys) & centres.keys():
                 rows = np.array([i for i, k in enumerate(keys) if k == key])
                 far = distances(_matrix(batch.column("vector").take(pa.array(rows))), centres[key])
