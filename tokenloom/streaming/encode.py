@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tokenloom.operators.encode import char_ids, encode_documents
-from tokenloom.session import checkpoint_dir
+from tokenloom.session import checkpoint_dir, small_batches
 from tokenloom.sources.documents import clean
 
 
 def document_stream(spark: SparkSession, path: str) -> DataFrame:
     """New parquet files of documents below `path`."""
-    return spark.readStream.schema("doc_id long, text string").parquet(path)
+    return small_batches(spark).readStream.schema("doc_id long, text string").parquet(path)
 
 
 def encode_stream(docs: DataFrame, vocab: dict[str, int], eos_id: int, target: str) -> DataStreamWriter:
