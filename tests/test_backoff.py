@@ -105,3 +105,42 @@ def test_contexts_of_short_prompts(spark):
     found = rows.select(*backoff.context_of(F.col("ids"), 2)).collect()
     no = backoff.NO_ID
     assert [tuple(r) for r in found] == [(4, 3, no), (1, no, no), (no, no, no)]
+
+
+@pytest.mark.parametrize("piece_rows, stream_rows", [(1_000_000, 500_000), (3, 5)])
+def test_large_tries_are_met_in_order_and_give_the_same(spark, counts, trie, texts, monkeypatch, piece_rows, stream_rows):
+    monkeypatch.setattr(backoff, "PIECE_ROWS", piece_rows)
+    monkeypatch.setattr(backoff, "STREAM_ROWS", stream_rows)
+    wide = backoff.train_trie(counts.where("split = 'train'"), SIZE, least=3)
+    monkeypatch.setattr(backoff, "fits_broadcast", lambda values, most=None: False)
+    large = backoff.train_trie(counts.where("split = 'train'"), SIZE, least=3)
+    assert len(large.followers) == 1 and len(wide.followers) == backoff.ORDER
+    no = backoff.NO_ID
+    contexts = [(a, b, c) for a in (*range(SIZE), no) for b in (0, 3, EOS, no) for c in (0, 2, no) if (b != no or c == b) and (a != no or b == a)]
+    rows = spark.createDataFrame([(str(c), *c, t) for c in contexts for t in range(SIZE)], "s string, c1 int, c2 int, c3 int, next int")
+    p = dense(texts)
+    got = backoff.with_probability(rows.repartition(3), large, "s").collect()
+    assert len(got) == len(contexts) * SIZE
+    for r in got:
+        context = tuple(c for c in (r["c3"], r["c2"], r["c1"]) if c != no)
+        assert r["s"] == str((r["c1"], r["c2"], r["c3"])) and r["p"] == pytest.approx(p(context, r["next"]))
+    monkeypatch.undo()
+    same = {(r["s"], r["next"]): (r["p"], r["matched"]) for r in backoff.with_probability(rows, trie, "s").collect()}
+    assert {(r["s"], r["next"]): (pytest.approx(r["p"]), r["matched"]) for r in got} == same
+    assert {r["split"]: pytest.approx(r["loss"]) for r in backoff.cross_entropy(counts, large, "split").collect()} == {
+        r["split"]: r["loss"] for r in backoff.cross_entropy(counts, trie, "split").collect()
+    }
+
+
+def test_runs_travel_as_one_number(spark):
+    frame = spark.createDataFrame([("train", [1, 2])], "split string, ids array<int>")
+    plan = backoff.run_counts(frame, EOS, "split")._jdf.queryExecution().optimizedPlan().toString()
+    keys = plan.split("Aggregate [")[1].split("]")[0]
+    assert [k.split("#")[0] for k in keys.split(", ")] == ["split", "_run"]
+
+
+def test_upper_levels_of_large_tries_are_not_shuffled_or_written(spark, counts, monkeypatch):
+    monkeypatch.setattr(backoff, "fits_broadcast", lambda values, most=None: False)
+    large = backoff.train_trie(counts.where("split = 'train'"), SIZE, least=3)
+    plan = backoff.with_probability(counts, large, "split", stored=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") <= 2 and "SortMergeJoin" not in plan
