@@ -141,3 +141,34 @@ def test_whole_draws_equal_a_dense_table(spark, model):
     expected = sampling.draw_next(rows, dense, "prompt_id", 3).collect()
     assert power > 1 and len(drawn) == len(expected)
     assert {(r.context, r.sample): r.token for r in drawn} == {(r.context, r.sample): r.token for r in expected}
+
+
+@pytest.mark.parametrize("block", [1, 6, 10**6])
+def test_documents_are_joined_by_the_distinct_pairs_of_their_block(spark, encoded, model, monkeypatch, block):
+    monkeypatch.setattr(ngram, "TOKENS_PER_BLOCK", block)
+    met, scored = [], ngram.with_probability
+    monkeypatch.setattr(ngram, "with_probability", lambda rows, *rest: met.append(rows) or scored(rows, *rest))
+    more = encoded.unionAll(spark.createDataFrame([(i, "c", [1, 2, 0, EOS]) for i in range(10, 60)], encoded.schema))
+    one = {r.doc_id: r.loss for r in ngram.document_losses(more, model, EOS, "lang").collect()}
+    joined = {r.doc_id: r.loss for r in ngram.document_losses(more, model, EOS, "lang", most_pairs=0, most_values=0).collect()}
+    assert joined == pytest.approx(one) and len(joined) == 53
+    # No row per document and pair.
+    assert "doc_id" not in met[0].columns
+    if block == 10**6:
+        assert met[0].count() == len({(0, 1), (1, 0), (1, EOS), (EOS, 2), (2, 0), (0, EOS), (EOS, 1), (1, 1), (1, 2), (2, EOS), (EOS, 0)})
+
+
+def test_rows_of_one_document_are_joined_as_one(spark, model):
+    rows = [(7, None, [0, 1]), (7, None, [2]), (None, "a", [1, EOS]), (None, "a", []), (8, "a", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, ids array<int>")
+    got = {r.doc_id: r.loss for r in ngram.document_losses(frame, model, EOS, "lang", most_pairs=0).collect()}
+    losses = [-math.log(expected_p(*p)) for p in ((EOS, 0), (0, 1), (EOS, 2))]
+    assert got.keys() == {7, None} and got[7] == pytest.approx(sum(losses) / 3)
+
+
+def test_pairs_are_counted_per_group(spark):
+    rows = [("x", 1, [0, 1, 0, 1]), ("x", 1, [-1, 1]), (None, 2, [1]), ("y", None, []), ("y", 3, None)]
+    frame = spark.createDataFrame(rows, "a string, b int, ids array<int>").repartition(2)
+    got = {tuple(r) for r in ngram.pair_counts(frame, EOS, "a", "b").collect()}
+    assert got == {("x", 1, EOS, 0, 1), ("x", 1, 0, 1, 2), ("x", 1, 1, 0, 1), ("x", 1, EOS, -1, 1), ("x", 1, -1, 1, 1), (None, 2, EOS, 1, 1)}
+    assert {tuple(r) for r in ngram.pair_counts(frame.limit(0), EOS).collect()} == set()
