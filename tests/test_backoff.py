@@ -143,4 +143,4 @@ def test_upper_levels_of_large_tries_are_not_shuffled_or_written(spark, counts,
     monkeypatch.setattr(backoff, "fits_broadcast", lambda values, most=None: False)
     large = backoff.train_trie(counts.where("split = 'train'"), SIZE, least=3)
     plan = backoff.with_probability(counts, large, "split", stored=True)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REPARTITION_BY_NUM") <= 2 and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning(_last") == 1 and "Join" not in plan
